@@ -72,5 +72,48 @@ RETENTION_QUERIES: dict[str, Query] = {
 }
 
 
+# ---- data-quality reports ------------------------------------------------
+
+from shopscope.operators import quality as K  # noqa: E402
+from shopscope.schemas import FOREIGN_KEYS, NUMERIC_SIZES, PRIMARY_KEYS, VARCHAR_LENGTHS  # noqa: E402
+from shopscope.sources.driver_tables import raw_tables  # noqa: E402
+
+# Tables checked for keys before cleaning (the raw input), and after (the
+# aggregate and the fact, which cleaning builds).
+RAW_KEY_TABLES = ("customers", "sellers", "products", "geolocation", "orders", "order_items",
+                  "order_payments", "order_reviews")
+CLEAN_KEY_TABLES = ("order_payments_aggregated", "fact_orders")
+
+
+def pk_violations(spark: SparkSession, sf: str) -> DataFrame:
+    raw, wh = raw_tables(spark, sf), open_warehouse(spark, sf)
+    tables = {t: (raw[t], PRIMARY_KEYS[t]) for t in RAW_KEY_TABLES}
+    tables.update({t: (wh.table(t), PRIMARY_KEYS[t]) for t in CLEAN_KEY_TABLES})
+    return K.pk_violations(tables)
+
+
+def fk_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    wh = open_warehouse(spark, sf)
+    return K.fk_orphans([(c, wh.table(c), col, p, wh.table(p), pcol) for c, col, p, pcol in FOREIGN_KEYS])
+
+
+def scale_violations(spark: SparkSession, sf: str) -> DataFrame:
+    wh = open_warehouse(spark, sf)
+    return K.scale_violations({t: (wh.table(t), cols) for t, cols in NUMERIC_SIZES.items()})
+
+
+def length_violations(spark: SparkSession, sf: str) -> DataFrame:
+    wh = open_warehouse(spark, sf)
+    return K.length_violations({t: (wh.table(t), cols) for t, cols in VARCHAR_LENGTHS.items()})
+
+
+QUALITY_QUERIES: dict[str, Query] = {
+    "pk_violations": pk_violations,
+    "fk_orphans": fk_orphans,
+    "scale_violations": scale_violations,
+    "length_violations": length_violations,
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**CLEAN_QUERIES, **REVENUE_QUERIES, **RETENTION_QUERIES}
+    return {**CLEAN_QUERIES, **QUALITY_QUERIES, **REVENUE_QUERIES, **RETENTION_QUERIES}

@@ -41,9 +41,23 @@ def _key(c: str):
     return F.col(c).cast("string")
 
 
+_dims: dict[tuple, DataFrame] = {}
+
+
+def _dimension(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """A small driver table projected to ``cols``, broadcast behind a size probe.
+
+    The probe result is kept per application, so each dimension is probed once.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name, cols)
+    if key not in _dims:
+        _dims[key] = bounded_broadcast(read_driver_table(spark, sf_dir, name).select(*cols))
+    return _dims[key]
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_driver_table(spark, sf_dir, "customer")
-    n = bounded_broadcast(read_driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = _dimension(spark, sf_dir, "nation", "n_nationkey", "n_name")
     person = F.col("c_custkey") - F.when(F.col("c_custkey") % 10 == 1, 1).otherwise(0)
     return (c.join(n, c.c_nationkey == n.n_nationkey)
             .select(_key("c_custkey").alias("customer_id"),
@@ -56,7 +70,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_driver_table(spark, sf_dir, "supplier")
-    n = bounded_broadcast(read_driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = _dimension(spark, sf_dir, "nation", "n_nationkey", "n_name")
     return (s.join(n, s.s_nationkey == n.n_nationkey)
             .select(_key("s_suppkey").alias("seller_id"),
                     (F.col("s_suppkey") % ZIP_MODULUS).cast("string").alias("seller_zip_code_prefix"),
@@ -67,7 +81,7 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_driver_table(spark, sf_dir, "customer")
-    n = bounded_broadcast(read_driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = _dimension(spark, sf_dir, "nation", "n_nationkey", "n_name")
     return (c.join(n, c.c_nationkey == n.n_nationkey)
             .select(F.col("c_nationkey").cast("string").alias("geolocation_zip_code_prefix"),
                     (F.col("c_acctbal") / 1000).alias("geolocation_lat"),
@@ -112,8 +126,7 @@ def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _numbered_lines(spark, sf_dir)
-    part_src = read_driver_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    part = bounded_broadcast(part_src)
+    part = _dimension(spark, sf_dir, "part", "p_partkey", "p_type")
     freight = (F.col("l_extendedprice") * F.col("l_tax") * (F.length("p_type") - 4) * 2)
     return (li.join(part, li.l_partkey == part.p_partkey)
             .select("order_id",
