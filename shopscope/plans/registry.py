@@ -117,3 +117,74 @@ QUALITY_QUERIES: dict[str, Query] = {
 
 def all_queries() -> dict[str, Query]:
     return {**CLEAN_QUERIES, **QUALITY_QUERIES, **REVENUE_QUERIES, **RETENTION_QUERIES}
+
+
+# ---- forecasts -------------------------------------------------------------
+
+from shopscope.plans import forecast as FC  # noqa: E402
+
+
+def _daily(spark: SparkSession, sf: str) -> DataFrame:
+    return FC.daily_revenue(open_warehouse(spark, sf).table("fact_orders"))
+
+
+def daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    return _daily(spark, sf).withColumn("y", FC.F.col("y").cast("double"))
+
+
+def _linear(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    daily = FC.with_min_history(_daily(spark, sf))
+    return daily, FC.linear_trend(daily)
+
+
+def linear_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    daily, fc = _linear(spark, sf)
+    return FC.publishable(fc, daily)
+
+
+def forecast_monthly(spark: SparkSession, sf: str) -> DataFrame:
+    return FC.monthly_rollup(_linear(spark, sf)[1])
+
+
+def forecast_summary(spark: SparkSession, sf: str) -> DataFrame:
+    daily, fc = _linear(spark, sf)
+    return FC.summary(daily, FC.monthly_rollup(fc))
+
+
+def holt_winters_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    daily = FC.with_min_history(_daily(spark, sf))
+    return FC.publishable(FC.holt_winters(daily), daily)
+
+
+def seasonal_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    daily = FC.with_min_history(_daily(spark, sf))
+    return FC.publishable(FC.seasonal(daily), daily)
+
+
+def revenue_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    daily = FC.with_min_history(_daily(spark, sf))
+    return FC.publishable(FC.forecast(daily), daily)
+
+
+def state_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """The cascade run for every customer state at once (one series per state)."""
+    daily = FC.with_min_history(FC.daily_revenue(open_warehouse(spark, sf).table("fact_orders"),
+                                                 "customer_state"))
+    return FC.publishable(FC.forecast(daily), daily)
+
+
+FORECAST_QUERIES: dict[str, Query] = {
+    "daily_revenue": daily_revenue,
+    "linear_forecast": linear_forecast,
+    "forecast_monthly": forecast_monthly,
+    "forecast_summary": forecast_summary,
+    "holt_winters_forecast": holt_winters_forecast,
+    "seasonal_forecast": seasonal_forecast,
+    "revenue_forecast": revenue_forecast,
+    "state_forecast": state_forecast,
+}
+
+
+def all_queries() -> dict[str, Query]:  # noqa: F811
+    return {**CLEAN_QUERIES, **QUALITY_QUERIES, **REVENUE_QUERIES, **RETENTION_QUERIES,
+            **FORECAST_QUERIES}
