@@ -15,7 +15,6 @@ from shopscope.functions.scalar import (
     false_if_null, lenient_number, lenient_timestamp, mean, strip, title_case, whole_days, zero_fill,
 )
 from shopscope.operators.dedup import first_per_key, latest_first
-from shopscope.operators.sizing import bounded_broadcast
 from shopscope.schemas import CUSTOMER_COLUMNS, ITEM_COLUMNS, ORDER_COLUMNS, PRODUCT_COLUMNS, \
     SELLER_COLUMNS
 
@@ -166,7 +165,9 @@ def clean_products(raw: DataFrame, translation: DataFrame) -> DataFrame:
     tr = with_ingest_seq(translation).select("product_category_name", "product_category_name_english", SEQ)
     tr = first_per_key(tr.filter(F.col("product_category_name").isNotNull()),
                        ["product_category_name"], [F.col(SEQ)]).drop(SEQ)
-    df = df.join(bounded_broadcast(tr), "product_category_name", "left")
+    # The translation is one row per category. It comes out of an aggregate,
+    # so adaptive execution sees its real size and broadcasts it at run time.
+    df = df.join(tr, "product_category_name", "left")
     english = F.coalesce(F.col("product_category_name_english"), F.col("product_category_name"))
     df = df.withColumns({
         "product_category_name_english": title_case(strip(F.translate(english, "_", " "))),

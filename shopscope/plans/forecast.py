@@ -232,10 +232,9 @@ def holt_winters(daily: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
         F.greatest(F.col("v") - F.col("sd"), F.lit(0.0)).alias("yhat_lower"),
         (F.greatest("v", F.lit(0.0)) + F.col("sd")).alias("yhat_upper"))
     fut_days = _future_days(span, horizon).withColumn("month", F.trunc("ds", "month"))
-    # One row per future day: the forecast of its month (fitted months lie
-    # before the last actual day, so only forecast months can match).
-    fut_vals = per_day.filter("is_future")
-    future = fut_days.join(fut_vals, ["series_id", "month"]).select(
+    # One row per future day: the value of its month, which is a forecast
+    # month, or (when no month was held out) the rest of the last fitted month.
+    future = fut_days.join(per_day, ["series_id", "month"]).select(
         "series_id", "ds", F.greatest("v", F.lit(0.0)).alias("yhat"),
         F.greatest(F.col("v") - HW_BAND_Z * F.col("sd"), F.lit(0.0)).alias("yhat_lower"),
         F.greatest(F.col("v") + HW_BAND_Z * F.col("sd"), F.lit(0.0)).alias("yhat_upper"))
