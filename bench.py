@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from shopscope.plans.registry import (  # noqa: E402
     FORECAST_QUERIES, QUALITY_QUERIES, RETENTION_QUERIES, REVENUE_QUERIES,
 )
-from shopscope.plans.warehouse import open_warehouse  # noqa: E402
+from shopscope.plans.warehouse import fresh_warehouse  # noqa: E402
 from shopscope.session import build_session  # noqa: E402
 
 
@@ -28,7 +28,7 @@ def main() -> None:
     timings: dict[str, float] = {}
 
     t0 = time.time()
-    wh = open_warehouse(spark, sf_dir)
+    wh = fresh_warehouse(spark, sf_dir)
     timings["pipeline_clean"] = round(wh.seconds.get("clean", 0.0), 3)
     timings["pipeline_fact"] = round(wh.seconds.get("fact", 0.0), 3)
     timings["pipeline_total"] = round(time.time() - t0, 3)

@@ -188,3 +188,28 @@ FORECAST_QUERIES: dict[str, Query] = {
 def all_queries() -> dict[str, Query]:  # noqa: F811
     return {**CLEAN_QUERIES, **QUALITY_QUERIES, **REVENUE_QUERIES, **RETENTION_QUERIES,
             **FORECAST_QUERIES}
+
+
+# ---- dashboard findings --------------------------------------------------------
+
+from shopscope.plans import insights as D  # noqa: E402
+
+INSIGHT_QUERIES: dict[str, Query] = {
+    "yoy_growth": _on_fact(D.yoy_growth),
+    "month_of_year": _on_fact(D.month_of_year),
+    "state_concentration": _on_fact(D.state_concentration),
+    "review_score_distribution": lambda spark, sf: D.review_score_distribution(
+        open_warehouse(spark, sf).table("order_reviews")),
+    "negative_review_heatmap": _on_fact(D.negative_review_heatmap, "order_reviews"),
+    "late_delivery_reviews": _on_fact(D.late_delivery_reviews, "order_reviews"),
+    "delivery_review_correlation": _on_fact(D.delivery_review_correlation, "order_reviews"),
+    "reorder_by_sentiment": _on_fact(D.reorder_by_sentiment, "order_reviews"),
+    "churn_by_state": _on_fact(D.churn_by_state, as_of=AS_OF),
+    "installment_buckets": lambda spark, sf: D.installment_buckets(
+        open_warehouse(spark, sf).table("order_payments_aggregated")),
+}
+
+
+def all_queries() -> dict[str, Query]:  # noqa: F811
+    return {**CLEAN_QUERIES, **QUALITY_QUERIES, **REVENUE_QUERIES, **RETENTION_QUERIES,
+            **FORECAST_QUERIES, **INSIGHT_QUERIES}

@@ -7,17 +7,21 @@ and lets every mart start from a pruned, filter-pushed Parquet scan.
 
 from __future__ import annotations
 
+import hashlib
 import threading
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope.operators import clean as C
 from shopscope.operators.fact import build_fact
-from shopscope.session import run_scoped_dir
+from shopscope.session import shared_dir
 from shopscope.sources.driver_tables import raw_tables
 
 CLEAN_TABLES = (
@@ -94,21 +98,64 @@ class Warehouse:
 
 _lock = threading.Lock()
 _open: dict[tuple[str, str], Warehouse] = {}
+_MARKER = "_COMPLETE"
+
+
+def _code_version() -> str:
+    """Digest of this package's source, so a changed build never reuses old tables."""
+    h = hashlib.sha256()
+    pkg = Path(__file__).resolve().parent.parent
+    for f in sorted(pkg.rglob("*.py")):
+        h.update(f.relative_to(pkg).as_posix().encode())
+        h.update(f.read_bytes())
+    return h.hexdigest()[:16]
+
+
+def _completed_build(spark: SparkSession, base: str) -> str | None:
+    """The folder of a finished build recorded in ``base``, if any."""
+    try:
+        rows = spark.read.text(f"{base}/{_MARKER}").collect()
+    except AnalysisException:
+        return None
+    return rows[0][0] if rows else None
 
 
 def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse of ``sf_dir`` for this application, built on first use."""
+    """The warehouse of ``sf_dir``, built on first use.
+
+    Builds live in the shared folder under a key of the input folder and the
+    code version. A build writes into its own sub-folder and records it in a
+    marker only when every table is written, so a half-written build is never
+    read, concurrent builders do not collide, and later runs reuse the result.
+    """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _lock:
         wh = _open.get(key)
         if wh is None:
-            tag = sf_dir.rstrip("/").replace("/", "_").strip("_")
-            wh = Warehouse(spark, run_scoped_dir(spark, f"warehouse/{tag}"))
-            wh.build(raw_tables(spark, sf_dir))
+            digest = hashlib.sha256(f"{sf_dir.rstrip('/')}|{_code_version()}".encode()).hexdigest()[:20]
+            base = f"{shared_dir(spark).rstrip('/')}/shopscope-warehouse/{digest}"
+            done = _completed_build(spark, base)
+            if done:
+                wh = Warehouse(spark, done)
+            else:
+                wh = Warehouse(spark, f"{base}/build-{uuid.uuid4().hex[:12]}")
+                wh.build(raw_tables(spark, sf_dir))
+                spark.createDataFrame([(wh.root,)], "value string").coalesce(1) \
+                    .write.mode("overwrite").text(f"{base}/{_MARKER}")
             _open[key] = wh
         return wh
 
 
+def fresh_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Build the warehouse of ``sf_dir`` anew (never reused) and serve it to the
+    registered queries of this application."""
+    root = f"{shared_dir(spark).rstrip('/')}/shopscope-warehouse/fresh-{uuid.uuid4().hex[:12]}"
+    wh = Warehouse(spark, root).build(raw_tables(spark, sf_dir))
+    with _lock:
+        _open[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))] = wh
+    return wh
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_warehouse(spark, sf_dir).table("fact_orders")
 

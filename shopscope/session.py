@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,25 +41,22 @@ def apply_required_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors for checkpoints and written tables.
 
-    Taken from the session (``spark.checkpoint.dir`` or a checkpoint folder set
-    on the context). Only when neither is set (local runs, tests) a fresh local
-    folder is created and registered as the checkpoint folder.
+    Taken from the session: ``spark.checkpoint.dir`` (or the folder given to
+    ``setCheckpointDir``). Only when none is set (local runs, tests) a local
+    folder is used: ``SHOPSCOPE_SCRATCH`` or the temp folder of this machine.
+    The path returned is the configured folder itself, not Spark's per-run
+    sub-folder, so written tables can be found again by later runs.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    local = tempfile.mkdtemp(prefix="shopscope-ckpt-")
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return configured
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/").rsplit("/", 1)[0]  # Spark adds a per-run uuid folder
+    local = os.environ.get("SHOPSCOPE_SCRATCH") or os.path.join(tempfile.gettempdir(), "shopscope-scratch")
+    os.makedirs(local, exist_ok=True)
     sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
-
-
-def run_scoped_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared folder unique to this application run."""
-    base = shared_dir(spark).rstrip("/")
-    app = spark.sparkContext.applicationId or uuid.uuid4().hex
-    return f"{base}/shopscope-{app}/{name}"
+    return local
