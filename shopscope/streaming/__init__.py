@@ -1 +1,7 @@
-"""streaming."""
+"""Streaming operators: none.
+
+The pipeline this package reproduces is a batch full refresh: raw files are
+cleaned, loaded and summarised as a whole, with no event-time windows,
+watermarks, late data or per-key state. Nothing here is needed for its
+results, so no streaming operator is provided.
+"""
