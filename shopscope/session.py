@@ -9,11 +9,18 @@ from pyspark.sql import SparkSession
 
 # Settings every job needs for correct results (UTC wall clock, ANSI casts
 # handled with try_*), plus adaptive execution for runtime re-planning.
+# Broadcast policy: the planner never broadcasts on its own file-size
+# estimate (compressed Parquet size can be far below the in-memory size);
+# a join side is broadcast only when (a) the code hints it after a row-count
+# bound (operators.sizing) or (b) adaptive execution has measured the
+# shuffled side below the adaptive threshold at run time.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 
