@@ -1,4 +1,4 @@
-"""Benchmark: build the warehouse, then run every mart, check and forecast.
+"""Benchmark: build the warehouse, then run every mart, check, forecast and finding.
 
 Reads ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]``
 and prints one JSON line. Each query is executed in full with the ``noop``
@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shopscope.plans.registry import (  # noqa: E402
-    FORECAST_QUERIES, QUALITY_QUERIES, RETENTION_QUERIES, REVENUE_QUERIES,
+    FORECAST_QUERIES, INSIGHT_QUERIES, QUALITY_QUERIES, RETENTION_QUERIES, REVENUE_QUERIES,
 )
 from shopscope.plans.warehouse import fresh_warehouse  # noqa: E402
 from shopscope.session import build_session  # noqa: E402
@@ -33,7 +33,8 @@ def main() -> None:
     timings["pipeline_fact"] = round(wh.seconds.get("fact", 0.0), 3)
     timings["pipeline_total"] = round(time.time() - t0, 3)
 
-    queries = {**REVENUE_QUERIES, **RETENTION_QUERIES, **QUALITY_QUERIES, **FORECAST_QUERIES}
+    queries = {**REVENUE_QUERIES, **RETENTION_QUERIES, **QUALITY_QUERIES, **FORECAST_QUERIES,
+               **INSIGHT_QUERIES}
     for name, fn in queries.items():
         t = time.time()
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -60,12 +60,22 @@ FORECAST_SCHEMA = ("series_id string, ds date, yhat double, yhat_lower double, "
 
 # ---- F1, F2: the daily series ---------------------------------------------
 
-def daily_revenue(fact: DataFrame, series_col: str | None = None) -> DataFrame:
-    """(series_id, ds, y): delivered revenue per purchase day and series."""
-    lines = delivered_lines(fact).filter(F.col("order_purchase_timestamp").isNotNull())
+def daily_revenue(fact: DataFrame, series_col: str | None = None,
+                  orders: DataFrame | None = None) -> DataFrame:
+    """(series_id, ds, y): delivered revenue per purchase day and series.
+
+    Reads the order summary when it is given and holds the series column
+    (customer, state, period); other columns (category, seller) come from the
+    lines.
+    """
+    if orders is not None and (series_col is None or series_col in orders.columns):
+        src, value = orders, "rev"
+    else:
+        src, value = delivered_lines(fact), "revenue"
+    src = src.filter(F.col("order_purchase_timestamp").isNotNull())
     sid = F.lit(TOTAL_SERIES) if series_col is None else F.col(series_col).cast("string")
-    return (lines.groupBy(sid.alias("series_id"), F.to_date("order_purchase_timestamp").alias("ds"))
-            .agg(F.sum("revenue").alias("y")))
+    return (src.groupBy(sid.alias("series_id"), F.to_date("order_purchase_timestamp").alias("ds"))
+            .agg(F.sum(value).alias("y")))
 
 
 def with_min_history(daily: DataFrame, min_days: int = MIN_HISTORY_DAYS) -> DataFrame:

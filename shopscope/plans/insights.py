@@ -16,22 +16,22 @@ from pyspark.sql import functions as F
 from shopscope.functions.scalar import mean, month_start, percent, sql_round, whole_days
 from shopscope.operators.ranking import share_of_total
 from shopscope.plans.retention import CUSTOMER, as_of_column, churn_label
-from shopscope.plans.revenue import delivered_lines
+from shopscope.plans.revenue import _orders, delivered_lines
 
 # Fixed bucket and sentiment labels.
 INSTALLMENT_BUCKETS = ("1", "2-5", "6+", "unknown")
 SENTIMENTS = ("positive", "neutral", "negative", "no review")
 
 
-def _monthly(fact: DataFrame) -> DataFrame:
-    return (delivered_lines(fact).filter(F.col("order_purchase_timestamp").isNotNull())
+def _monthly(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+    return (_orders(fact, orders).filter(F.col("order_purchase_timestamp").isNotNull())
             .groupBy(month_start("order_purchase_timestamp").alias("month_start"))
-            .agg(F.sum("revenue").alias("m")))
+            .agg(F.sum("rev").alias("m")))
 
 
-def yoy_growth(fact: DataFrame) -> DataFrame:
+def yoy_growth(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Each month's revenue against the same calendar month a year before."""
-    m = _monthly(fact)
+    m = _monthly(fact, orders)
     prev = m.select(F.add_months("month_start", 12).cast("timestamp_ntz").alias("month_start"),
                     F.col("m").alias("p"))
     return m.join(prev, "month_start", "left").select(
@@ -42,9 +42,9 @@ def yoy_growth(fact: DataFrame) -> DataFrame:
     ).orderBy("month_start")
 
 
-def month_of_year(fact: DataFrame) -> DataFrame:
+def month_of_year(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Average revenue per calendar month and its index against all months."""
-    m = _monthly(fact).withColumn("order_month", F.month("month_start"))
+    m = _monthly(fact, orders).withColumn("order_month", F.month("month_start"))
     g = m.groupBy("order_month").agg(F.count(F.lit(1)).alias("months"), F.sum("m").alias("s"))
     avg_month = mean(F.col("s"), F.col("months"))
     overall = mean(F.sum("s").over(Window.partitionBy()), F.sum("months").over(Window.partitionBy()))
@@ -55,9 +55,9 @@ def month_of_year(fact: DataFrame) -> DataFrame:
     ).orderBy("order_month")
 
 
-def state_concentration(fact: DataFrame) -> DataFrame:
+def state_concentration(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """D3: states by revenue with their share and the running share of the top n."""
-    s = delivered_lines(fact).groupBy("customer_state").agg(F.sum("revenue").alias("rev"))
+    s = _orders(fact, orders).groupBy("customer_state").agg(F.sum("rev").alias("rev"))
     order = Window.orderBy(F.col("rev").desc_nulls_first(), F.col("customer_state").asc_nulls_last())
     share = share_of_total(F.col("rev"))
     return s.select(
@@ -89,10 +89,10 @@ def negative_review_heatmap(fact: DataFrame, reviews: DataFrame) -> DataFrame:
     return g.withColumn("negative_pct", sql_round(percent("negative_orders", "orders"), 1))
 
 
-def late_delivery_reviews(fact: DataFrame, reviews: DataFrame) -> DataFrame:
+def late_delivery_reviews(fact: DataFrame, reviews: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Review score and negative share for late and on-time orders."""
-    orders = delivered_lines(fact).groupBy("order_id").agg(F.max("is_late_delivery").alias("is_late_delivery"))
-    o = orders.join(reviews.select("order_id", "review_score", "is_negative_review"), "order_id", "left")
+    o = _orders(fact, orders).select("order_id", "is_late_delivery") \
+        .join(reviews.select("order_id", "review_score", "is_negative_review"), "order_id", "left")
     g = o.groupBy("is_late_delivery").agg(
         F.count(F.lit(1)).alias("orders"),
         F.count("review_score").alias("reviewed_orders"),
@@ -102,10 +102,11 @@ def late_delivery_reviews(fact: DataFrame, reviews: DataFrame) -> DataFrame:
     return g.orderBy("is_late_delivery")
 
 
-def delivery_review_correlation(fact: DataFrame, reviews: DataFrame) -> DataFrame:
+def delivery_review_correlation(fact: DataFrame, reviews: DataFrame,
+                                orders: DataFrame | None = None) -> DataFrame:
     """Pearson correlation of delivery days and review score over orders."""
-    orders = delivered_lines(fact).groupBy("order_id").agg(F.max("delivery_days").alias("delivery_days"))
-    o = orders.join(reviews.select("order_id", "review_score"), "order_id")
+    o = _orders(fact, orders).select("order_id", "delivery_days") \
+        .join(reviews.select("order_id", "review_score"), "order_id")
     return o.agg(F.count(F.lit(1)).alias("orders"),
                  sql_round(F.corr(F.col("delivery_days").cast("double"), F.col("review_score").cast("double")), 4)
                  .alias("correlation"))
@@ -116,10 +117,10 @@ def _sentiment(score):
             .when(score <= 2, SENTIMENTS[2]).otherwise(SENTIMENTS[3]))
 
 
-def reorder_by_sentiment(fact: DataFrame, reviews: DataFrame) -> DataFrame:
+def reorder_by_sentiment(fact: DataFrame, reviews: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Share of customers who ordered again, by the review of their first order."""
-    lines = delivered_lines(fact).filter(F.col(CUSTOMER).isNotNull())
-    per_order = lines.groupBy(CUSTOMER, "order_id").agg(F.min("order_purchase_timestamp").alias("ts"))
+    per_order = _orders(fact, orders).filter(F.col(CUSTOMER).isNotNull()) \
+        .select(CUSTOMER, "order_id", F.col("order_purchase_timestamp").alias("ts"))
     cust = per_order.groupBy(CUSTOMER).agg(
         F.count("order_id").alias("orders"),
         F.min_by("order_id", F.struct(F.col("ts").isNull(), F.col("ts"), F.col("order_id"))).alias("first_order"))
@@ -131,11 +132,10 @@ def reorder_by_sentiment(fact: DataFrame, reviews: DataFrame) -> DataFrame:
         .orderBy("first_review")
 
 
-def churn_by_state(fact: DataFrame, as_of=None) -> DataFrame:
+def churn_by_state(fact: DataFrame, as_of=None, orders: DataFrame | None = None) -> DataFrame:
     """Churn status counts per state (the state of the customer's latest order)."""
-    lines = delivered_lines(fact)
-    per_order = lines.groupBy(CUSTOMER, "order_id").agg(
-        F.max("order_purchase_timestamp").alias("ts"), F.max("customer_state").alias("state"))
+    per_order = _orders(fact, orders).select(CUSTOMER, "order_id", F.col("order_purchase_timestamp").alias("ts"),
+                                             F.col("customer_state").alias("state"))
     cust = per_order.groupBy(CUSTOMER).agg(
         F.count("order_id").alias("total_orders"), F.max("ts").alias("last_order_date"),
         F.max_by("state", F.struct(F.col("ts").isNotNull(), F.col("ts"), F.col("order_id"))).alias("customer_state"))

@@ -43,7 +43,7 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, input_format: str
     report = RunReport()
     t0 = time.time()
     raw = (csv_files.read_all_raw(spark, input_dir) if input_format == "csv"
-           else raw_tables(spark, input_dir))
+           else raw_tables(spark, input_dir, stage_dir=f"{output_dir.rstrip('/')}/_staging"))
     wh = Warehouse(spark, output_dir.rstrip("/")).build(raw)
     for name in ALL_TABLES:
         # Parquet row counts come from file footers.

@@ -32,6 +32,16 @@ def _on_fact(fn, *tables: str, **kwargs) -> Query:
     return run
 
 
+def _on_orders(fn, *tables: str, **kwargs) -> Query:
+    """A mart that starts from the written order summary."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        wh = open_warehouse(spark, sf)
+        return fn(wh.table("fact_orders"), *[wh.table(t) for t in tables],
+                  orders=wh.table("order_summary"), **kwargs)
+    run.__name__ = fn.__name__
+    return run
+
+
 CLEAN_QUERIES: dict[str, Query] = {
     "clean_customers": _table("customers"),
     "clean_sellers": _table("sellers"),
@@ -46,12 +56,12 @@ CLEAN_QUERIES: dict[str, Query] = {
 }
 
 REVENUE_QUERIES: dict[str, Query] = {
-    "kpi_summary": _on_fact(R.kpi_summary),
-    "monthly_trend": _on_fact(R.monthly_trend),
-    "quarterly_breakdown": _on_fact(R.quarterly_breakdown),
+    "kpi_summary": _on_orders(R.kpi_summary),
+    "monthly_trend": _on_orders(R.monthly_trend),
+    "quarterly_breakdown": _on_orders(R.quarterly_breakdown),
     "category_ranking": _on_fact(R.category_ranking),
-    "state_ranking": _on_fact(R.state_ranking),
-    "rolling_revenue": _on_fact(R.rolling_revenue),
+    "state_ranking": _on_orders(R.state_ranking),
+    "rolling_revenue": _on_orders(R.rolling_revenue),
     "top_products": _on_fact(R.top_products, "products", "order_reviews"),
     "freight_leakage": _on_fact(R.freight_leakage),
     "seller_tiers": _on_fact(R.seller_tiers, "order_reviews"),
@@ -59,15 +69,15 @@ REVENUE_QUERIES: dict[str, Query] = {
 }
 
 RETENTION_QUERIES: dict[str, Query] = {
-    "retention_rate": _on_fact(T.retention_rate),
-    "customer_clv": _on_fact(T.customer_clv),
-    "clv_tiers": _on_fact(T.clv_tiers),
-    "cohort_retention": _on_fact(T.cohort_retention),
-    "churn_status": _on_fact(T.churn_status, "order_reviews", as_of=AS_OF),
-    "churn_summary": _on_fact(T.churn_summary, as_of=AS_OF),
+    "retention_rate": _on_orders(T.retention_rate),
+    "customer_clv": _on_orders(T.customer_clv),
+    "clv_tiers": _on_orders(T.clv_tiers),
+    "cohort_retention": _on_orders(T.cohort_retention),
+    "churn_status": _on_orders(T.churn_status, "order_reviews", as_of=AS_OF),
+    "churn_summary": _on_orders(T.churn_summary, as_of=AS_OF),
     "category_repeat_rate": _on_fact(T.category_repeat_rate),
-    "rfm_segments": _on_fact(T.rfm_segments, as_of=AS_OF),
-    "rfm_summary": _on_fact(T.rfm_summary, as_of=AS_OF),
+    "rfm_segments": _on_orders(T.rfm_segments, as_of=AS_OF),
+    "rfm_summary": _on_orders(T.rfm_summary, as_of=AS_OF),
     "review_vs_revenue": _on_fact(T.review_vs_revenue, "order_reviews"),
 }
 
@@ -125,7 +135,8 @@ from shopscope.plans import forecast as FC  # noqa: E402
 
 
 def _daily(spark: SparkSession, sf: str) -> DataFrame:
-    return FC.daily_revenue(open_warehouse(spark, sf).table("fact_orders"))
+    wh = open_warehouse(spark, sf)
+    return FC.daily_revenue(wh.table("fact_orders"), orders=wh.table("order_summary"))
 
 
 def daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,8 +179,9 @@ def revenue_forecast(spark: SparkSession, sf: str) -> DataFrame:
 
 def state_forecast(spark: SparkSession, sf: str) -> DataFrame:
     """The cascade run for every customer state at once (one series per state)."""
-    daily = FC.with_min_history(FC.daily_revenue(open_warehouse(spark, sf).table("fact_orders"),
-                                                 "customer_state"))
+    wh = open_warehouse(spark, sf)
+    daily = FC.with_min_history(FC.daily_revenue(wh.table("fact_orders"), "customer_state",
+                                                 orders=wh.table("order_summary")))
     return FC.publishable(FC.forecast(daily), daily)
 
 
@@ -195,16 +207,16 @@ def all_queries() -> dict[str, Query]:  # noqa: F811
 from shopscope.plans import insights as D  # noqa: E402
 
 INSIGHT_QUERIES: dict[str, Query] = {
-    "yoy_growth": _on_fact(D.yoy_growth),
-    "month_of_year": _on_fact(D.month_of_year),
-    "state_concentration": _on_fact(D.state_concentration),
+    "yoy_growth": _on_orders(D.yoy_growth),
+    "month_of_year": _on_orders(D.month_of_year),
+    "state_concentration": _on_orders(D.state_concentration),
     "review_score_distribution": lambda spark, sf: D.review_score_distribution(
         open_warehouse(spark, sf).table("order_reviews")),
     "negative_review_heatmap": _on_fact(D.negative_review_heatmap, "order_reviews"),
-    "late_delivery_reviews": _on_fact(D.late_delivery_reviews, "order_reviews"),
-    "delivery_review_correlation": _on_fact(D.delivery_review_correlation, "order_reviews"),
-    "reorder_by_sentiment": _on_fact(D.reorder_by_sentiment, "order_reviews"),
-    "churn_by_state": _on_fact(D.churn_by_state, as_of=AS_OF),
+    "late_delivery_reviews": _on_orders(D.late_delivery_reviews, "order_reviews"),
+    "delivery_review_correlation": _on_orders(D.delivery_review_correlation, "order_reviews"),
+    "reorder_by_sentiment": _on_orders(D.reorder_by_sentiment, "order_reviews"),
+    "churn_by_state": _on_orders(D.churn_by_state, as_of=AS_OF),
     "installment_buckets": lambda spark, sf: D.installment_buckets(
         open_warehouse(spark, sf).table("order_payments_aggregated")),
 }

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from shopscope.functions.scalar import even_round, mean, month_start, percent, sql_round, whole_days
 from shopscope.operators.ranking import distributed_ntile, share_of_total
-from shopscope.plans.revenue import _label, delivered_lines
+from shopscope.plans.revenue import _label, _orders, delivered_lines
 
 CUSTOMER = "customer_unique_id"
 
@@ -38,20 +38,17 @@ def as_of_column(as_of: dt.datetime | str | None) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
-def _customer_orders(fact: DataFrame) -> DataFrame:
+def _customer_orders(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """One row per (customer, order) of delivered lines."""
-    return delivered_lines(fact).groupBy(CUSTOMER, "order_id").agg(
-        F.sum("revenue").alias("rev"),
-        F.sum("total_order_value").alias("tov_sum"),
-        F.count("total_order_value").alias("tov_n"),
-        F.min("order_purchase_timestamp").alias("first_ts"),
-        F.max("order_purchase_timestamp").alias("last_ts"),
-    )
+    o = _orders(fact, orders)
+    ts = F.col("order_purchase_timestamp")
+    return o.select(CUSTOMER, "order_id", "rev", "tov_sum", "tov_n", "lines",
+                    ts.alias("first_ts"), ts.alias("last_ts"))
 
 
-def customer_base(fact: DataFrame) -> DataFrame:
+def customer_base(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Per customer: orders, revenue, order value, first and last purchase."""
-    return _customer_orders(fact).groupBy(CUSTOMER).agg(
+    return _customer_orders(fact, orders).groupBy(CUSTOMER).agg(
         F.count("order_id").alias("order_count"),
         F.round(F.sum("rev"), 2).alias("lifetime_revenue"),
         sql_round(mean(F.sum("tov_sum"), F.sum("tov_n")), 2).alias("avg_order_value"),
@@ -64,9 +61,9 @@ def _clv_order() -> list[Column]:
     return [F.col("lifetime_revenue").desc_nulls_first(), F.col(CUSTOMER).asc_nulls_last()]
 
 
-def retention_rate(fact: DataFrame) -> DataFrame:
+def retention_rate(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Customers, repeat and one-time customers, repeat share, orders per customer."""
-    k = _customer_orders(fact).groupBy(CUSTOMER).agg(F.count("order_id").alias("k"))
+    k = _customer_orders(fact, orders).groupBy(CUSTOMER).agg(F.count("order_id").alias("k"))
     repeat = F.count(F.when(F.col("k") > 1, 1))
     return k.agg(
         F.count(F.lit(1)).alias("total_customers"),
@@ -77,9 +74,9 @@ def retention_rate(fact: DataFrame) -> DataFrame:
     )
 
 
-def customer_clv(fact: DataFrame) -> DataFrame:
+def customer_clv(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Lifetime value per customer with its quintile and tier."""
-    base = customer_base(fact).withColumn(
+    base = customer_base(fact, orders).withColumn(
         "customer_lifespan_days", whole_days("first_order", "last_order", "trunc"))
     tiled = distributed_ntile(base, 5, _clv_order(), name="clv_quintile")
     return tiled.select(
@@ -90,9 +87,9 @@ def customer_clv(fact: DataFrame) -> DataFrame:
     ).orderBy(F.col("lifetime_revenue").desc_nulls_first(), F.col(CUSTOMER).asc_nulls_last())
 
 
-def clv_tiers(fact: DataFrame) -> DataFrame:
+def clv_tiers(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Customers, revenue and orders per lifetime-value quintile."""
-    base = customer_base(fact).select(CUSTOMER, "lifetime_revenue", "order_count")
+    base = customer_base(fact, orders).select(CUSTOMER, "lifetime_revenue", "order_count")
     tiled = distributed_ntile(base, 5, _clv_order(), name="quintile")
     g = tiled.groupBy("quintile").agg(
         F.count(F.lit(1)).alias("customers"),
@@ -111,16 +108,16 @@ def clv_tiers(fact: DataFrame) -> DataFrame:
     ).orderBy("quintile").drop("quintile")
 
 
-def cohort_retention(fact: DataFrame) -> DataFrame:
+def cohort_retention(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """T4: share of each first-purchase month still buying in later months.
 
-    Lines are reduced to distinct (customer, month) pairs before the join to
+    Orders are reduced to distinct (customer, month) pairs before the join to
     the first month, so a customer contributes at most one row per month.
     The month number is the month part of the gap (it restarts after 11);
     ``months_total`` is the full gap.
     """
-    lines = delivered_lines(fact).filter(F.col(CUSTOMER).isNotNull())
-    activity = lines.select(CUSTOMER, month_start("order_purchase_timestamp").alias("activity_month")) \
+    o = _orders(fact, orders).filter(F.col(CUSTOMER).isNotNull())
+    activity = o.select(CUSTOMER, month_start("order_purchase_timestamp").alias("activity_month")) \
         .distinct()
     first = activity.groupBy(CUSTOMER).agg(F.min("activity_month").alias("cohort_month"))
     size = first.groupBy("cohort_month").agg(F.count(CUSTOMER).alias("cohort_customers"))
@@ -144,21 +141,20 @@ def churn_label(orders: Column, days: Column) -> Column:
             .otherwise(ACTIVE))
 
 
-def churn_status(fact: DataFrame, reviews: DataFrame, as_of=None) -> DataFrame:
+def churn_status(fact: DataFrame, reviews: DataFrame, as_of=None,
+                 orders: DataFrame | None = None) -> DataFrame:
     """T5: per customer orders, last purchase, spend, mean review score and churn status.
 
     The review score is averaged over lines (each line carries its order's
-    review); a score of 0 counts as missing.
+    review, so an order counts as many times as it has lines); a score of 0
+    counts as missing. The review join runs at order grain.
     """
-    lines = delivered_lines(fact).select(CUSTOMER, "order_id", "revenue", "order_purchase_timestamp") \
-        .join(reviews.select("order_id", "review_score"), "order_id", "left")
     score = F.when(F.col("review_score") != 0, F.col("review_score"))
-    per_order = lines.groupBy(CUSTOMER, "order_id").agg(
-        F.sum("revenue").alias("rev"),
-        F.max("order_purchase_timestamp").alias("last_ts"),
-        F.sum(score).alias("s_sum"),
-        F.count(score).alias("s_n"),
-    )
+    per_order = _customer_orders(fact, orders) \
+        .join(reviews.select("order_id", "review_score"), "order_id", "left") \
+        .select(CUSTOMER, "order_id", "rev", "last_ts",
+                (score * F.col("lines")).alias("s_sum"),
+                F.when(score.isNotNull(), F.col("lines")).otherwise(F.lit(0)).alias("s_n"))
     c = per_order.groupBy(CUSTOMER).agg(
         F.count("order_id").alias("total_orders"),
         F.max("last_ts").alias("last_order_date"),
@@ -171,9 +167,9 @@ def churn_status(fact: DataFrame, reviews: DataFrame, as_of=None) -> DataFrame:
         .orderBy(F.col("days_since_last_order").desc_nulls_first(), F.col(CUSTOMER).asc_nulls_last())
 
 
-def churn_summary(fact: DataFrame, as_of=None) -> DataFrame:
+def churn_summary(fact: DataFrame, as_of=None, orders: DataFrame | None = None) -> DataFrame:
     """Customers per churn status and their share."""
-    c = _customer_orders(fact).groupBy(CUSTOMER).agg(
+    c = _customer_orders(fact, orders).groupBy(CUSTOMER).agg(
         F.count("order_id").alias("total_orders"),
         F.max("last_ts").alias("last_order_date"))
     days = whole_days("last_order_date", as_of_column(as_of), "trunc")
@@ -197,8 +193,8 @@ def category_repeat_rate(fact: DataFrame, min_buyers: int = MIN_CATEGORY_BUYERS)
         .orderBy(F.col("repeat_rate_pct").desc_nulls_first(), "category")
 
 
-def _rfm_scored(fact: DataFrame, as_of=None) -> DataFrame:
-    c = _customer_orders(fact).groupBy(CUSTOMER).agg(
+def _rfm_scored(fact: DataFrame, as_of=None, orders: DataFrame | None = None) -> DataFrame:
+    c = _customer_orders(fact, orders).groupBy(CUSTOMER).agg(
         F.max("last_ts").alias("last_ts"),
         F.count("order_id").alias("frequency"),
         F.round(F.sum("rev"), 2).alias("monetary"))
@@ -218,22 +214,22 @@ def _rfm_scored(fact: DataFrame, as_of=None) -> DataFrame:
     return c.withColumns({"rfm_total": total, "rfm_segment": segment})
 
 
-def rfm_segments(fact: DataFrame, as_of=None) -> DataFrame:
+def rfm_segments(fact: DataFrame, as_of=None, orders: DataFrame | None = None) -> DataFrame:
     """Recency, frequency and monetary quintiles and the segment per customer.
 
     Score 1 is the most recent / most frequent / highest spend, as in the
     source queries.
     """
-    return _rfm_scored(fact, as_of).select(
+    return _rfm_scored(fact, as_of, orders).select(
         CUSTOMER, "recency_days", "frequency",
         F.col("monetary").cast("double").alias("monetary"),
         "r_score", "f_score", "m_score", "rfm_total", "rfm_segment",
     ).orderBy(F.col("rfm_total").desc_nulls_first(), F.col(CUSTOMER).asc_nulls_last())
 
 
-def rfm_summary(fact: DataFrame, as_of=None) -> DataFrame:
+def rfm_summary(fact: DataFrame, as_of=None, orders: DataFrame | None = None) -> DataFrame:
     """Customers, value, orders and recency per RFM segment."""
-    g = _rfm_scored(fact, as_of).groupBy("rfm_segment").agg(
+    g = _rfm_scored(fact, as_of, orders).groupBy("rfm_segment").agg(
         F.count(F.lit(1)).alias("customers"),
         mean(F.sum("monetary"), F.count("monetary")).alias("avg_clv"),
         mean(F.sum("frequency"), F.count("frequency")).alias("avg_orders"),

@@ -124,8 +124,8 @@ def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.withColumn("line_no", F.row_number().over(w))
 
 
-def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _numbered_lines(spark, sf_dir)
+def raw_order_items(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    li = lines if lines is not None else _numbered_lines(spark, sf_dir)
     part = _dimension(spark, sf_dir, "part", "p_partkey", "p_type")
     freight = (F.col("l_extendedprice") * F.col("l_tax") * (F.length("p_type") - 4) * 2)
     return (li.join(part, li.l_partkey == part.p_partkey)
@@ -139,8 +139,8 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("l_orderkey") * 1000 + F.col("line_no")).alias("ingest_seq")))
 
 
-def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _numbered_lines(spark, sf_dir)
+def raw_order_payments(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    li = lines if lines is not None else _numbered_lines(spark, sf_dir)
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     ptype = (F.when(flag == "A", PAYMENT_TYPE_BY_FLAG["A"])
              .when(flag == "N", PAYMENT_TYPE_BY_FLAG["N"])
@@ -209,6 +209,20 @@ RAW_BUILDERS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All nine raw tables as lazy frames."""
-    return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
+def raw_tables(spark: SparkSession, sf_dir: str, stage_dir: str | None = None) -> dict[str, DataFrame]:
+    """All nine raw tables as lazy frames.
+
+    With ``stage_dir``, the numbered line items (shared by items and
+    payments) are written there once and read back, instead of sorting the
+    line table once per derived table.
+    """
+    out = {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()
+           if name not in ("order_items", "order_payments")}
+    lines = None
+    if stage_dir:
+        path = f"{stage_dir.rstrip('/')}/numbered_lines"
+        _numbered_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
+        lines = spark.read.parquet(path)
+    out["order_items"] = raw_order_items(spark, sf_dir, lines)
+    out["order_payments"] = raw_order_payments(spark, sf_dir, lines)
+    return out
