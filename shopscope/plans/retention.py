@@ -193,7 +193,8 @@ def category_repeat_rate(fact: DataFrame, min_buyers: int = MIN_CATEGORY_BUYERS)
         .orderBy(F.col("repeat_rate_pct").desc_nulls_first(), "category")
 
 
-def _rfm_scored(fact: DataFrame, as_of=None, orders: DataFrame | None = None) -> DataFrame:
+def _rfm_scored(fact: DataFrame, as_of=None, orders: DataFrame | None = None,
+                score_direction: str = "reference") -> DataFrame:
     c = _customer_orders(fact, orders).groupBy(CUSTOMER).agg(
         F.max("last_ts").alias("last_ts"),
         F.count("order_id").alias("frequency"),
@@ -203,6 +204,12 @@ def _rfm_scored(fact: DataFrame, as_of=None, orders: DataFrame | None = None) ->
     c = distributed_ntile(c, 5, [F.col("recency_days").asc_nulls_last(), tie], name="r_score")
     c = distributed_ntile(c, 5, [F.col("frequency").desc_nulls_first(), tie], name="f_score")
     c = distributed_ntile(c, 5, [F.col("monetary").desc_nulls_first(), tie], name="m_score")
+    if score_direction == "high_is_best":
+        # 5 = most recent / most frequent / highest spend, so the segment
+        # names match their meaning.
+        c = c.withColumns({k: (6 - F.col(k)).cast("int") for k in ("r_score", "f_score", "m_score")})
+    elif score_direction != "reference":
+        raise ValueError(f"unknown score_direction {score_direction!r}")
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     total = r + f + m
     segment = (F.when(total >= 13, RFM_SEGMENTS[0])
@@ -214,22 +221,25 @@ def _rfm_scored(fact: DataFrame, as_of=None, orders: DataFrame | None = None) ->
     return c.withColumns({"rfm_total": total, "rfm_segment": segment})
 
 
-def rfm_segments(fact: DataFrame, as_of=None, orders: DataFrame | None = None) -> DataFrame:
+def rfm_segments(fact: DataFrame, as_of=None, orders: DataFrame | None = None,
+                 score_direction: str = "reference") -> DataFrame:
     """Recency, frequency and monetary quintiles and the segment per customer.
 
-    Score 1 is the most recent / most frequent / highest spend, as in the
-    source queries.
+    With ``score_direction="reference"`` score 1 is the most recent / most
+    frequent / highest spend, as in the source queries; ``"high_is_best"``
+    turns the scores round.
     """
-    return _rfm_scored(fact, as_of, orders).select(
+    return _rfm_scored(fact, as_of, orders, score_direction).select(
         CUSTOMER, "recency_days", "frequency",
         F.col("monetary").cast("double").alias("monetary"),
         "r_score", "f_score", "m_score", "rfm_total", "rfm_segment",
     ).orderBy(F.col("rfm_total").desc_nulls_first(), F.col(CUSTOMER).asc_nulls_last())
 
 
-def rfm_summary(fact: DataFrame, as_of=None, orders: DataFrame | None = None) -> DataFrame:
+def rfm_summary(fact: DataFrame, as_of=None, orders: DataFrame | None = None,
+                score_direction: str = "reference") -> DataFrame:
     """Customers, value, orders and recency per RFM segment."""
-    g = _rfm_scored(fact, as_of, orders).groupBy("rfm_segment").agg(
+    g = _rfm_scored(fact, as_of, orders, score_direction).groupBy("rfm_segment").agg(
         F.count(F.lit(1)).alias("customers"),
         mean(F.sum("monetary"), F.count("monetary")).alias("avg_clv"),
         mean(F.sum("frequency"), F.count("frequency")).alias("avg_orders"),

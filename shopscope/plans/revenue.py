@@ -168,16 +168,22 @@ def state_ranking(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame
     ).orderBy(F.col("total_revenue").desc_nulls_first(), "customer_state")
 
 
-def rolling_revenue(fact: DataFrame, rows: int = ROLLING_ROWS, orders: DataFrame | None = None) -> DataFrame:
+def rolling_revenue(fact: DataFrame, rows: int = ROLLING_ROWS, orders: DataFrame | None = None,
+                    calendar: bool = False) -> DataFrame:
     """Revenue per day and the mean of the last ``rows`` day rows.
 
-    The frame counts rows (days with sales), not calendar days. The window runs
-    over one row per day.
+    By default the frame counts rows (days with sales), as the source report
+    does; ``calendar=True`` averages over the last ``rows`` calendar days
+    instead (days without sales are absent, not zero). The window runs over one
+    row per day.
     """
     d = (_orders(fact, orders)
          .groupBy(day_start("order_purchase_timestamp").alias("day"))
          .agg(F.round(F.sum("rev"), 2).alias("daily")))
-    w = Window.orderBy(F.col("day").asc_nulls_last()).rowsBetween(-(rows - 1), Window.currentRow)
+    if calendar:
+        w = Window.orderBy(F.unix_date(F.to_date("day"))).rangeBetween(-(rows - 1), Window.currentRow)
+    else:
+        w = Window.orderBy(F.col("day").asc_nulls_last()).rowsBetween(-(rows - 1), Window.currentRow)
     return d.select(
         "day",
         F.col("daily").cast("double").alias("daily_revenue"),

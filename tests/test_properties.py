@@ -63,3 +63,19 @@ def test_forecast_is_sane_on_real_series(q):
     future = fc.filter("is_forecast").agg(F.avg("yhat")).first()[0]
     recent = q("daily_revenue").orderBy(F.desc("ds")).limit(90).agg(F.avg("y")).first()[0]
     assert 0.2 * float(recent) < future < 5 * float(recent)
+
+
+def test_rolling_calendar_option_and_rfm_direction(spark):
+    from shopscope.plans import retention as T
+    from shopscope.plans import revenue as R
+    from shopscope.plans.warehouse import open_warehouse
+    wh = open_warehouse(spark, MEDIUM)
+    fact, orders = wh.table("fact_orders"), wh.table("order_summary")
+    rows_based = {r["day"]: r["rolling_30d_avg"] for r in R.rolling_revenue(fact, orders=orders).collect()}
+    cal = {r["day"]: r["rolling_30d_avg"] for r in R.rolling_revenue(fact, orders=orders, calendar=True).collect()}
+    assert rows_based.keys() == cal.keys() and rows_based != cal
+    ref = {r["customer_unique_id"]: r for r in T.rfm_segments(fact, "2001-08-02", orders).collect()}
+    flipped = T.rfm_segments(fact, "2001-08-02", orders, score_direction="high_is_best").collect()
+    assert all(r["r_score"] == 6 - ref[r["customer_unique_id"]]["r_score"] for r in flipped)
+    champions = [r for r in flipped if r["rfm_segment"] == "Champions"]
+    assert champions and all(r["rfm_total"] >= 13 for r in champions)
