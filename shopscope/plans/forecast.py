@@ -251,6 +251,75 @@ def holt_winters(daily: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
     return hist.unionByName(future).withColumn("model", F.lit("holt_winters"))
 
 
+# ---- F4 with fixed parameters, as one Spark expression ----------------------
+
+HW_FIXED = {"alpha": 0.5, "beta": 0.1, "phi": 0.9, "gamma": 0.2}
+
+
+def _held_out_months(daily: DataFrame) -> DataFrame:
+    """Monthly sums per series without the last month (kept when only 1-2 months)."""
+    monthly = daily.groupBy("series_id", F.trunc("ds", "month").alias("month")) \
+        .agg(F.sum("y").cast("double").alias("y"))
+    per_series = Window.partitionBy("series_id")
+    monthly = monthly.withColumn("n_months", F.count(F.lit(1)).over(per_series)) \
+        .withColumn("max_month", F.max("month").over(per_series))
+    return monthly.filter((F.col("month") < F.col("max_month")) | (F.col("n_months") <= 2)) \
+        .select("series_id", "month", "y")
+
+
+def holt_winters_fixed(daily: DataFrame, horizon: int = HORIZON_DAYS, alpha: float = HW_FIXED["alpha"],
+                       beta: float = HW_FIXED["beta"], phi: float = HW_FIXED["phi"],
+                       gamma: float = HW_FIXED["gamma"]) -> DataFrame:
+    """F4 with given smoothing parameters: fitted and forecast month values.
+
+    Each series' months (bounded by the calendar) become one sorted array; the
+    damped additive recursion is a left fold (``aggregate``) over it, with the
+    season kept as an array in the fold state. From 24 months on the 12-month
+    season is used. Rows: series_id, month, value (rounded to cents), is_future.
+    """
+    a, b, p, g = (repr(float(v)) + "D" for v in (alpha, beta, phi, gamma))
+    steps = horizon // 30 + 2
+    arr = _held_out_months(daily).groupBy("series_id") \
+        .agg(F.sort_array(F.collect_list(F.struct("month", "y"))).alias("pts")) \
+        .withColumn("ys", F.expr("transform(pts, x -> x.y)")) \
+        .withColumn("seasonal", F.size("ys") >= HW_MIN_SEASONAL_MONTHS)
+    init = F.expr(f"""
+      CASE WHEN seasonal THEN named_struct(
+             'level', aggregate(slice(ys, 1, 12), 0D, (acc, x) -> acc + x) / 12,
+             'trend', (aggregate(slice(ys, 13, 12), 0D, (acc, x) -> acc + x) / 12
+                       - aggregate(slice(ys, 1, 12), 0D, (acc, x) -> acc + x) / 12) / 12,
+             'seas', transform(slice(ys, 1, 12), x -> x - aggregate(slice(ys, 1, 12), 0D, (acc, v) -> acc + v) / 12),
+             'fitted', transform(slice(ys, 1, 12), x -> aggregate(slice(ys, 1, 12), 0D, (acc, v) -> acc + v) / 12
+                                 + (x - aggregate(slice(ys, 1, 12), 0D, (acc, v) -> acc + v) / 12)))
+           ELSE named_struct('level', try_element_at(ys, 1),
+                             'trend', try_element_at(ys, 2) - try_element_at(ys, 1),
+                             'seas', CAST(array() AS array<double>),
+                             'fitted', array(try_element_at(ys, 1))) END""")
+    s_old = "IF(size(st.seas) > 0, element_at(st.seas, size(st.fitted) - 11), 0D)"
+    prev = f"(st.level + {p} * st.trend)"
+    level = f"({a} * (y - {s_old}) + (1D - {a}) * {prev})"
+    step = f"""
+      named_struct(
+        'level', {level},
+        'trend', {b} * ({level} - st.level) + (1D - {b}) * {p} * st.trend,
+        'seas', IF(size(st.seas) > 0, concat(st.seas, array({g} * (y - {prev}) + (1D - {g}) * {s_old})), st.seas),
+        'fitted', concat(st.fitted, array({prev} + {s_old})))"""
+    folded = arr.withColumn("init", init).withColumn(
+        "st", F.expr(f"aggregate(slice(ys, IF(seasonal, 13, 2), size(ys)), init, (st, y) -> {step})"))
+    forecast = F.expr(f"""
+      transform(sequence(1, {steps}), h -> st.level + st.trend * ({p} * (1D - pow({p}, h)) / (1D - {p}))
+                + IF(size(st.seas) > 0, element_at(st.seas, size(st.seas) - 12 + ((h - 1) % 12) + 1), 0D))""")
+    hist = folded.select("series_id", F.posexplode(F.arrays_zip(F.col("pts.month").alias("month"),
+                                                               F.col("st.fitted").alias("value"))).alias("i", "r")) \
+        .select("series_id", F.col("r.month").alias("month"), F.col("r.value").alias("value"),
+                F.lit(False).alias("is_future"))
+    fut = folded.select("series_id", F.element_at("pts", -1)["month"].alias("last"),
+                        F.posexplode(forecast).alias("i", "value")) \
+        .select("series_id", F.add_months("last", F.col("i") + 1).alias("month"), "value",
+                F.lit(True).alias("is_future"))
+    return hist.unionByName(fut).withColumn("value", even_round("value", 2))
+
+
 # ---- F5: seasonal model ---------------------------------------------------
 
 def _ridge(x: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray:

@@ -190,6 +190,7 @@ FORECAST_QUERIES: dict[str, Query] = {
     "linear_forecast": linear_forecast,
     "forecast_monthly": forecast_monthly,
     "forecast_summary": forecast_summary,
+    "holt_winters_fixed": lambda spark, sf: FC.holt_winters_fixed(FC.with_min_history(_daily(spark, sf))),
     "holt_winters_forecast": holt_winters_forecast,
     "seasonal_forecast": seasonal_forecast,
     "revenue_forecast": revenue_forecast,
