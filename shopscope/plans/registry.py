@@ -96,7 +96,8 @@ CLEAN_KEY_TABLES = ("order_payments_aggregated", "fact_orders")
 
 
 def pk_violations(spark: SparkSession, sf: str) -> DataFrame:
-    raw, wh = raw_tables(spark, sf), open_warehouse(spark, sf)
+    wh = open_warehouse(spark, sf)
+    raw = raw_tables(spark, sf, stage_dir=wh.path("_staging"), staged=True)
     tables = {t: (raw[t], PRIMARY_KEYS[t]) for t in RAW_KEY_TABLES}
     tables.update({t: (wh.table(t), PRIMARY_KEYS[t]) for t in CLEAN_KEY_TABLES})
     return K.pk_violations(tables)

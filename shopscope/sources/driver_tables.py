@@ -209,19 +209,22 @@ RAW_BUILDERS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str, stage_dir: str | None = None) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, sf_dir: str, stage_dir: str | None = None,
+               staged: bool = False) -> dict[str, DataFrame]:
     """All nine raw tables as lazy frames.
 
     With ``stage_dir``, the numbered line items (shared by items and
     payments) are written there once and read back, instead of sorting the
-    line table once per derived table.
+    line table once per derived table; ``staged=True`` reads an earlier
+    staging from ``stage_dir`` without writing it again.
     """
     out = {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()
            if name not in ("order_items", "order_payments")}
     lines = None
     if stage_dir:
         path = f"{stage_dir.rstrip('/')}/numbered_lines"
-        _numbered_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
+        if not staged:
+            _numbered_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
         lines = spark.read.parquet(path)
     out["order_items"] = raw_order_items(spark, sf_dir, lines)
     out["order_payments"] = raw_order_payments(spark, sf_dir, lines)
