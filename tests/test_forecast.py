@@ -107,3 +107,23 @@ def test_monthly_rollup_and_summary(spark):
     assert s["last_month_revenue"] == 1400.0
     assert s["next_month"] == dt.date(2018, 3, 1)
     assert s["mom_growth_pct"] == pytest.approx(round(100 * (3100 - 1400) / 1400, 1))
+
+
+def test_holt_winters_engines_agree(spark):
+    pts = _seasonal_month_series(30)
+    data = [("s", d, Decimal(str(round(v, 2)))) for d, v in pts]
+    daily = spark.createDataFrame(data, "series_id string, ds date, y decimal(18,2)")
+    a = {r["ds"]: r["yhat"] for r in FC.holt_winters(daily, engine="spark").collect()}
+    b = {r["ds"]: r["yhat"] for r in FC.holt_winters(daily, engine="pandas").collect()}
+    assert a.keys() == b.keys()
+    assert max(abs(a[k] - b[k]) / max(1.0, abs(b[k])) for k in a) < 1e-9
+
+
+def test_holt_winters_fixed_matches_numpy_recursion(spark):
+    pts = _seasonal_month_series(30)
+    data = [("s", d, Decimal(str(round(v, 2)))) for d, v in pts]
+    daily = spark.createDataFrame(data, "series_id string, ds date, y decimal(18,2)")
+    got = [r["value"] for r in FC.holt_winters_fixed(daily).orderBy("month").collect() if True]
+    months = FC._held_out_months(daily).orderBy("month").toPandas()["y"].to_numpy(float)
+    _, fitted, _, _ = FC._hw_run(months, 0.5, 0.1, 0.9, 0.2, 12)
+    assert got[:len(months)] == pytest.approx([round(v, 2) for v in fitted], abs=0.011)
