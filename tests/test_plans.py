@@ -24,3 +24,21 @@ def test_customer_tiles_do_not_use_a_global_window(spark):
     text = plan_text(T.customer_clv(fact))
     # The only global window left is over the per-partition offsets table.
     assert "ntile(" not in text.lower()
+
+
+def test_customer_aggregation_reads_bucketed_orders_without_shuffle(spark):
+    wh = open_warehouse(spark, SMALL)
+    df = T.retention_rate(wh.table("fact_orders"), orders=wh.table("order_summary"))
+    text = plan_text(df)
+    # Only the final one-row total needs an exchange; the per-customer step is co-located.
+    assert text.count("Exchange") == 1 and "SinglePartition" in text
+    unbucketed = T.retention_rate(wh.table("fact_orders"))
+    assert plan_text(unbucketed).count("Exchange") > 1
+
+
+def test_no_broadcast_without_a_bound(spark):
+    # The planner's file-size estimate alone never triggers a broadcast.
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    wh = open_warehouse(spark, SMALL)
+    joined = wh.table("order_items").join(wh.table("order_payments_aggregated"), "order_id")
+    assert "BroadcastExchange" not in joined._jdf.queryExecution().sparkPlan().toString()
