@@ -78,8 +78,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--no-forecast", action="store_true")
     ap.add_argument("--series", default=None, help="column to forecast per value (e.g. customer_state)")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--input-bytes", type=int, default=None,
+                    help="size of the raw input; sets shuffle partitions to about 128 MB each")
     args = ap.parse_args(argv)
     spark = build_session(args.master) if args.master else build_session()
+    if args.input_bytes:
+        from shopscope.session import size_shuffles
+        size_shuffles(spark, args.input_bytes)
     try:
         rep = run(spark, args.input, args.output, args.format, not args.no_forecast, args.series)
     except csv_files.MissingInputs as exc:

@@ -40,6 +40,27 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+# Target bytes per shuffle partition: small enough to sort in executor memory
+# without spilling much, large enough to keep task overhead low.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def partitions_for(input_bytes: int, cores: int, target: int = TARGET_PARTITION_BYTES) -> int:
+    """Shuffle partitions for an input of ``input_bytes``: one per ``target``
+    bytes, at least two per core. Adaptive execution coalesces the excess at
+    run time, so erring high is cheap; erring low makes tasks spill."""
+    return max(2 * cores, -(-input_bytes // target))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set shuffle partitions and the adaptive target size for an input size."""
+    cores = spark.sparkContext.defaultParallelism
+    n = partitions_for(input_bytes, cores)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TARGET_PARTITION_BYTES))
+    return n
+
+
 def apply_required_conf(spark: SparkSession) -> None:
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)

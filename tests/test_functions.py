@@ -56,3 +56,9 @@ def test_lenient_parsers(spark):
     got = df.select(S.lenient_timestamp("t").alias("t"), S.lenient_number("n", "decimal(18,2)").alias("n")).collect()
     assert got[0]["t"] == dt.datetime(2017, 10, 2, 10, 56, 33) and float(got[0]["n"]) == 12.5
     assert got[1]["t"] is None and got[1]["n"] is None
+
+
+def test_shuffle_sizing():
+    from shopscope.session import partitions_for
+    assert partitions_for(0, 8) == 16
+    assert partitions_for(100 * 2**40, 8000) == 819200       # 100 TB at 128 MB each
