@@ -40,16 +40,19 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-# Target bytes per shuffle partition: small enough to sort in executor memory
-# without spilling much, large enough to keep task overhead low.
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# Target input bytes per shuffle partition (the shuffled, projected rows are
+# several times smaller), and a cap that keeps the driver's map-output
+# tracking manageable on a large cluster.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def partitions_for(input_bytes: int, cores: int, target: int = TARGET_PARTITION_BYTES) -> int:
     """Shuffle partitions for an input of ``input_bytes``: one per ``target``
-    bytes, at least two per core. Adaptive execution coalesces the excess at
-    run time, so erring high is cheap; erring low makes tasks spill."""
-    return max(2 * cores, -(-input_bytes // target))
+    bytes, at least two per core, at most ``MAX_SHUFFLE_PARTITIONS``.
+    Adaptive execution coalesces the excess at run time, so erring high is
+    cheap; erring low makes tasks spill."""
+    return min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, -(-input_bytes // target)))
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
@@ -57,7 +60,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     cores = spark.sparkContext.defaultParallelism
     n = partitions_for(input_bytes, cores)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TARGET_PARTITION_BYTES))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))
     return n
 
 

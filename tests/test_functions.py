@@ -61,4 +61,5 @@ def test_lenient_parsers(spark):
 def test_shuffle_sizing():
     from shopscope.session import partitions_for
     assert partitions_for(0, 8) == 16
-    assert partitions_for(100 * 2**40, 8000) == 819200       # 100 TB at 128 MB each
+    assert partitions_for(10 * 2**40, 8000) == 40960         # 10 TB at 256 MB each
+    assert partitions_for(100 * 2**40, 8000) == 200000       # capped
