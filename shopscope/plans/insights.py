@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shopscope.functions.scalar import mean, month_start, percent, sql_round, whole_days
 from shopscope.operators.ranking import share_of_total
 from shopscope.plans.retention import CUSTOMER, as_of_column, churn_label
-from shopscope.plans.revenue import _orders, delivered_lines
+from shopscope.plans.revenue import _orders, delivered_lines, with_reviews
 
 # Fixed bucket and sentiment labels.
 INSTALLMENT_BUCKETS = ("1", "2-5", "6+", "unknown")
@@ -91,8 +91,7 @@ def negative_review_heatmap(fact: DataFrame, reviews: DataFrame) -> DataFrame:
 
 def late_delivery_reviews(fact: DataFrame, reviews: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Review score and negative share for late and on-time orders."""
-    o = _orders(fact, orders).select("order_id", "is_late_delivery") \
-        .join(reviews.select("order_id", "review_score", "is_negative_review"), "order_id", "left")
+    o = with_reviews(_orders(fact, orders), reviews)
     g = o.groupBy("is_late_delivery").agg(
         F.count(F.lit(1)).alias("orders"),
         F.count("review_score").alias("reviewed_orders"),
@@ -105,8 +104,7 @@ def late_delivery_reviews(fact: DataFrame, reviews: DataFrame, orders: DataFrame
 def delivery_review_correlation(fact: DataFrame, reviews: DataFrame,
                                 orders: DataFrame | None = None) -> DataFrame:
     """Pearson correlation of delivery days and review score over orders."""
-    o = _orders(fact, orders).select("order_id", "delivery_days") \
-        .join(reviews.select("order_id", "review_score"), "order_id")
+    o = with_reviews(_orders(fact, orders), reviews).filter(F.col("has_review").isNotNull())
     return o.agg(F.count(F.lit(1)).alias("orders"),
                  sql_round(F.corr(F.col("delivery_days").cast("double"), F.col("review_score").cast("double")), 4)
                  .alias("correlation"))
@@ -120,11 +118,11 @@ def _sentiment(score):
 def reorder_by_sentiment(fact: DataFrame, reviews: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Share of customers who ordered again, by the review of their first order."""
     per_order = _orders(fact, orders).filter(F.col(CUSTOMER).isNotNull()) \
-        .select(CUSTOMER, "order_id", F.col("order_purchase_timestamp").alias("ts"))
-    cust = per_order.groupBy(CUSTOMER).agg(
+        .withColumnRenamed("order_purchase_timestamp", "ts")
+    scored = with_reviews(per_order, reviews)
+    c = scored.groupBy(CUSTOMER).agg(
         F.count("order_id").alias("orders"),
-        F.min_by("order_id", F.struct(F.col("ts").isNull(), F.col("ts"), F.col("order_id"))).alias("first_order"))
-    c = cust.join(reviews.select(F.col("order_id").alias("first_order"), "review_score"), "first_order", "left")
+        F.min_by("review_score", F.struct(F.col("ts").isNull(), F.col("ts"), F.col("order_id"))).alias("review_score"))
     g = c.groupBy(_sentiment(F.col("review_score")).alias("first_review")).agg(
         F.count(F.lit(1)).alias("customers"),
         F.count(F.when(F.col("orders") > 1, 1)).alias("repeat_customers"))

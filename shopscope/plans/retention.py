@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from shopscope.functions.scalar import even_round, mean, month_start, percent, sql_round, whole_days
 from shopscope.operators.ranking import distributed_ntile, share_of_total
-from shopscope.plans.revenue import _label, _orders, delivered_lines
+from shopscope.plans.revenue import _label, _orders, delivered_lines, with_reviews
 
 CUSTOMER = "customer_unique_id"
 
@@ -147,11 +147,13 @@ def churn_status(fact: DataFrame, reviews: DataFrame, as_of=None,
 
     The review score is averaged over lines (each line carries its order's
     review, so an order counts as many times as it has lines); a score of 0
-    counts as missing. The review join runs at order grain.
+    counts as missing. The order summary carries each order's review, so no
+    join runs here.
     """
     score = F.when(F.col("review_score") != 0, F.col("review_score"))
-    per_order = _customer_orders(fact, orders) \
-        .join(reviews.select("order_id", "review_score"), "order_id", "left") \
+    o = with_reviews(_orders(fact, orders), reviews)
+    per_order = o.select(CUSTOMER, "order_id", "rev", "lines", F.col("order_purchase_timestamp").alias("last_ts"),
+                         "review_score") \
         .select(CUSTOMER, "order_id", "rev", "last_ts",
                 (score * F.col("lines")).alias("s_sum"),
                 F.when(score.isNotNull(), F.col("lines")).otherwise(F.lit(0)).alias("s_n"))

@@ -66,12 +66,27 @@ ORDER_KEYS = ("customer_unique_id", "customer_state", "order_year", "order_month
               "order_purchase_timestamp")
 
 
-def order_summary(fact: DataFrame) -> DataFrame:
+REVIEW_COLUMNS = ("review_id", "review_score", "is_negative_review", "has_review")
+
+
+def order_summary(fact: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
     """Delivered orders, one row each: the shared first step of the order- and
     customer-level marts. The pipeline writes it once next to the fact, so
     those marts start from a table a few times smaller than the lines and skip
-    a full shuffle each."""
-    return _order_grain(delivered_lines(fact), *ORDER_KEYS)
+    a full shuffle each. With ``reviews`` (at most one per order after
+    cleaning) the order's review is attached once here, so review-based marts
+    need no join of their own."""
+    o = _order_grain(delivered_lines(fact), *ORDER_KEYS)
+    return o if reviews is None else with_reviews(o, reviews)
+
+
+def with_reviews(orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The order rows with their review columns (joined only when missing)."""
+    if all(c in orders.columns for c in REVIEW_COLUMNS):
+        return orders
+    r = reviews.select("order_id", "review_id", "review_score", "is_negative_review",
+                       F.lit(True).alias("has_review"))
+    return orders.join(r, "order_id", "left")
 
 
 def _orders(fact: DataFrame, orders: DataFrame | None) -> DataFrame:

@@ -124,7 +124,7 @@ class Warehouse:
         t2 = time.time()
         # The delivered orders, one row each: the shared first step of the
         # order- and customer-level marts, computed once here.
-        self.write_bucketed("order_summary", order_summary(self.table("fact_orders")))
+        self.write_bucketed("order_summary", order_summary(self.table("fact_orders"), self.table("order_reviews")))
         self.seconds = {"clean": t1 - t0, "fact": t2 - t1, "order_summary": time.time() - t2}
         return self
 
