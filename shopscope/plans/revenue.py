@@ -84,7 +84,9 @@ def with_reviews(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     """The order rows with their review columns (joined only when missing)."""
     if all(c in orders.columns for c in REVIEW_COLUMNS):
         return orders
-    r = reviews.select("order_id", "review_id", "review_score", "is_negative_review",
+    types = {"review_id": "string", "review_score": "int", "is_negative_review": "boolean"}
+    r = reviews.select("order_id", *[F.col(c) if c in reviews.columns else F.lit(None).cast(t).alias(c)
+                                     for c, t in types.items()],
                        F.lit(True).alias("has_review"))
     return orders.join(r, "order_id", "left")
 
