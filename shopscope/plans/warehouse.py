@@ -55,9 +55,15 @@ def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None) -> N
     df.write.mode("overwrite").parquet(path)
 
 
-# Tables written bucketed on the key their marts group by, so those
-# aggregations read co-located data and need no shuffle.
-BUCKETED = {"order_summary": "customer_unique_id"}
+# Tables written bucketed (key, sort columns within a bucket): the fact and
+# the reviews on the order id they are joined on, the order summary on the
+# customer its marts group by. All use the same bucket count, so joins and
+# aggregations on these keys read co-located data and need no shuffle.
+BUCKETED = {
+    "fact_orders": ("order_id", ("order_status", "order_purchase_timestamp")),
+    "order_reviews": ("order_id", ("order_id",)),
+    "order_summary": ("customer_unique_id", ("customer_unique_id",)),
+}
 
 
 @dataclass
@@ -87,21 +93,30 @@ class Warehouse:
         tname = self._catalog_name(name)
         if not self.spark.catalog.tableExists(tname):
             # A build from an earlier run: register its files with their layout.
-            key = BUCKETED[name]
+            key, sort = BUCKETED[name]
             schema = self.spark.read.parquet(self.path(name)).schema
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            self.spark.sql(f"CREATE TABLE {tname} ({cols}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
-                           f"INTO {self._bucket_count()} BUCKETS LOCATION '{self.path(name)}'")
+            self.spark.sql(f"CREATE TABLE {tname} ({cols}) USING parquet CLUSTERED BY ({key}) "
+                           f"SORTED BY ({', '.join(sort)}) INTO {self._bucket_count()} BUCKETS "
+                           f"LOCATION '{self.path(name)}'")
         return self.spark.table(tname)
 
-    def write_bucketed(self, name: str, df: DataFrame) -> None:
-        """Replace a bucketed table: one file per bucket and task, sorted by the key."""
-        key, tname = BUCKETED[name], self._catalog_name(name)
+    def _set_buckets(self) -> None:
+        """Fix the bucket count of this build (the session's shuffle partition count)."""
         self.buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.spark.createDataFrame([(str(self.buckets),)], "value string").coalesce(1) \
             .write.mode("overwrite").text(self.path("_buckets"))
-        df.write.mode("overwrite").bucketBy(self.buckets, key).sortBy(key) \
-            .option("path", self.path(name)).saveAsTable(tname)
+
+    def write_table(self, name: str, df: DataFrame) -> None:
+        """Replace a table; bucketed tables are hash-partitioned on their key
+        first (the same hash as the buckets), so each bucket is one file."""
+        if name not in BUCKETED:
+            write_table(df, self.path(name))
+            return
+        key, sort = BUCKETED[name]
+        df.repartition(self.buckets, key).write.mode("overwrite") \
+            .bucketBy(self.buckets, key).sortBy(*sort) \
+            .option("path", self.path(name)).saveAsTable(self._catalog_name(name))
 
     def build(self, raw: dict[str, DataFrame], parallel_writes: int = 4) -> "Warehouse":
         """Clean and write the nine tables, then build and write the fact.
@@ -110,21 +125,23 @@ class Warehouse:
         threads lets the scheduler fill idle cores while one job shuffles.
         """
         t0 = time.time()
+        self._set_buckets()
         cleaned = clean_all(raw)
         with ThreadPoolExecutor(max_workers=parallel_writes) as pool:
-            for done in [pool.submit(write_table, df, self.path(name)) for name, df in cleaned.items()]:
+            for done in [pool.submit(self.write_table, name, df) for name, df in cleaned.items()]:
                 done.result()
         t1 = time.time()
         fact = build_fact(self.table("orders"), self.table("order_items"),
                           self.table("order_payments_aggregated"), self.table("customers"),
                           self.table("products"), self.table("sellers"))
-        # Rows of one status and time range sit together, so Parquet min/max
-        # statistics skip row groups for the status filter every mart uses.
-        write_table(fact, self.path("fact_orders"), ["order_status", "order_purchase_timestamp"])
+        # Bucketed on order_id; inside a bucket, rows of one status and time
+        # range sit together, so Parquet min/max statistics skip row groups for
+        # the status filter every mart uses.
+        self.write_table("fact_orders", fact)
         t2 = time.time()
-        # The delivered orders, one row each: the shared first step of the
-        # order- and customer-level marts, computed once here.
-        self.write_bucketed("order_summary", order_summary(self.table("fact_orders"), self.table("order_reviews")))
+        # The delivered orders, one row each with their review: the shared
+        # first step of the order- and customer-level marts, computed once.
+        self.write_table("order_summary", order_summary(self.table("fact_orders"), self.table("order_reviews")))
         self.seconds = {"clean": t1 - t0, "fact": t2 - t1, "order_summary": time.time() - t2}
         return self
 
