@@ -42,3 +42,11 @@ def test_no_broadcast_without_a_bound(spark):
     wh = open_warehouse(spark, SMALL)
     joined = wh.table("order_items").join(wh.table("order_payments_aggregated"), "order_id")
     assert "BroadcastExchange" not in joined._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_review_join_on_bucketed_fact_needs_no_shuffle(spark):
+    wh = open_warehouse(spark, SMALL)
+    df = R.top_products(wh.table("fact_orders"), wh.table("products"), wh.table("order_reviews"))
+    text = plan_text(df)
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 1 and "product_id" in shuffles[0]
