@@ -9,10 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shopscope.operators import quality as K
+from shopscope.plans import forecast as FC
+from shopscope.plans import insights as D
 from shopscope.plans import retention as T
 from shopscope.plans import revenue as R
 from shopscope.plans.warehouse import open_warehouse
+from shopscope.schemas import FOREIGN_KEYS, NUMERIC_SIZES, PRIMARY_KEYS, VARCHAR_LENGTHS
+from shopscope.sources.driver_tables import raw_tables
 
 # Fixed evaluation time of the recency marts, so results are reproducible.
 AS_OF = "2001-08-02 00:00:00"
@@ -84,9 +90,6 @@ RETENTION_QUERIES: dict[str, Query] = {
 
 # ---- data-quality reports ------------------------------------------------
 
-from shopscope.operators import quality as K  # noqa: E402
-from shopscope.schemas import FOREIGN_KEYS, NUMERIC_SIZES, PRIMARY_KEYS, VARCHAR_LENGTHS  # noqa: E402
-from shopscope.sources.driver_tables import raw_tables  # noqa: E402
 
 # Tables checked for keys before cleaning (the raw input), and after (the
 # aggregate and the fact, which cleaning builds).
@@ -126,13 +129,9 @@ QUALITY_QUERIES: dict[str, Query] = {
 }
 
 
-def all_queries() -> dict[str, Query]:
-    return {**CLEAN_QUERIES, **QUALITY_QUERIES, **REVENUE_QUERIES, **RETENTION_QUERIES}
-
 
 # ---- forecasts -------------------------------------------------------------
 
-from shopscope.plans import forecast as FC  # noqa: E402
 
 
 def _daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,7 +140,7 @@ def _daily(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    return _daily(spark, sf).withColumn("y", FC.F.col("y").cast("double"))
+    return _daily(spark, sf).withColumn("y", F.col("y").cast("double"))
 
 
 def _linear(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -199,14 +198,9 @@ FORECAST_QUERIES: dict[str, Query] = {
 }
 
 
-def all_queries() -> dict[str, Query]:  # noqa: F811
-    return {**CLEAN_QUERIES, **QUALITY_QUERIES, **REVENUE_QUERIES, **RETENTION_QUERIES,
-            **FORECAST_QUERIES}
-
 
 # ---- dashboard findings --------------------------------------------------------
 
-from shopscope.plans import insights as D  # noqa: E402
 
 INSIGHT_QUERIES: dict[str, Query] = {
     "yoy_growth": _on_orders(D.yoy_growth),
@@ -224,6 +218,6 @@ INSIGHT_QUERIES: dict[str, Query] = {
 }
 
 
-def all_queries() -> dict[str, Query]:  # noqa: F811
+def all_queries() -> dict[str, Query]:
     return {**CLEAN_QUERIES, **QUALITY_QUERIES, **REVENUE_QUERIES, **RETENTION_QUERIES,
             **FORECAST_QUERIES, **INSIGHT_QUERIES}
