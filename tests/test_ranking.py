@@ -34,3 +34,15 @@ def test_ntile_heavy_tie_spreads_over_partitions(spark):
     assert len(per_part) > 1
     assert sorted(r["rn"] for r in ranked.collect()) == list(range(1, 3001))
     _check(spark, data, 5)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=120),
+       k=st.integers(1, 7), partitions=st.integers(1, 9))
+def test_ntile_property(spark, values, k, partitions):
+    data = [(i, v) for i, v in enumerate(values)]
+    _check(spark, data, k, partitions=partitions)
