@@ -66,6 +66,9 @@ BUCKETED = {
 }
 
 
+_register_lock = threading.Lock()
+
+
 @dataclass
 class Warehouse:
     """The written tables of one input folder."""
@@ -91,14 +94,15 @@ class Warehouse:
         if name not in BUCKETED:
             return self.spark.read.parquet(self.path(name))
         tname = self._catalog_name(name)
-        if not self.spark.catalog.tableExists(tname):
-            # A build from an earlier run: register its files with their layout.
-            key, sort = BUCKETED[name]
-            schema = self.spark.read.parquet(self.path(name)).schema
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            self.spark.sql(f"CREATE TABLE {tname} ({cols}) USING parquet CLUSTERED BY ({key}) "
-                           f"SORTED BY ({', '.join(sort)}) INTO {self._bucket_count()} BUCKETS "
-                           f"LOCATION '{self.path(name)}'")
+        with _register_lock:
+            if not self.spark.catalog.tableExists(tname):
+                # A build from an earlier run: register its files with their layout.
+                key, sort = BUCKETED[name]
+                schema = self.spark.read.parquet(self.path(name)).schema
+                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {tname} ({cols}) USING parquet "
+                               f"CLUSTERED BY ({key}) SORTED BY ({', '.join(sort)}) "
+                               f"INTO {self._bucket_count()} BUCKETS LOCATION '{self.path(name)}'")
         return self.spark.table(tname)
 
     def _set_buckets(self) -> None:
