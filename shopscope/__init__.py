@@ -1,10 +1,12 @@
 """shopscope: retail order analytics on Spark.
 
 Raw shop tables are cleaned, joined into one line-item fact, checked for key and
-value constraints, and summarised into revenue, retention and forecast marts.
-Every operator is a lazy ``DataFrame -> DataFrame`` function; the only actions
-are the table writes in :mod:`shopscope.plans.publish` and the bounded size
-probes in :mod:`shopscope.operators.sizing`.
+value constraints, and summarised into revenue, retention, forecast and
+finding marts. Every operator is a lazy ``DataFrame -> DataFrame`` function.
+Actions happen only where they are part of the design: the table writes of
+the warehouse build and of publishing, the bounded row-count probes behind
+broadcasts (``operators.sizing``), and the reliable checkpoints that pin the
+range partitions of the distributed NTILE and the forecast cascade stages.
 """
 
 __version__ = "0.1.0"
