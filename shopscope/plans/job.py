@@ -23,6 +23,7 @@ from shopscope.sources import csv_files
 from shopscope.sources.driver_tables import raw_tables
 
 log = logging.getLogger(__name__)
+MONEY = "decimal(18,2)"
 
 
 @dataclass
@@ -55,10 +56,16 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, input_format: str
         t1 = time.time()
         try:
             daily = FC.with_min_history(FC.daily_revenue(wh.table("fact_orders"), series_col))
-            daily_fc = FC.publishable(FC.forecast(daily), daily)
-            daily_fc.write.mode("overwrite").parquet(wh.path("forecast_daily"))
-            fc = spark.read.parquet(wh.path("forecast_daily"))
-            FC.monthly_rollup(fc).write.mode("overwrite").parquet(wh.path("forecast_monthly"))
+            raw_fc = FC.forecast(daily).checkpoint(eager=True)
+            # Published as exact cents (the source's NUMERIC(12,2), widened to
+            # 18 digits so large shops cannot overflow).
+            cents = {c: F.col(c).cast(MONEY) for c in ("yhat", "yhat_lower", "yhat_upper")}
+            FC.publishable(raw_fc, daily).withColumns(cents) \
+                .write.mode("overwrite").parquet(wh.path("forecast_daily"))
+            monthly = FC.monthly_rollup(raw_fc)
+            monthly.withColumns({c: F.col(c).cast(MONEY) for c in
+                                 ("forecast_revenue", "forecast_lower", "forecast_upper")}) \
+                .write.mode("overwrite").parquet(wh.path("forecast_monthly"))
             for name in ("forecast_daily", "forecast_monthly"):
                 report.add("forecast", name, wh.table(name).count(), time.time() - t1)
         except Exception as exc:  # the forecast is optional: report and go on
