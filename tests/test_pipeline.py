@@ -47,3 +47,11 @@ def test_csv_job_matches_typed_warehouse(spark, scratch):
 def test_job_without_forecast(spark, scratch):
     rep = job.run(spark, SMALL, os.path.join(scratch, "out"), "driver", with_forecast=False)
     assert [s for s in rep.stages if s[0] == "forecast"] == []
+
+
+def test_command_line(spark, scratch, capsys):
+    job.main(["--input", SMALL, "--output", os.path.join(scratch, "cli"), "--format", "driver", "--no-forecast"])
+    out = capsys.readouterr().out
+    assert "fact\tfact_orders\t6000" in out
+    with pytest.raises(SystemExit):
+        job.main(["--input", os.path.join(scratch, "nothing"), "--output", os.path.join(scratch, "x")])
