@@ -122,7 +122,7 @@ class Warehouse:
             .bucketBy(self.buckets, key).sortBy(*sort) \
             .option("path", self.path(name)).saveAsTable(self._catalog_name(name))
 
-    def build(self, raw: dict[str, DataFrame], parallel_writes: int = 4) -> "Warehouse":
+    def build(self, raw: dict[str, DataFrame], parallel_writes: int = len(CLEAN_TABLES)) -> "Warehouse":
         """Clean and write the nine tables, then build and write the fact.
 
         The cleaned tables are independent jobs; submitting them from a few
