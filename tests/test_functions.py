@@ -63,3 +63,17 @@ def test_shuffle_sizing():
     assert partitions_for(0, 8) == 16
     assert partitions_for(10 * 2**40, 8000) == 40960         # 10 TB at 256 MB each
     assert partitions_for(100 * 2**40, 8000) == 200000       # capped
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+CITY_CHARS = "abcdeghilmnorstuvzABCDELMNOSTáéíóúãõçâêôÁÉÇ '-.0123456789\t"
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(CITY_CHARS, max_size=20), min_size=1, max_size=20))
+def test_title_case_property(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = [r[0] for r in df.select(S.title_case(S.strip("v"))).collect()]
+    assert got == [t.strip().title() for t in texts]
