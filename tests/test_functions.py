@@ -77,3 +77,17 @@ def test_title_case_property(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     got = [r[0] for r in df.select(S.title_case(S.strip("v"))).collect()]
     assert got == [t.strip().title() for t in texts]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(pairs=st.lists(st.tuples(st.integers(-10**9, 10**9), st.integers(-10**9, 10**9)), min_size=1, max_size=30))
+def test_whole_days_property(spark, pairs):
+    import math
+    base = dt.datetime(2010, 1, 1)
+    data = [(base + dt.timedelta(microseconds=a * 1000), base + dt.timedelta(microseconds=b * 1000)) for a, b in pairs]
+    df = spark.createDataFrame(data, "a timestamp_ntz, b timestamp_ntz")
+    got = df.select(S.whole_days("a", "b", "floor").alias("f"), S.whole_days("a", "b", "trunc").alias("t")).collect()
+    for (a, b), r in zip(data, got):
+        gap = b - a
+        assert r["f"] == gap.days                                            # timedelta: floor
+        assert r["t"] == math.trunc(gap.total_seconds() / 86400)             # interval day field: toward zero
