@@ -91,3 +91,16 @@ def test_whole_days_property(spark, pairs):
         gap = b - a
         assert r["f"] == gap.days                                            # timedelta: floor
         assert r["t"] == math.trunc(gap.total_seconds() / 86400)             # interval day field: toward zero
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.integers(-10**9, 10**9), min_size=1, max_size=30), digits=st.integers(0, 2))
+def test_rounding_property(spark, values, digits):
+    from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal
+    decs = [Decimal(v).scaleb(-4) for v in values]                       # up to 4 decimal places
+    df = spark.createDataFrame([(d,) for d in decs], "v decimal(18,4)")
+    got = df.select(S.sql_round("v", digits).alias("u"), S.even_round("v", digits).alias("e")).collect()
+    q = Decimal(1).scaleb(-digits)
+    for d, r in zip(decs, got):
+        assert r["u"] == float(d.quantize(q, rounding=ROUND_HALF_UP))
+        assert r["e"] == float(d.quantize(q, rounding=ROUND_HALF_EVEN))
