@@ -2,6 +2,27 @@
 
 from __future__ import annotations
 
+OP2 = r"""
+WITH rules(host, path, verdict) AS (VALUES
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), urls AS (
+  SELECT page_id, url,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), fits AS (
+  SELECT u.page_id, u.url, max_by(r.host || r.path, length(r.host || r.path)) AS rule,
+         max_by(r.verdict, length(r.host || r.path)) AS verdict
+  FROM urls u JOIN rules r
+    ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
+  GROUP BY u.page_id, u.url
+)
+SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM urls u LEFT JOIN fits f USING (page_id, url)
+"""
+
 OP4 = r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents
@@ -54,4 +75,4 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLE_SQL = {"op4_exact_dedup": OP4, "op9_mixing": OP9}
+ORACLE_SQL = {"op2_url_filter": OP2, "op4_exact_dedup": OP4, "op9_mixing": OP9}

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, simhash, toxicity
+from . import bpe, exact_dedup, mixing, quality, simhash, toxicity, url_filter
 from .common import free_name, stage, table
 
 
@@ -24,6 +24,29 @@ def fold(doc_id: str, folds: int):
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds))
 
 
+# (host, path, verdict): the registered rule set.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.quality_scores(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge_urls(pages, url_filter.rule_table(spark, URL_RULES)) \
+        .select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4) \
         .select("doc_id", "fingerprint", "component_id")
@@ -57,4 +80,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_exact_dedup, op7_bpe, op8_toxicity, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_url_filter, op3_simhash, op4_exact_dedup, op7_bpe, op8_toxicity,
+                                    op9_mixing)}
