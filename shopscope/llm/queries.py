@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, quality, simhash, toxicity, url_filter
+from . import ann, bpe, exact_dedup, licenses, mixing, pii, quality, simhash, toxicity, url_filter
 from .common import free_name, stage, table
 
 
@@ -56,6 +56,20 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.expr("vec_id % 100 = 0"), k=10)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.train(docs))
+    return found.select("doc_id", "paragraphs", F.size("found").cast("bigint").alias("n_found"),
+                        F.array_join(F.sort_array(F.array_distinct("found.family")), ",").alias("families"),
+                        F.array_join(F.transform("found", lambda x: F.concat_ws(":", x["family"], x["start"],
+                                                                                x["end"])), ",").alias("spans"))
+
+
 def bpe_digests(docs: DataFrame) -> DataFrame:
     path = tokenizer_path()
     return bpe.decode(bpe.encode(docs, path), path).select(
@@ -80,5 +94,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_url_filter, op3_simhash, op4_exact_dedup, op7_bpe, op8_toxicity,
-                                    op9_mixing)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.extract(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+                        pii.joined(F.col("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_url_filter, op3_simhash, op4_exact_dedup, op5_ann, op6_licenses,
+                                    op7_bpe, op8_toxicity, op9_mixing, op10_pii)}
