@@ -40,7 +40,7 @@ MIN_DOCS = 4
 MAX_FEATURES = 50_000
 MAX_TRAIN_WORDS = 12_000_000
 EPOCHS = 80
-L1 = 2e-5
+L1 = 1e-4
 THRESHOLD = 0.5
 
 _sentences = re.compile(r"[^.!?\n]+").finditer
