@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stage
+from .common import new_path, ship
 
 # The byte-level pre-tokenizer's fixed pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -52,15 +52,17 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # (a test compares them all). Texts with other characters, which newer Unicode
 # versions may have classed anew, are split by the library itself.
 AGREED = "\u0000-\u0557\u2000-\u206f\u20a0-\u20bf\u2100-\u214f\u2190-\u23ff\u4e00-\u9fa5\uac00-\ud7a3"
-CHUNK_CHARS = 24_000_000
-ROWS_PER_BUCKET = 1024
+CHUNK_CHARS = 12_000_000
+ROWS_PER_BUCKET = 4096
+_ENCODE_BATCH = 8192
+_DECODE_ROWS = 512
 
 
 # -- packing ----------------------------------------------------------------
 
-def _pack(*parts: bytes) -> bytes:
+def _pack(*parts: bytes, level: int = 3) -> bytes:
     import zstandard
-    return zstandard.ZstdCompressor(3).compress(
+    return zstandard.ZstdCompressor(level).compress(
         struct.pack(f"<{len(parts) + 1}Q", len(parts), *map(len, parts)) + b"".join(parts))
 
 
@@ -85,6 +87,24 @@ def _from_planes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+def _pack_sequence(values: np.ndarray) -> list[bytes]:
+    """Numbers that are smaller the more frequent: one byte each, with 255 for
+    those that follow in two bytes, and 65535 there for those in four."""
+    second = values[values >= 255]
+    third = second[second >= 65535]
+    return [np.minimum(values, 255).astype(np.uint8).tobytes(),
+            np.ascontiguousarray(np.minimum(second, 65535).astype("<u2").view(np.uint8).reshape(-1, 2).T).tobytes(),
+            _planes(third)]
+
+
+def _unpack_sequence(first: bytes, second: bytes, third: bytes) -> np.ndarray:
+    out = np.frombuffer(first, np.uint8).astype(np.uint32)
+    two = np.ascontiguousarray(np.frombuffer(second, np.uint8).reshape(2, -1).T).view("<u2").ravel().astype(np.uint32)
+    two[two == 65535] = _from_planes(third)
+    out[out == 255] = two
+    return out
+
+
 def _ragged_take(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, pick: np.ndarray) -> np.ndarray:
     """The slices ``pick`` of a ragged array, one after the other."""
     n = sizes[pick]
@@ -166,15 +186,19 @@ def _chunks(path: str, buckets: int, id_type: pa.DataType, chunk_chars: int):
         chunk = uuid.uuid4().hex
         sizes = np.array([len(s) for s in sequences], "<u4")
         flat = np.concatenate(sequences) if sequences else np.zeros(0, np.uint32)
+        # From here on the numbers are ranks by frequency, which pack well.
+        rank = np.empty(len(numbers), np.uint32)
+        rank[np.argsort(-np.bincount(flat, minlength=len(numbers)), kind="stable")] = np.arange(len(numbers))
+        flat = rank[flat]
         by_bucket: dict[int, list[str]] = defaultdict(list)
         for word in numbers:
             by_bucket[zlib.crc32(word.encode()) % buckets].append(word)
-        blobs, keys = [_pack(_planes(sizes), _planes(flat))], [-1]
+        blobs, keys = [_pack(_planes(sizes), *_pack_sequence(flat))], [-1]
         for bucket, words in by_bucket.items():
             words.sort()
             encoded = [w.encode() for w in words]
-            blobs.append(_pack(_planes(np.array([numbers[w] for w in words], "<u4")),
-                               _planes(np.array([len(w) for w in encoded], "<u4")), b"".join(encoded)))
+            blobs.append(_pack(_planes(rank[[numbers[w] for w in words]]),
+                               _planes(np.array([len(w) for w in encoded], "<u4")), b"".join(encoded), level=9))
             keys.append(bucket)
         return pa.RecordBatch.from_arrays(
             [pa.array([chunk] * len(keys)), pa.array(keys, pa.int32()),
@@ -215,9 +239,13 @@ def _encode_bucket(path: str):
             words = [raw[a:b] for a, b in zip([0, *ends], ends)]
             parts.append((numbers, np.array([place.setdefault(w, len(place)) for w in words], np.int64)))
         # The distinct words of this bucket, each encoded once.
-        ids = [e.ids for e in _tokenizer(path).encode_batch([w.decode() for w in place], add_special_tokens=False)]
-        sizes = np.array([len(i) for i in ids], np.int64)
-        flat = np.array([x for i in ids for x in i], np.uint32)
+        distinct, sizes, flat = list(place), [], []
+        for at in range(0, len(distinct), _ENCODE_BATCH):
+            batch = [w.decode() for w in distinct[at:at + _ENCODE_BATCH]]
+            ids = [e.ids for e in _tokenizer(path).encode_batch(batch, add_special_tokens=False)]
+            sizes.append(np.array([len(i) for i in ids], np.int64))
+            flat.append(np.array([x for i in ids for x in i], np.uint32))
+        sizes, flat = np.concatenate(sizes), np.concatenate(flat)
         starts = np.cumsum(sizes) - sizes
         return pd.DataFrame({"chunk": pdf["chunk"], "blob": [
             _pack(numbers, _planes(sizes[pick]), _planes(_ragged_take(flat, starts, sizes, pick)))
@@ -244,7 +272,8 @@ def _join_ids(sequences, words):
     start, size = start[by_number], size[by_number]
     ids, out = [], []
     for doc_ids, blob in zip(sequences["doc_ids"], sequences["blob"]):
-        lengths, sequence = map(_from_planes, _unpack(blob))
+        lengths, *sequence = _unpack(blob)
+        lengths, sequence = _from_planes(lengths), _unpack_sequence(*sequence)
         ends = np.cumsum(lengths, dtype=np.int64)
         for doc_id, a, b in zip(doc_ids, ends - lengths, ends):
             ids.append(doc_id)
@@ -260,9 +289,9 @@ def encode(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: s
     kind = source.schema["doc_id"].dataType.simpleString()
     buckets = max(1, -(-source.count() // ROWS_PER_BUCKET))
     from pyspark.sql.pandas.types import to_arrow_type
-    rows = stage(source.mapInArrow(
+    rows = _staged_by_chunk(source.mapInArrow(
         _chunks(tokenizer_path, buckets, to_arrow_type(source.schema["doc_id"].dataType), chunk_chars),
-        f"chunk string, bucket int, doc_ids array<{kind}>, blob binary"), "words")
+        f"chunk string, bucket int, doc_ids array<{kind}>, blob binary"))
     words = rows.where("bucket >= 0").select("chunk", "bucket", "blob") \
         .groupBy("bucket").applyInPandas(_encode_bucket(tokenizer_path), "chunk string, blob binary")
     sequences = rows.where("bucket < 0").select("chunk", "doc_ids", "blob")
@@ -270,6 +299,17 @@ def encode(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: s
         .applyInPandas(_join_ids, f"doc_id {kind}, ids binary")
 
 
+def _staged_by_chunk(rows: DataFrame) -> DataFrame:
+    """Stage as a table bucketed by chunk, so that the sequences, which are
+    most of it, join their words' ids without another shuffle. A task writes
+    the few chunks it has made, so this makes few files."""
+    spark = rows.sparkSession
+    name = f"bpe_chunks_{uuid.uuid4().hex}"
+    rows.write.option("path", new_path(spark, "words")).option("compression", "none") \
+        .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk").saveAsTable(name)
+    return spark.table(name)
+
+
 def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``encoded`` plus the text of each row's ids, special tokens included."""
     ship(encoded.sparkSession)
@@ -278,7 +318,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = _pieces(tokenizer_path).__getitem__
-        for batch in batches:
+        for batch in (b.slice(at, _DECODE_ROWS) for b in batches for at in range(0, max(1, b.num_rows), _DECODE_ROWS)):
             texts = [b"".join(map(piece, np.frombuffer(x.as_py() or b"", "<u4").tolist())).decode("utf-8", "replace")
                      for x in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in rest] + [pa.array(texts, pa.string())],
