@@ -254,6 +254,17 @@ def _encode_bucket(path: str):
     return run
 
 
+def _joiner(path: str | None):
+    """Cogroup function of a chunk's sequences with its words' ids; with a
+    tokenizer path it decodes what it has joined in the same pass."""
+    def run(sequences, words):
+        out = _join_ids(sequences, words)
+        if path is not None:
+            out["text"] = _decode_all(out["ids"], path)
+        return out
+    return run
+
+
 def _join_ids(sequences, words):
     import pandas as pd
     numbers, sizes, flat = [], [], []
@@ -282,8 +293,12 @@ def _join_ids(sequences, words):
 
 
 def encode(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text",
-           chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """(doc_id, ids) of every row; ids are little-endian unsigned 32-bit integers."""
+           chunk_chars: int = CHUNK_CHARS, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids) of every row; ids are little-endian unsigned 32-bit integers.
+
+    With ``decoded`` also ``text``, decoded from the ids as by ``decode`` but
+    without handing them to another Python worker.
+    """
     ship(docs.sparkSession)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
@@ -296,7 +311,8 @@ def encode(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: s
         .groupBy("bucket").applyInPandas(_encode_bucket(tokenizer_path), "chunk string, blob binary")
     sequences = rows.where("bucket < 0").select("chunk", "doc_ids", "blob")
     return sequences.groupBy("chunk").cogroup(words.groupBy("chunk")) \
-        .applyInPandas(_join_ids, f"doc_id {kind}, ids binary")
+        .applyInPandas(_joiner(tokenizer_path if decoded else None),
+                       f"doc_id {kind}, ids binary{', text string' if decoded else ''}")
 
 
 def _staged_by_chunk(rows: DataFrame) -> DataFrame:
@@ -310,6 +326,11 @@ def _staged_by_chunk(rows: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def _decode_all(ids, path: str) -> list[str]:
+    piece = _pieces(path).__getitem__
+    return [b"".join(map(piece, np.frombuffer(x or b"", "<u4").tolist())).decode("utf-8", "replace") for x in ids]
+
+
 def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``encoded`` plus the text of each row's ids, special tokens included."""
     ship(encoded.sparkSession)
@@ -317,10 +338,8 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", text: str
     source = encoded.select(*rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = _pieces(tokenizer_path).__getitem__
         for batch in (b.slice(at, _DECODE_ROWS) for b in batches for at in range(0, max(1, b.num_rows), _DECODE_ROWS)):
-            texts = [b"".join(map(piece, np.frombuffer(x.as_py() or b"", "<u4").tolist())).decode("utf-8", "replace")
-                     for x in batch.column(ids)]
+            texts = _decode_all((x.as_py() for x in batch.column(ids)), tokenizer_path)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in rest] + [pa.array(texts, pa.string())],
                                              names=[*rest, text])
 

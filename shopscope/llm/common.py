@@ -10,6 +10,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ARROW_BATCH_BYTES = 4 * 1024 * 1024
 # Words are maximal runs of anything but space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,6 +43,8 @@ def ship(spark: SparkSession) -> None:
     them, also where the package is installed on the driver alone.
     """
     sc = spark.sparkContext
+    # Texts are long and uneven: what a Python worker gets at a time is bounded in bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH_BYTES)
     if getattr(sc, "_llm_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

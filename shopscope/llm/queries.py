@@ -72,7 +72,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     path = tokenizer_path()
-    return bpe.decode(bpe.encode(docs, path), path).select(
+    return bpe.encode(docs, path, decoded=True).select(
         "doc_id", F.expr("CAST(length(ids) / 4 AS BIGINT)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
