@@ -1,7 +1,7 @@
 """Column functions with the exact semantics the marts need.
 
-All of them are built from ``pyspark.sql.functions`` so they stay inside
-whole-stage code generation; none is a Python UDF.
+All of them are built from ``pyspark.sql.functions``; none is a Python UDF.
+``title_case`` uses ``transform``, which Spark interprets outside generated code.
 """
 
 from __future__ import annotations
@@ -51,10 +51,14 @@ def lenient_timestamp(c: Column | str, dtype: DataType | None = None) -> Column:
 
 
 def lenient_number(c: Column | str, target: str, dtype: DataType | None = None) -> Column:
-    """Cast to ``target``; text that is not a number becomes null."""
+    """Cast to ``target``; text that is not a number becomes null.
+
+    Integers are read as decimals first, so ``1.0`` and ``1e3`` count.
+    """
     c = col_of(c)
     if dtype is None or isinstance(dtype, StringType):
-        return c.cast("string").try_cast(target)
+        text = c.cast("string")
+        return (text.try_cast("decimal(38,10)") if target in ("int", "bigint") else text).try_cast(target)
     return c.try_cast(target)
 
 
@@ -79,11 +83,6 @@ def false_if_null(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def money(c: Column | str) -> Column:
-    """Money as an exact decimal with two places."""
-    return col_of(c).cast("decimal(18,2)")
-
-
 def sql_round(c: Column | str, digits: int) -> Column:
     """Round half away from zero, as SQL ``ROUND(numeric, n)``, returned as double.
 

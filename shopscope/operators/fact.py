@@ -6,13 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.operators.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from shopscope.operators.sizing import BROADCAST_BYTES, bounded_broadcast
 from shopscope.schemas import FACT_COLUMNS
 
 
 def build_fact(orders: DataFrame, items: DataFrame, payments: DataFrame, customers: DataFrame,
                products: DataFrame, sellers: DataFrame,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Left joins from the order lines; every line is kept exactly once.
 
     Join order is chosen for the shuffle cost, not copied from the table list:
@@ -20,15 +20,15 @@ def build_fact(orders: DataFrame, items: DataFrame, payments: DataFrame, custome
     orders meet the lines, so the wide line table is shuffled once, on
     ``order_id``; the payment aggregate is keyed on ``order_id`` too and needs
     no second exchange. Products and sellers are broadcast when their row count
-    is within ``broadcast_rows``; larger ones fall back to a shuffled join and
+    is within ``broadcast_bytes``; larger ones fall back to a shuffled join and
     adaptive execution handles skewed keys.
     """
-    orders_c = orders.join(bounded_broadcast(customers, broadcast_rows), "customer_id", "left")
+    orders_c = orders.join(bounded_broadcast(customers, broadcast_bytes), "customer_id", "left")
     fact = (items
             .join(orders_c, "order_id", "left")
             .join(payments, "order_id", "left")
-            .join(bounded_broadcast(products, broadcast_rows), "product_id", "left")
-            .join(bounded_broadcast(sellers, broadcast_rows), "seller_id", "left"))
+            .join(bounded_broadcast(products, broadcast_bytes), "product_id", "left")
+            .join(bounded_broadcast(sellers, broadcast_bytes), "seller_id", "left"))
     fact = fact.withColumns({
         "revenue": F.col("price"),
         "total_order_value": F.coalesce(F.col("total_payment"), F.col("total_item_revenue")),

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopscope.functions.scalar import lenient_number
+
 NULL_TEXT = "<null>"
 
 
@@ -74,6 +76,24 @@ def _stacked(df: DataFrame, table: str, checks: Mapping[str, tuple[str, Column,
             .filter(F.col("violations") > 0))
 
 
+def number_rejects(raw: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
+    """Raw values that are numbers but do not fit the cleaned column's type.
+
+    Cleaning reads them as missing (money then counts as 0), so this report is
+    what shows them. Rows: table_name, column_name, declared, violations,
+    worst_value (largest magnitude seen).
+    """
+    parts = []
+    for name, (df, cols) in raw.items():
+        checks = {}
+        for col, target in cols.items():
+            number = F.col(col).cast("string").try_cast("double")
+            fits = lenient_number(col, target, df.schema[col].dataType)
+            checks[col] = (target, number.isNotNull() & ~F.isnan(number) & fits.isNull(), F.max(F.abs(number)))
+        parts.append(_stacked(df, name, checks))
+    return _union(parts)
+
+
 def scale_violations(tables: Mapping[str, tuple[DataFrame, Mapping[str, tuple[int, int]]]]) -> DataFrame:
     """K3: numbers that overflow their ``NUMERIC(precision, scale)``.
 

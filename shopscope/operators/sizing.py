@@ -4,28 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# Largest dimension (in rows) that is shipped whole to every task. Dimension
-# rows here are narrow (< 300 bytes), so this keeps a broadcast under ~300 MB.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Most bytes of a side that is shipped whole to every task.
+BROADCAST_BYTES = 64 * 1024 * 1024
+_FIXED_BYTES = 16  # of a value of fixed size, with its share of the row's overhead
 
 
-def rows_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows.
-
-    Reads at most ``limit + 1`` rows, so the probe stays cheap whatever the
-    size of ``df``; on a Parquet scan the count comes from footers.
-    """
-    return df.limit(limit + 1).count() <= limit
+def side_bytes(df: DataFrame) -> int:
+    """Bytes of all rows in memory, counted: text by its length, other columns
+    by a fixed size. Every task sums up its own rows; one row per task is merged."""
+    width = F.lit(_FIXED_BYTES * (1 + len(df.columns)))
+    for field in df.schema.fields:
+        if isinstance(field.dataType, StringType):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+    return int(df.agg(F.sum(width.cast("bigint"))).first()[0] or 0)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES,
                       probe: DataFrame | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only when its size is proven small.
 
-    ``probe`` is a cheaper frame whose row count bounds that of ``df`` (for
-    example the raw scan a deduplicated dimension comes from). Beyond the bound
-    the frame is returned unchanged and the planner (with adaptive execution)
+    ``probe`` is a cheaper frame whose size bounds that of ``df`` (for example
+    the raw scan a deduplicated dimension comes from). Beyond the bound the
+    frame is returned unchanged and the planner (with adaptive execution)
     chooses a shuffled join.
     """
-    return F.broadcast(df) if rows_at_most(probe if probe is not None else df, max_rows) else df
+    return F.broadcast(df) if side_bytes(probe if probe is not None else df) <= max_bytes else df

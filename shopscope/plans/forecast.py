@@ -51,8 +51,8 @@ SEASONAL_CHANGEPOINT_RANGE = 0.8
 SEASONAL_YEARLY_ORDER = 10
 SEASONAL_WEEKLY_ORDER = 3
 SEASONAL_BAND_Z = 1.2816  # 80% interval
-SEASONAL_MIN_DAYS = 60
 TOTAL_SERIES = "total"
+NO_SERIES = "(none)"  # the series of rows whose series column is null
 
 FORECAST_SCHEMA = ("series_id string, ds date, yhat double, yhat_lower double, "
                    "yhat_upper double, model string")
@@ -73,13 +73,19 @@ def daily_revenue(fact: DataFrame, series_col: str | None = None,
     else:
         src, value = delivered_lines(fact), "revenue"
     src = src.filter(F.col("order_purchase_timestamp").isNotNull())
-    sid = F.lit(TOTAL_SERIES) if series_col is None else F.col(series_col).cast("string")
+    sid = F.lit(TOTAL_SERIES) if series_col is None else F.coalesce(F.col(series_col).cast("string"), F.lit(NO_SERIES))
     return (src.groupBy(sid.alias("series_id"), F.to_date("order_purchase_timestamp").alias("ds"))
             .agg(F.sum(value).alias("y")))
 
 
+def _named(daily: DataFrame) -> DataFrame:
+    return daily.withColumn("series_id", F.coalesce("series_id", F.lit(NO_SERIES)))
+
+
 def with_min_history(daily: DataFrame, min_days: int = MIN_HISTORY_DAYS) -> DataFrame:
-    """keep series with at least ``min_days`` days of sales."""
+    """keep series with at least ``min_days`` days of sales; rows without a
+    series are the series ``NO_SERIES``."""
+    daily = _named(daily)
     enough = daily.groupBy("series_id").agg(F.count(F.lit(1)).alias("_days")) \
         .filter(F.col("_days") >= min_days).select("series_id")
     return daily.join(enough, "series_id", "left_semi")
@@ -106,6 +112,7 @@ def linear_trend(daily: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
     Future values and bounds are kept at 0 or above; history bounds are
     ordered even when the fit is negative.
     """
+    daily = _named(daily)
     span = _series_span(daily)
     pts = daily.join(span.select("series_id", "first_ds"), "series_id") \
         .withColumn("t", F.datediff("ds", "first_ds"))
@@ -188,13 +195,12 @@ def _hw_fit(y: np.ndarray):
 def _hw_series(key, pdf):
     """Per series: fitted month values, then forecasts for the following months.
 
-    Input rows are (series_id, month, y, n_months, steps), months in order,
-    without the dropped last month.
+    Input rows are (series_id, month, y, steps), without the dropped last month.
     """
     pdf = pdf.sort_values("month")
     y = pdf["y"].to_numpy(dtype=float)
     steps = int(pdf["steps"].iloc[0])
-    if len(y) < 2:
+    if len(y) < 2 or not np.isfinite(y).all():
         return pd.DataFrame(columns=["series_id", "month", "value", "resid_sd", "is_future"])
     phi, season, fitted, level, trend, seas, start = _hw_fit(y)
     resid_sd = float(np.std(y[start:] - fitted[start:])) if len(y) > start else 0.0
@@ -232,32 +238,30 @@ def holt_winters(daily: DataFrame, horizon: int = HORIZON_DAYS, engine: str = "p
     fitted value (band +-1 sd), the ``horizon`` days after the last actual day
     get the forecast (band +-1.96 sd), all kept at 0 or above.
     """
-    monthly = daily.groupBy("series_id", F.trunc("ds", "month").alias("month")) \
-        .agg(F.sum("y").cast("double").alias("y"))
-    last_month = Window.partitionBy("series_id")
-    monthly = monthly.withColumn("n_months", F.count(F.lit(1)).over(last_month)) \
-        .withColumn("max_month", F.max("month").over(last_month))
-    fit_rows = monthly.filter((F.col("month") < F.col("max_month")) | (F.col("n_months") <= 2)) \
-        .withColumn("steps", F.lit(horizon // 30 + 2))
+    daily = _named(daily)
+    span = _series_span(daily)
     if engine == "spark":
         months = _hw_grid_months(daily, horizon)
     elif engine == "pandas":
-        months = fit_rows.select("series_id", "month", "y", "n_months", "steps") \
+        months = _held_out_months(daily).join(_forecast_steps(daily, horizon), "series_id") \
             .groupBy("series_id").applyInPandas(_hw_series, HW_MONTH_SCHEMA)
     else:
         raise ValueError(f"unknown engine {engine!r}")
-    span = _series_span(daily)
+    # A series that could not be fitted has no months and gives no rows; any
+    # other has one for every day, so nothing is lost in the joins below.
+    fitted = months.select("series_id").distinct()
+    daily, span = (df.join(fitted, "series_id", "left_semi") for df in (daily, span))
     dim = F.dayofmonth(F.last_day("month")).cast("double")
     per_day = months.withColumn("v", F.col("value") / dim).withColumn("sd", F.col("resid_sd") / dim)
     hist_days = daily.select("series_id", "ds", F.trunc("ds", "month").alias("month"))
-    hist = hist_days.join(per_day, ["series_id", "month"]).select(
+    hist = hist_days.join(per_day, ["series_id", "month"], "left").select(
         "series_id", "ds", F.greatest("v", F.lit(0.0)).alias("yhat"),
         F.greatest(F.col("v") - F.col("sd"), F.lit(0.0)).alias("yhat_lower"),
         (F.greatest("v", F.lit(0.0)) + F.col("sd")).alias("yhat_upper"))
     fut_days = _future_days(span, horizon).withColumn("month", F.trunc("ds", "month"))
     # One row per future day: the value of its month, which is a forecast
     # month, or (when no month was held out) the rest of the last fitted month.
-    future = fut_days.join(per_day, ["series_id", "month"]).select(
+    future = fut_days.join(per_day, ["series_id", "month"], "left").select(
         "series_id", "ds", F.greatest("v", F.lit(0.0)).alias("yhat"),
         F.greatest(F.col("v") - HW_BAND_Z * F.col("sd"), F.lit(0.0)).alias("yhat_lower"),
         F.greatest(F.col("v") + HW_BAND_Z * F.col("sd"), F.lit(0.0)).alias("yhat_upper"))
@@ -269,6 +273,16 @@ def holt_winters(daily: DataFrame, horizon: int = HORIZON_DAYS, engine: str = "p
 HW_FIXED = {"alpha": 0.5, "beta": 0.1, "phi": 0.9, "gamma": 0.2}
 
 
+def _forecast_steps(daily: DataFrame, horizon: int) -> DataFrame:
+    """(series_id, steps): months from each series' last fitted month to the end
+    of its horizon, which a gap in the sales before the last day makes many."""
+    last = _held_out_months(daily).groupBy("series_id").agg(F.max("month").alias("last_month"))
+    return last.join(_series_span(daily), "series_id").select("series_id", F.greatest(
+        F.lit(horizon // 30 + 2),
+        F.months_between(F.trunc(F.date_add("last_ds", horizon), "month"), F.col("last_month")).cast("int"))
+        .alias("steps"))
+
+
 def _held_out_months(daily: DataFrame) -> DataFrame:
     """Monthly sums per series without the last month (kept when only 1-2 months)."""
     monthly = daily.groupBy("series_id", F.trunc("ds", "month").alias("month")) \
@@ -341,7 +355,7 @@ _HW_INIT_SEARCH = """
                          'seas', CAST(array() AS array<double>), 'sse', 0D) END"""
 
 
-def _hw_month_rows(folded: DataFrame, p: str, steps: int) -> DataFrame:
+def _hw_month_rows(folded: DataFrame, p: str, steps: int | str) -> DataFrame:
     """(series_id, month, value, resid_sd, is_future): fitted months, then ``steps`` forecasts."""
     forecast = F.expr(f"""
       transform(sequence(1, {steps}), h -> st.level + st.trend * ({p} * (1D - pow({p}, h)) / (1D - {p}))
@@ -393,8 +407,9 @@ def _hw_grid_months(daily: DataFrame, horizon: int) -> DataFrame:
     scored = _hw_fold(search, "prm.a", "prm.b", "prm.p", "prm.g", keep_fitted=False)
     best = scored.groupBy("series_id").agg(F.min_by(
         "prm", F.struct(F.col("st.sse"), F.col("prm.a"), F.col("prm.b"), F.col("prm.p"), F.col("prm.g"))).alias("prm"))
-    final = _hw_fold(arr.join(best, "series_id"), "prm.a", "prm.b", "prm.p", "prm.g")
-    return _hw_month_rows(final, "prm.p", horizon // 30 + 2)
+    final = _hw_fold(arr.join(best, "series_id"), "prm.a", "prm.b", "prm.p", "prm.g") \
+        .join(_forecast_steps(daily, horizon), "series_id")
+    return _hw_month_rows(final, "prm.p", "steps")
 
 
 # ---- F5: seasonal model ---------------------------------------------------
@@ -409,13 +424,26 @@ def _fourier(days: np.ndarray, period: float, order: int) -> np.ndarray:
     return np.hstack([np.sin(ang), np.cos(ang)])
 
 
+def _seasonal_or_reason(key, pdf):
+    """The fit, or one row without a day whose ``model`` says why there is none."""
+    try:
+        out = _seasonal_series(key, pdf)
+        if np.isfinite(out["yhat"]).all():
+            return out
+        reason = "fit is not finite"
+    except Exception as exc:  # any failed fit falls back, whatever the cause
+        reason = f"{type(exc).__name__}: {exc}"
+    return pd.DataFrame({"series_id": [key[0]], "ds": [None], "yhat": [None], "yhat_lower": [None],
+                         "yhat_upper": [None], "model": [reason[:300]]})
+
+
 def _seasonal_series(key, pdf):
     pdf = pdf.sort_values("ds")
     ds = pd.to_datetime(pdf["ds"])
     y = pdf["y"].to_numpy(dtype=float)
     horizon = int(pdf["horizon"].iloc[0])
-    if len(y) < SEASONAL_MIN_DAYS or not np.isfinite(y).all():
-        return pd.DataFrame(columns=["series_id", "ds", "yhat", "yhat_lower", "yhat_upper", "model"])
+    if not np.isfinite(y).all():
+        raise ValueError("revenue is not finite")
     day0 = ds.iloc[0]
     t_days = (ds - day0).dt.days.to_numpy(dtype=float)
     span = max(t_days[-1], 1.0)
@@ -458,12 +486,16 @@ def _seasonal_series(key, pdf):
 def seasonal(daily: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
     """trend times (1 + yearly + weekly seasonality), history plus ``horizon`` days.
 
-    Series shorter than the model needs return no rows (the cascade then
-    falls back).
+    A series that cannot be fitted returns no rows (the cascade then falls back).
     """
-    return daily.select("series_id", "ds", F.col("y").cast("double").alias("y"),
+    return _seasonal_fits(daily, horizon).where("ds is not null")
+
+
+def _seasonal_fits(daily: DataFrame, horizon: int) -> DataFrame:
+    """F5 with one row more, without a day, for each series that failed."""
+    return _named(daily).select("series_id", "ds", F.col("y").cast("double").alias("y"),
                         F.lit(horizon).alias("horizon")) \
-        .groupBy("series_id").applyInPandas(_seasonal_series, FORECAST_SCHEMA)
+        .groupBy("series_id").applyInPandas(_seasonal_or_reason, FORECAST_SCHEMA)
 
 
 # ---- F6: cascade ----------------------------------------------------------
@@ -476,15 +508,19 @@ def forecast(daily: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
     are checkpointed so the later stages do not fit the earlier model again.
     """
     daily = with_min_history(daily)
-    first = seasonal(daily, horizon).checkpoint(eager=True)
-    rest = daily.join(first.select("series_id").distinct(), "series_id", "left_anti")
+    fits = _seasonal_fits(daily, horizon).checkpoint(eager=True)
+    failed = fits.where("ds is null").select("series_id", F.concat(F.lit("seasonal: "), "model").alias("why"))
+    rest = daily.join(failed.select("series_id"), "series_id", "left_semi")
     second = holt_winters(rest, horizon).checkpoint(eager=True)
     rest2 = rest.join(second.select("series_id").distinct(), "series_id", "left_anti")
     third = linear_trend(rest2, horizon)
-    return (first.withColumn("fallback_reason", F.lit(None).cast("string"))
-            .unionByName(second.withColumn("fallback_reason", F.lit("seasonal model: too little history")))
-            .unionByName(third.withColumn("fallback_reason",
-                                          F.lit("seasonal and holt_winters: too little history"))))
+
+    def because(df: DataFrame, more: str) -> DataFrame:
+        return df.join(failed, "series_id").withColumn("fallback_reason", F.concat("why", F.lit(more))).drop("why")
+
+    return (fits.where("ds is not null").withColumn("fallback_reason", F.lit(None).cast("string"))
+            .unionByName(because(second, ""))
+            .unionByName(because(third, "; holt_winters: fewer than two months, or revenue is not finite")))
 
 
 # ---- F7, F8, F9: publishing ------------------------------------------------

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopscope.operators.quality import number_rejects
 from shopscope.plans import forecast as FC
 from shopscope.plans.warehouse import ALL_TABLES, Warehouse
 from shopscope.sources import csv_files
@@ -24,6 +25,14 @@ from shopscope.sources.driver_tables import raw_tables
 
 log = logging.getLogger(__name__)
 MONEY = "decimal(18,2)"
+OPTIONAL = ("geolocation",)
+# Cleaned types of the raw number columns, for the report of values that do not fit.
+NUMBERS = {
+    "order_items": {"order_item_id": "int", "price": MONEY, "freight_value": MONEY},
+    "order_payments": {"payment_sequential": "int", "payment_installments": "int", "payment_value": MONEY},
+    "order_reviews": {"review_score": "int"},
+    "products": {"product_photos_qty": "int"},
+}
 
 
 @dataclass
@@ -40,16 +49,25 @@ class RunReport:
 
 
 def run(spark: SparkSession, input_dir: str, output_dir: str, input_format: str = "csv",
-        with_forecast: bool = True, series_col: str | None = None) -> RunReport:
+        with_forecast: bool = True, series_col: str | None = None,
+        files: dict[str, str] | None = None) -> RunReport:
     report = RunReport()
     t0 = time.time()
-    raw = (csv_files.read_all_raw(spark, input_dir) if input_format == "csv"
-           else raw_tables(spark, input_dir, stage_dir=f"{output_dir.rstrip('/')}/_staging"))
-    wh = Warehouse(spark, output_dir.rstrip("/")).build(raw)
+    output_dir = output_dir.rstrip("/")
+    if not spark.sparkContext.getCheckpointDir():
+        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(configured or f"{output_dir}/_checkpoints")
+    raw = (csv_files.read_all_raw(spark, input_dir, files, optional=OPTIONAL) if input_format == "csv"
+           else raw_tables(spark, input_dir, stage_dir=f"{output_dir}/_staging"))
+    wh = Warehouse(spark, output_dir).build(raw)
     for name in ALL_TABLES:
+        if name in OPTIONAL and name not in raw:
+            continue
         # Parquet row counts come from file footers.
         stage = {"fact_orders": "fact", "order_summary": "order_summary"}.get(name, "clean")
         report.add(stage, name, wh.table(name).count(), wh.seconds.get(stage, 0.0))
+    rejects = number_rejects({n: (raw[n], cols) for n, cols in NUMBERS.items() if n in raw})
+    rejects.write.mode("overwrite").parquet(wh.path("number_rejects"))
     log.info("load done in %.1fs", time.time() - t0)
 
     if with_forecast:
@@ -84,16 +102,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--format", choices=["csv", "driver"], default="csv")
     ap.add_argument("--no-forecast", action="store_true")
     ap.add_argument("--series", default=None, help="column to forecast per value (e.g. customer_state)")
+    ap.add_argument("--files", default="", metavar="TABLE=FILE,...", help="file names of raw tables in the input folder")
     ap.add_argument("--master", default=None)
     ap.add_argument("--input-bytes", type=int, default=None,
                     help="size of the raw input; sets shuffle partitions to about 128 MB each")
     args = ap.parse_args(argv)
-    spark = build_session(args.master) if args.master else build_session()
+    spark = build_session(args.master)
     if args.input_bytes:
         from shopscope.session import size_shuffles
         size_shuffles(spark, args.input_bytes)
     try:
-        rep = run(spark, args.input, args.output, args.format, not args.no_forecast, args.series)
+        rep = run(spark, args.input, args.output, args.format, not args.no_forecast, args.series,
+                  dict(pair.split("=", 1) for pair in args.files.split(",") if pair))
     except csv_files.MissingInputs as exc:
         raise SystemExit(f"FATAL: {exc}")
     for stage in rep.stages:

@@ -7,6 +7,7 @@ refresh of its table (W4), so a re-run after a failure gives the same result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shopscope.plans.warehouse import CLEAN_TABLES
@@ -18,11 +19,8 @@ assert set(LOAD_ORDER) == set(CLEAN_TABLES) | {"fact_orders"}
 
 # JDBC inserts go in batches of this many rows.
 JDBC_BATCH_ROWS = 5000
-
-
-def write_parquet(df: DataFrame, path: str) -> None:
-    """Replace a Parquet folder."""
-    df.write.mode("overwrite").parquet(path)
+# Tasks, and so files, per folder of a partitioned table.
+FOLDER_TASKS = 4
 
 
 def create_if_absent(spark: SparkSession, name: str, schema: StructType, path: str | None = None) -> None:
@@ -44,8 +42,11 @@ def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = Non
     partition value, and sorted row groups whose min/max statistics let scans
     skip data, in place of secondary indexes.
     """
+    if partition_by:
+        # A task writes few folders, and a large folder is written by several tasks.
+        df = df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns[:1]), F.lit(FOLDER_TASKS)))
     if sort_by:
-        df = df.sortWithinPartitions(*sort_by)
+        df = df.sortWithinPartitions(*partition_by or [], *sort_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from shopscope.operators import clean as C
 from shopscope.operators.fact import build_fact
 from shopscope.plans.revenue import order_summary
-from shopscope.session import shared_dir
+from shopscope.session import bucket_count, shared_dir
 from shopscope.sources.driver_tables import raw_tables
 
 CLEAN_TABLES = (
@@ -35,17 +35,19 @@ ALL_TABLES = CLEAN_TABLES + ("fact_orders", "order_summary")
 def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The nine cleaning operators over the raw tables (lazy)."""
     payments = C.clean_payments(raw["order_payments"], keep_seq=True)
-    return {
+    tables = {
         "customers": C.clean_customers(raw["customers"]),
         "sellers": C.clean_sellers(raw["sellers"]),
         "products": C.clean_products(raw["products"], raw["category_translation"]),
-        "geolocation": C.clean_geolocation(raw["geolocation"]),
         "orders": C.clean_orders(raw["orders"]),
         "order_items": C.clean_order_items(raw["order_items"]),
         "order_payments": payments.drop(C.SEQ),
         "order_payments_aggregated": C.payments_by_order(payments),
         "order_reviews": C.clean_reviews(raw["order_reviews"]),
     }
+    if "geolocation" in raw:  # the only table that nothing else is built from
+        tables["geolocation"] = C.clean_geolocation(raw["geolocation"])
+    return tables
 
 
 def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None) -> None:
@@ -56,13 +58,14 @@ def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None) -> N
 
 
 # Tables written bucketed (key, sort columns within a bucket): the fact and
-# the reviews on the order id they are joined on, the order summary on the
-# customer its marts group by. All use the same bucket count, so joins and
-# aggregations on these keys read co-located data and need no shuffle.
+# the reviews on the order id they are joined on, and the order summary on it
+# too: an order is never a hot key, while one customer (or the rows without one)
+# may hold any share of the orders. All use the same bucket count, so joins on
+# the order read co-located data; a customer step combines before its shuffle.
 BUCKETED = {
     "fact_orders": ("order_id", ("order_status", "order_purchase_timestamp")),
     "order_reviews": ("order_id", ("order_id",)),
-    "order_summary": ("customer_unique_id", ("customer_unique_id",)),
+    "order_summary": ("order_id", ("order_id",)),
 }
 
 
@@ -106,8 +109,8 @@ class Warehouse:
         return self.spark.table(tname)
 
     def _set_buckets(self) -> None:
-        """Fix the bucket count of this build (the session's shuffle partition count)."""
-        self.buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        """Fix the bucket count of this build."""
+        self.buckets = self.buckets or bucket_count(self.spark)
         self.spark.createDataFrame([(str(self.buckets),)], "value string").coalesce(1) \
             .write.mode("overwrite").text(self.path("_buckets"))
 
@@ -170,6 +173,19 @@ def _code_version() -> str:
     return h.hexdigest()[:16]
 
 
+def _input_state(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of the files in ``folder``, as one text."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return ""
+    found, walk = [], files.listFiles(path, True)
+    while walk.hasNext():
+        f = walk.next()
+        found.append(f"{f.getPath().toUri().getPath()} {f.getLen()} {f.getModificationTime()}")
+    return "\n".join(sorted(found))
+
+
 def _completed_build(spark: SparkSession, base: str) -> str | None:
     """The folder of a finished build recorded in ``base``, if any."""
     try:
@@ -182,8 +198,8 @@ def _completed_build(spark: SparkSession, base: str) -> str | None:
 def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse of ``sf_dir``, built on first use.
 
-    Builds live in the shared folder under a key of the input folder and the
-    code version. A build writes into its own sub-folder and records it in a
+    Builds live in the shared folder under a key of the input folder, its files'
+    names, sizes and times, and the code version. A build writes into its own sub-folder and records it in a
     marker only when every table is written, so a half-written build is never
     read, concurrent builders do not collide, and later runs reuse the result.
     """
@@ -191,7 +207,7 @@ def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     with _lock:
         wh = _open.get(key)
         if wh is None:
-            digest = hashlib.sha256(f"{sf_dir.rstrip('/')}|{_code_version()}".encode()).hexdigest()[:20]
+            digest = hashlib.sha256(f"{sf_dir.rstrip('/')}|{_input_state(spark, sf_dir)}|{_code_version()}".encode()).hexdigest()[:20]
             base = f"{shared_dir(spark).rstrip('/')}/shopscope-warehouse/{digest}"
             done = _completed_build(spark, base)
             if done:

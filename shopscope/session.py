@@ -24,14 +24,21 @@ REQUIRED_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "shopscope", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the settings above."""
-    builder = (SparkSession.builder.master(master).appName(app_name)
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.ui.enabled", "false")
-               .config("spark.driver.memory", os.environ.get("SHOPSCOPE_DRIVER_MEMORY", "16g"))
-               .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    """Create (or reuse) a session with the settings above.
+
+    Master, shuffle partitions and driver memory are set only when they are
+    given, so those of ``spark-submit`` hold otherwise.
+    """
+    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false") \
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local["):  # one process does all the work
+        builder = builder.config("spark.driver.memory", os.environ.get("SHOPSCOPE_DRIVER_MEMORY", "16g"))
     for key, value in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -55,6 +62,13 @@ def partitions_for(input_bytes: int, cores: int, target: int = TARGET_PARTITION_
     return min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, -(-input_bytes // target)))
 
 
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets of a written table: the shuffle partitions, as far as Spark
+    allows that many buckets."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Set shuffle partitions and the adaptive target size for an input size."""
     cores = spark.sparkContext.defaultParallelism
@@ -73,8 +87,10 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors for checkpoints and written tables.
 
     Taken from the session: ``spark.checkpoint.dir`` (or the folder given to
-    ``setCheckpointDir``). Only when none is set (local runs, tests) a local
-    folder is used: ``SHOPSCOPE_SCRATCH`` or the temp folder of this machine.
+    ``setCheckpointDir``). Only a session that runs in this one process may go
+    without: it uses ``SHOPSCOPE_SCRATCH`` or the temp folder of this machine.
+    On a cluster a missing setting is an error, as each executor would write
+    to a disk of its own.
     The path returned is the configured folder itself, not Spark's per-run
     sub-folder, so written tables can be found again by later runs.
     """
@@ -87,6 +103,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/").rsplit("/", 1)[0]  # Spark adds a per-run uuid folder
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = os.environ.get("SHOPSCOPE_SCRATCH") or os.path.join(tempfile.gettempdir(), "shopscope-scratch")
     os.makedirs(local, exist_ok=True)
     sc.setCheckpointDir(local)

@@ -2,13 +2,16 @@
 
 Files are read with a declared all-text schema (no inference, so zip codes
 keep their leading zeros and dirty values reach the lenient parsers in the
-cleaning operators). Each row gets ``ingest_seq``, its position in the scan
-order, which keep-first rules use.
+cleaning operators). Quoted text may hold line breaks and doubled quotes. Such
+files cannot be split, so a large table should come as many files, which are
+read in parallel. Each row gets ``ingest_seq``, its position in file order (by
+path, then within the file), which keep-first rules use.
 """
 
 from __future__ import annotations
 
 import logging
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +34,8 @@ class MissingInputs(FileNotFoundError):
 
 def _scan(spark: SparkSession, path: str, name: str) -> DataFrame:
     return (spark.read.schema(RAW_CSV_SCHEMAS[name])
-            .option("header", True).option("mode", "PERMISSIVE").option("multiLine", False)
+            .option("header", True).option("mode", "PERMISSIVE").option("multiLine", True)
+            .option("quote", '"').option("escape", '"')
             .csv(path))
 
 
@@ -51,8 +55,15 @@ def missing_inputs(spark: SparkSession, folder: str, names=REQUIRED,
 def read_raw(spark: SparkSession, folder: str, name: str, files: dict[str, str] | None = None) -> DataFrame:
     """One raw table as text columns plus ``ingest_seq``."""
     files = {**RAW_FILES, **(files or {})}
-    return _scan(spark, f"{folder.rstrip('/')}/{files[name]}", name) \
-        .withColumn("ingest_seq", F.monotonically_increasing_id())
+    df = _scan(spark, f"{folder.rstrip('/')}/{files[name]}", name)
+    # A file is read whole by one task, so within it the generated id follows
+    # the lines; its low 33 bits count the rows of a task.
+    # The two ways to name a file differ in the slashes behind the scheme.
+    paths = sorted(re.sub(":/+", ":/", p) for p in df.inputFiles())
+    number = F.lit(0) if len(paths) < 2 else F.array_position(
+        F.array(*[F.lit(p) for p in paths]), F.regexp_replace(F.col("_metadata.file_path"), ":/+", ":/"))
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return df.withColumn("ingest_seq", number.cast("bigint") * F.lit(1 << 33) + in_task)
 
 
 def read_all_raw(spark: SparkSession, folder: str, files: dict[str, str] | None = None,

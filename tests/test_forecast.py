@@ -82,15 +82,18 @@ def test_seasonal_model_recovers_weekly_pattern(spark):
 
 def test_cascade_falls_back_per_series(spark):
     long_s = daily_frame(spark, [1000 + (t % 7) * 10 for t in range(120)], series="long")
-    mid_s = daily_frame(spark, [500.0] * 40, series="mid")             # two months: Holt-Winters
-    short_s = daily_frame(spark, [200.0] * 31, start=dt.date(2018, 3, 1), series="short")  # one month: line
-    daily = long_s.unionByName(mid_s).unionByName(short_s)
+    mid_s = daily_frame(spark, [500.0] * 40, series="mid")             # from 30 days on: seasonal
+    odd_s = daily_frame(spark, [200.0] * 31, start=dt.date(2018, 3, 1), series="odd")
+    daily = long_s.unionByName(mid_s).unionByName(odd_s).withColumn("y", F.col("y").cast("double"))
+    # Revenue that is not finite: neither the seasonal nor the Holt-Winters fit works.
+    daily = daily.withColumn("y", F.when((F.col("series_id") == "odd") & (F.dayofmonth("ds") == 9), float("inf"))
+                             .otherwise(F.col("y")))
     fc = FC.forecast(daily)
     models = {r["series_id"]: (r["model"], r["fallback_reason"])
               for r in fc.select("series_id", "model", "fallback_reason").distinct().collect()}
     assert models["long"] == ("seasonal", None)
-    assert models["mid"][0] == "holt_winters" and models["mid"][1]
-    assert models["short"][0] == "linear_trend"
+    assert models["mid"] == ("seasonal", None)
+    assert models["odd"][0] == "linear_trend" and "revenue is not finite" in models["odd"][1]
     pub = FC.publishable(fc, daily)
     assert pub.groupBy("series_id", "ds").count().filter("count > 1").count() == 0
     assert pub.filter("is_forecast").groupBy("series_id").count().filter("count <> 90").count() == 0

@@ -26,14 +26,21 @@ def test_customer_tiles_do_not_use_a_global_window(spark):
     assert "ntile(" not in text.lower()
 
 
-def test_customer_aggregation_reads_bucketed_orders_without_shuffle(spark):
+def test_customer_aggregation_combines_before_its_only_shuffle(spark):
     wh = open_warehouse(spark, SMALL)
     df = T.retention_rate(wh.table("fact_orders"), orders=wh.table("order_summary"))
     text = plan_text(df)
-    # Only the final one-row total needs an exchange; the per-customer step is co-located.
-    assert text.count("Exchange") == 1 and "SinglePartition" in text
-    unbucketed = T.retention_rate(wh.table("fact_orders"))
-    assert plan_text(unbucketed).count("Exchange") > 1
+    # One shuffle of partial counts per customer, then the one-row total: the
+    # orders of one customer (or of none) are never gathered in one task.
+    assert text.count("Exchange") == 2 and "partial_count" in text.split("Exchange hashpartitioning")[1]
+
+
+def test_size_probe_merges_one_row_per_task(spark):
+    from shopscope.operators import sizing
+    df = spark.range(1000).selectExpr("id", "repeat('x', 10) AS t").repartition(4)
+    assert sizing.side_bytes(df) == 1000 * (16 * 3 + 10)
+    plan = plan_text(sizing.bounded_broadcast(df, max_bytes=10))
+    assert "broadcast" not in plan.lower() and "GlobalLimit" not in plan
 
 
 def test_no_broadcast_without_a_bound(spark):
