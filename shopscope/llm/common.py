@@ -100,6 +100,19 @@ def text_or_empty(col: Column | str) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows (all, if fewer) with the smallest hash of ``key``.
+
+    A cut of the hash that leaves about twice as many rows is applied before
+    they are sorted, so each task passes on its share of 2 n, not n rows.
+    """
+    total = df.count()
+    top = 1 << 31
+    hashed = F.pmod(F.xxhash64(key), F.lit(top))
+    cut = top if total <= 4 * n else int(top * 2 * n / total)
+    return df.where(hashed < cut).orderBy(hashed, key).limit(n)
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """One string per (doc_id, text); a null id differs from every value."""
     ident = F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")), F.lit("n"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stage
+from .common import hash_sample, ship
 
 UNKNOWN = "unknown"
 SAMPLE_PARAGRAPHS = 4000
@@ -181,11 +181,12 @@ def classify(paragraph: str, model: dict) -> tuple[str, float, float] | None:
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
           sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -> dict:
-    """Fit with at most ``sample`` corpus paragraphs, the first lines by hash of the id."""
-    lines = (docs.select(F.xxhash64(doc_id).alias("h"),
-                         F.element_at(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), -1).alias("line"))
-             .where("line <> ''").orderBy("h", "line").limit(sample).select(F.substring("line", 1, 2000).alias("line")))
-    return fit([r["line"] for r in lines.collect()], templates)
+    """Fit with the last lines, as corpus paragraphs, of at most ``sample`` texts (chosen
+    by the hash of the id); the model learns from their first 2000 characters."""
+    line = F.substring(F.element_at(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), -1), 1, 2000)
+    lines = docs.select(F.col(doc_id).alias("doc_id"), line.alias("line"))
+    chosen = hash_sample(lines, "doc_id", sample).where("line <> ''")
+    return fit(sorted(r["line"] for r in chosen.collect()), templates)
 
 
 def scan(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, ship, stage
+from .common import free_name, hash_sample, ship, stage
 
 TRAIN_DOCS = 12_000
 MIN_DOCS = 4
@@ -136,9 +136,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
     The sampled ids, a bounded table, are broadcast to the scan of the texts.
     """
     ship(docs.sparkSession)
-    sample = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
-              .groupBy(F.col(doc_id).alias("sample_id")).agg(F.max(label).alias("label"))
-              .orderBy(F.xxhash64("sample_id"), "sample_id").limit(train_docs))
+    known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()) \
+        .groupBy(F.col(doc_id).alias("sample_id")).agg(F.max(label).alias("label"))
+    sample = hash_sample(known, "sample_id", train_docs)
     rows = stage(docs.select(F.col(doc_id).alias("sample_id"), F.col(text).alias("text"))
                  .join(F.broadcast(sample), "sample_id").groupBy("sample_id")
                  .agg(F.min(F.struct("text", "label")).alias("row")).select("row.text", "row.label"), "toxic-train")
