@@ -15,11 +15,12 @@ from conftest import SMALL
 
 
 def stage_csv(raw, folder):
-    """Write small raw tables as one header CSV file each, in ingest order."""
+    """Write small raw tables as one header CSV file each, in ingest order;
+    quotes inside a value are doubled, as in the shop's exports."""
     for name, df in raw.items():
         cols = [F.col(c).cast("string").alias(c) for c in RAW_CSV_SCHEMAS[name].fieldNames()]
         df.orderBy("ingest_seq").select(*cols).coalesce(1).write.mode("overwrite") \
-            .option("header", True).csv(f"{folder}/{csv_files.RAW_FILES[name]}")
+            .option("header", True).option("escape", '"').csv(f"{folder}/{csv_files.RAW_FILES[name]}")
 
 
 def test_missing_inputs_are_listed(spark, scratch):
