@@ -47,15 +47,15 @@ def fk_orphans(links: Sequence[tuple[str, DataFrame, str, str, DataFrame, str]])
     """K2: child keys with no parent row, per distinct key.
 
     ``links`` holds (child name, child frame, column, parent name, parent
-    frame, parent column). Null child keys are not violations.
+    frame, parent column). Null child keys are not violations. Child rows are
+    counted per key before the join, so a frequent key is one row in it.
     Rows: child_table, column_name, parent_table, key_value, row_count.
     """
     parts = []
     for child_name, child, col, parent_name, parent, pcol in links:
         keys = parent.select(F.col(pcol).alias("_parent_key"))
-        orphans = child.filter(F.col(col).isNotNull()) \
-            .join(keys, F.col(col) == F.col("_parent_key"), "left_anti")
-        parts.append(orphans.groupBy(col).agg(F.count(F.lit(1)).alias("row_count")).select(
+        counts = child.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("row_count"))
+        parts.append(counts.join(keys, F.col(col) == F.col("_parent_key"), "left_anti").select(
             F.lit(child_name).alias("child_table"), F.lit(col).alias("column_name"),
             F.lit(parent_name).alias("parent_table"), F.col(col).cast("string").alias("key_value"),
             "row_count"))

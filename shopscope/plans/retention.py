@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shopscope.functions.scalar import even_round, mean, month_start, percent, sql_round, whole_days
@@ -111,21 +112,23 @@ def clv_tiers(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
 def cohort_retention(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """T4: share of each first-purchase month still buying in later months.
 
-    Orders are reduced to distinct (customer, month) pairs before the join to
-    the first month, so a customer contributes at most one row per month.
+    One scan and one customer-wide shuffle: every customer's distinct months
+    (bounded by the calendar) are gathered, the first of them is the cohort, and
+    a cohort's size is the number of its customers active in that month.
     The month number is the month part of the gap (it restarts after 11);
     ``months_total`` is the full gap.
     """
     o = _orders(fact, orders).filter(F.col(CUSTOMER).isNotNull())
-    activity = o.select(CUSTOMER, month_start("order_purchase_timestamp").alias("activity_month")) \
-        .distinct()
-    first = activity.groupBy(CUSTOMER).agg(F.min("activity_month").alias("cohort_month"))
-    size = first.groupBy("cohort_month").agg(F.count(CUSTOMER).alias("cohort_customers"))
-    active = (activity.join(first, CUSTOMER)
+    month = F.struct(month_start("order_purchase_timestamp").alias("month"))
+    months = o.groupBy(CUSTOMER).agg(F.collect_set(month).alias("seen"))
+    active = (months.select(F.array_min("seen.month").alias("cohort_month"), F.explode("seen.month")
+                            .alias("activity_month"))
               .groupBy("cohort_month", "activity_month")
-              .agg(F.count(CUSTOMER).alias("active_customers")))
+              .agg(F.count(F.lit(1)).alias("active_customers")))
+    joined = F.when(F.col("activity_month") == F.col("cohort_month"), F.col("active_customers"))
     gap = F.months_between("activity_month", "cohort_month").cast("int")
-    return (active.join(size, "cohort_month")
+    return (active.filter(F.col("cohort_month").isNotNull())
+            .withColumn("cohort_customers", F.max(joined).over(W.partitionBy("cohort_month")))
             .select("cohort_month", "cohort_customers", "activity_month",
                     (gap % 12).alias("months_since_first_order"),
                     "active_customers",

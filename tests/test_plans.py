@@ -57,3 +57,19 @@ def test_review_join_on_bucketed_fact_needs_no_shuffle(spark):
     text = plan_text(df)
     shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     assert len(shuffles) == 1 and "product_id" in shuffles[0]
+
+
+def test_cohorts_scan_and_shuffle_customers_once(spark):
+    wh = open_warehouse(spark, SMALL)
+    text = plan_text(T.cohort_retention(wh.table("fact_orders"), orders=wh.table("order_summary")))
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning(customer_unique_id") == 1
+
+
+def test_orphans_count_child_keys_before_the_join(spark):
+    from shopscope.operators.quality import fk_orphans
+    child = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    parent = spark.createDataFrame([(2,)], "p int")
+    df = fk_orphans([("c", child, "k", "parents", parent, "p")])
+    assert [(r["key_value"], r["row_count"]) for r in df.collect()] == [("1", 2)]
+    text = plan_text(df)
+    assert text.index("Join") < text.index("partial_count")  # the join stands above the count
