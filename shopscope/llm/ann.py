@@ -1,26 +1,29 @@
 """Approximate nearest neighbours with robust-pruned directed graphs.
 
 (After Subramanya, Devvrit, Kadekodi, Krishnaswamy and Simhadri, "DiskANN",
-2019.) The vectors are dealt by a hash of their id over shards of about
-``SHARD_ROWS``; every vector is indexed. In each shard a directed graph is
-built: from a random graph, greedy searches from fixed entry points propose
+2019.) Every row is indexed; rows with equal vectors share one point, that of
+the smallest id (``rep``), as copies would only point at each other. The points
+are dealt by a hash of their id over shards of about ``SHARD_ROWS``. In each
+shard a directed graph is built: from a random graph, greedy searches from fixed entry points propose
 neighbours for every point, and robust pruning keeps a candidate only if no
 kept neighbour is closer to it by the factor ``alpha``, so edges are diverse.
 Reverse edges are added and pruned alike. Two passes, alpha 1 and ``ALPHA``.
 
 A query runs a beam search in every shard, then the shards' best are merged.
 The queries of a shard come in blocks of ``QUERY_BLOCK``: a group is one
-shard's graph and one block, both bounded, and it returns ``k`` rows a query.
-Distances are found in single precision; the best ``SPARE * k`` of a shard get
-their exact distance in double precision on the original values before ranks
-are given.
+shard's graph and one block, both bounded, and it returns ``k + 1`` points a
+query. Distances are found in single precision; the best ``SPARE * k`` of a
+shard get their exact distance in double precision on the original values. The
+best ``k + 1`` points of all shards are then replaced by their rows, of which
+the ``k + 1`` smallest ids of each point can matter, before ranks are given.
 
 Cases: vectors that are null, empty, zero or hold a null or non-finite
 component, and rows with a null id, take no part, neither as queries nor as
 candidates. Vectors must have one dimension; those of another than the most
 common one are found only by brute force within their own dimension, that is,
-each dimension is indexed on its own. Equal vectors are candidates like others
-and ties go to the smaller id; of rows with a repeated id the smallest vector
+each dimension is indexed on its own. Rows with equal vectors, however many, are
+candidates like others, of the query's own vector too, and ties go to the
+smaller id; of rows with a repeated id the smallest vector
 counts. Other columns are ignored. Fewer candidates than ``k``: all are given.
 """
 
@@ -41,6 +44,7 @@ BEAM = 96
 ALPHA = 1.1
 SPARE = 2
 QUERY_BLOCK = 4096
+SLICE_ROWS = 65536
 _ENTRIES = 4
 _BATCH = 512
 
@@ -199,7 +203,7 @@ def _matrix(column) -> np.ndarray:
 
 def _build(degree: int, beam: int, alpha: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id", ignore_index=True)
+        pdf = pdf.sort_values("rep", ignore_index=True)
         vectors = _matrix(pdf["vec"]).astype(np.float32)
         graph, entries = build_graph(vectors, degree, beam, alpha)
         pdf["neighbours"] = list(graph.astype(np.int32))
@@ -211,7 +215,7 @@ def _build(degree: int, beam: int, alpha: float):
 
 def _search(k: int, beam: int):
     def run(key, points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)}
+        out = {"query_id": np.zeros(0, np.int64), "rep": np.zeros(0, np.int64), "score": np.zeros(0)}
         if len(points) and len(queries):
             points = points.sort_values("place", ignore_index=True)
             exact = _matrix(points["vec"])
@@ -219,18 +223,18 @@ def _search(k: int, beam: int):
             squares = (vectors ** 2).sum(axis=1)
             graph = np.array(points["neighbours"].tolist(), np.int64)
             entries = np.flatnonzero(points["entry"].to_numpy())
-            ids = points["vec_id"].to_numpy()
+            ids = points["rep"].to_numpy()
             parts = []
             for part in np.array_split(np.arange(len(queries)), max(1, -(-len(queries) // _BATCH))):
                 q = _matrix(queries["vec"].iloc[part])
                 query_ids = queries["vec_id"].to_numpy()[part]
                 found, _ = beam_search(vectors, squares, graph, entries, q.astype(np.float32), beam)
                 found = found[:, :SPARE * k + 1]
-                row, at = np.nonzero((found >= 0) & (ids[found] != query_ids[:, None]))
+                row, at = np.nonzero(found >= 0)
                 hit = found[row, at]
                 score = np.sqrt(((exact[hit] - q[row]) ** 2).sum(axis=1))
-                parts.append(pd.DataFrame({"query_id": query_ids[row], "vec_id": ids[hit], "score": score})
-                             .sort_values(["query_id", "score", "vec_id"]).groupby("query_id").head(k))
+                parts.append(pd.DataFrame({"query_id": query_ids[row], "rep": ids[hit], "score": score})
+                             .sort_values(["query_id", "score", "rep"]).groupby("query_id").head(k + 1))
             return pd.concat(parts, ignore_index=True)
         return pd.DataFrame(out)
     return run
@@ -239,36 +243,57 @@ def _search(k: int, beam: int):
 def build_index(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding",
                 shard_rows: int = SHARD_ROWS, degree: int = DEGREE, beam: int = BUILD_BEAM,
                 alpha: float = ALPHA) -> DataFrame:
-    """The staged index: dim, shard, vec_id, vec, place, neighbours, entry.
+    """The staged index, one row per usable row: vec_id, vec, dim, rep, and for
+    the points (``vec_id = rep``) shard, neighbours, place and entry.
 
-    A shard's number of rows does not grow with the table, so neither does the
-    work or memory of the task that builds it.
+    A shard's number of points does not grow with the table, so neither does
+    the work or memory of the task that builds it.
     """
     ship(vectors.sparkSession)
-    points = stage(usable(vectors, vec_id, embedding).withColumn("dim", F.size("vec")), "vectors")
+    rows = stage(usable(vectors, vec_id, embedding), "vectors")
+    points = stage(rows.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
+                   .withColumn("dim", F.size("vec")), "ann-points")
     per_dim = points.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(shard_rows)).alias("shards"))
     sharded = points.join(F.broadcast(per_dim), "dim") \
-        .withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards"))).drop("shards")
-    return stage(sharded.groupBy("dim", "shard").applyInPandas(
+        .withColumn("shard", F.pmod(F.xxhash64("rep"), F.col("shards"))).drop("shards", "size")
+    graph = sharded.groupBy("dim", "shard").applyInPandas(
         _build(degree, beam, alpha),
-        "vec_id bigint, vec array<double>, dim int, shard bigint, neighbours array<int>, place bigint, "
-        "entry boolean"), "ann-graph")
+        "rep bigint, vec array<double>, dim int, shard bigint, neighbours array<int>, place bigint, entry boolean")
+    copies = rows.join(points.where("size > 1").select("vec", "rep", "dim"), "vec").where("vec_id <> rep")
+    return stage(graph.withColumn("vec_id", F.col("rep")).unionByName(copies, allowMissingColumns=True), "ann-graph")
+
+
+def _smallest_ids(index: DataFrame, n: int) -> DataFrame:
+    """(rep, vec_id): the ``n`` smallest ids of every point; those of many
+    copies are first ranked in slices."""
+    sizes = index.groupBy("rep").agg(F.count("*").alias("size"))
+    cut = F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("size") / F.lit(SLICE_ROWS)))
+    some = index.where("vec_id <> rep").select("rep", "vec_id").join(sizes.where("size > 1"), "rep") \
+        .withColumn("slice", cut)
+    for keys in (["rep", "slice"], ["rep"]):
+        some = some.withColumn("at", F.row_number().over(W.partitionBy(*keys).orderBy("vec_id"))) \
+            .where(F.col("at") < n)
+    return index.where("vec_id = rep").select("rep", "vec_id").union(some.select("rep", "vec_id"))
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM) -> DataFrame:
     """The ``k`` nearest found of every query (vec_id, vec): query_id, rank, vec_id, score."""
     ship(index.sparkSession)
     queries = stage(queries.select("vec_id", "vec", F.size("vec").alias("dim")), "ann-queries")
-    shards = stage(index.select("dim", "shard").distinct(), "shards")
+    points = index.where("vec_id = rep").drop("vec_id")
+    shards = stage(points.select("dim", "shard").distinct(), "shards")
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     asked = queries.join(shards, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    held = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                          F.lit(blocks - 1).cast("bigint"))))
+    held = points.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                           F.lit(blocks - 1).cast("bigint"))))
     keys = ["dim", "shard", "block"]
     found = held.groupBy(*keys).cogroup(asked.groupBy(*keys)) \
-        .applyInPandas(_search(k, beam), "query_id bigint, vec_id bigint, score double")
+        .applyInPandas(_search(k, beam), "query_id bigint, rep bigint, score double")
+    best = found.withColumn("at", F.row_number().over(W.partitionBy("query_id").orderBy("score", "rep"))) \
+        .where(F.col("at") <= k + 1)
+    rows = best.join(_smallest_ids(index, k + 1), "rep").where("vec_id <> query_id")
     nearest = W.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k) \
+    return rows.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
 
 

@@ -117,6 +117,21 @@ def test_recall_over_shards(spark, cluster):
     assert len({(q, i) for q, _, i, _ in got} & {(q, i) for q, _, i, _ in want}) > 0.97 * len(want)
 
 
+def test_many_equal_vectors(spark):
+    """A third of all rows hold one vector, more hold a few others: ties go to the smaller ids."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(900, 8))
+    x[::3] = x[0]
+    x[1:300:3] = x[rng.integers(1, 20, 100)]
+    rows = [(i, v.tolist(), "", "", 0) for i, v in enumerate(x.astype(np.float32))]
+    found = ann.nearest_neighbours(vectors(spark, rows), F.col("vec_id") % 10 == 0, k=10, shard_rows=300)
+    got, want = {tuple(r) for r in found.collect()}, brute(rows, 10)
+    assert len(got) == len(want) and len(got & want) > 0.97 * len(want)
+    for q in range(0, 900, 30):  # queries with the common vector: exact
+        assert {r for r in got if r[0] == q} == {r for r in want if r[0] == q}
+
+
 def test_pruned_edges_are_diverse():
     points = np.array([[0, 0], [1, 0], [1.1, 0], [0, 2], [-3, 0]], np.float32)
     squares = (points ** 2).sum(axis=1)
