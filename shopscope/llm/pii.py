@@ -42,15 +42,18 @@ ACCEPT = 0.9
 MIN_INSTANCES = 5
 
 # Fixed patterns of the base spans.
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# (The look-behind saves retries within a run that has already failed: a match
+# takes whole runs, so none starts inside one.)
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 # Shapes of candidates, far looser than the base.
-_LOOSE_MAIL = re.compile(r"[^\s@]+(?:@|\(at\)|\[at\])[^\s@]+")
+_LOOSE_MAIL = re.compile(r"(?<![^\s@])[^\s@]+(?:@|\(at\)|\[at\])[^\s@]+")
 _LOOSE_NUMBER = re.compile(r"(?<![\w.])\+?\(?[0-9](?:[ ().:/-]{0,2}[0-9A-Fa-f](?![G-Zg-z])){6,}(?!\w)")
 _BEFORE = re.compile(r"(\S+)?[ \t]*(\S+)?[ \t]*\Z")
 _AFTER = re.compile(r"[ \t]*(\S+)?")
@@ -64,11 +67,23 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of ``[A-Za-z0-9._%+-]+`` before an ``@`` and a domain behind it, found from each ``@``."""
+    free, at = 0, text.find("@")
+    while at >= 0:
+        start = free + len(text[free:at].rstrip(_LOCAL))
+        domain = _DOMAIN.match(text, at) if start < at else None
+        free = domain.end() if domain else at + 1
+        if domain:
+            yield start, free
+        at = text.find("@", free)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of all base spans, in order."""
     out = []
     if "@" in text:
-        out += [(m.start(), 0, m.end()) for m in _EMAIL.finditer(text)]
+        out += [(a, 0, b) for a, b in _emails(text)]
     if _DIGIT.search(text):
         out += [(m.start(), 1, m.end()) for m in _IP.finditer(text)
                 if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]

@@ -409,6 +409,24 @@ def test_base_spans_match_brute_force(spark, edge, empty):
     assert pii.extract(edge).count() == len(EDGE) and pii.extract(empty).count() == 0
 
 
+def test_base_patterns_on_random_and_very_long_texts():
+    """Equal to the plain patterns on random text, and linear on runs without a match."""
+    import random
+    import time
+    rng = random.Random(5)
+    for _ in range(4000):
+        text = "".join(rng.choice("ab1.2.@@-+ %5_é(\n") for _ in range(rng.randint(0, 40)))
+        got = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in pii.base_spans(text))
+        assert got == brute_spans(text), text
+    began = time.time()
+    for run in ("a", "1", "a@", "@", "1.", "+1", "at", "(at)"):
+        text = run * 300_000 + " x@y.z"
+        spans = pii.base_spans(text)
+        pii.candidates(text, spans)
+        assert (len(text) - 5, 0, len(text)) in spans
+    assert time.time() - began < 30
+
+
 def test_patterns_discover_unseen_identifiers(spark):
     """Numbers behind the words that introduce cards are found; others are not."""
     from pyspark.sql import functions as F
