@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from shopscope.operators.quality import number_rejects
 from shopscope.plans import forecast as FC
+from shopscope.plans.publish import LOAD_ORDER, publish_all
 from shopscope.plans.warehouse import ALL_TABLES, Warehouse
 from shopscope.sources import csv_files
 from shopscope.sources.driver_tables import raw_tables
@@ -50,7 +51,9 @@ class RunReport:
 
 def run(spark: SparkSession, input_dir: str, output_dir: str, input_format: str = "csv",
         with_forecast: bool = True, series_col: str | None = None,
-        files: dict[str, str] | None = None) -> RunReport:
+        files: dict[str, str] | None = None, database: str | None = None) -> RunReport:
+    """Clean, load and forecast; with ``database`` the tables are also published
+    there, dimensions first, the fact in folders per month."""
     report = RunReport()
     t0 = time.time()
     output_dir = output_dir.rstrip("/")
@@ -68,6 +71,12 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, input_format: str
         report.add(stage, name, wh.table(name).count(), wh.seconds.get(stage, 0.0))
     rejects = number_rejects({n: (raw[n], cols) for n, cols in NUMBERS.items() if n in raw})
     rejects.write.mode("overwrite").parquet(wh.path("number_rejects"))
+    if database:
+        t1 = time.time()
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        loaded = {n: wh.table(n) for n in LOAD_ORDER if n not in OPTIONAL or n in raw}
+        for name in publish_all(spark, loaded, database):
+            report.add("publish", name, spark.table(name).count(), time.time() - t1)
     log.info("load done in %.1fs", time.time() - t0)
 
     if with_forecast:
@@ -84,7 +93,8 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, input_format: str
             monthly.withColumns({c: F.col(c).cast(MONEY) for c in
                                  ("forecast_revenue", "forecast_lower", "forecast_upper")}) \
                 .write.mode("overwrite").parquet(wh.path("forecast_monthly"))
-            for name in ("forecast_daily", "forecast_monthly"):
+            FC.summary(daily, monthly).write.mode("overwrite").parquet(wh.path("forecast_summary"))
+            for name in ("forecast_daily", "forecast_monthly", "forecast_summary"):
                 report.add("forecast", name, wh.table(name).count(), time.time() - t1)
         except Exception as exc:  # the forecast is optional: report and go on
             report.forecast_error = f"{type(exc).__name__}: {exc}"
@@ -103,6 +113,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--no-forecast", action="store_true")
     ap.add_argument("--series", default=None, help="column to forecast per value (e.g. customer_state)")
     ap.add_argument("--files", default="", metavar="TABLE=FILE,...", help="file names of raw tables in the input folder")
+    ap.add_argument("--database", default=None, help="publish the cleaned tables and the fact to this database too")
     ap.add_argument("--master", default=None)
     ap.add_argument("--input-bytes", type=int, default=None,
                     help="size of the raw input; sets shuffle partitions to about 128 MB each")
@@ -113,7 +124,7 @@ def main(argv: list[str] | None = None) -> None:
         size_shuffles(spark, args.input_bytes)
     try:
         rep = run(spark, args.input, args.output, args.format, not args.no_forecast, args.series,
-                  dict(pair.split("=", 1) for pair in args.files.split(",") if pair))
+                  dict(pair.split("=", 1) for pair in args.files.split(",") if pair), args.database)
     except csv_files.MissingInputs as exc:
         raise SystemExit(f"FATAL: {exc}")
     for stage in rep.stages:

@@ -59,7 +59,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_driver_table(spark, sf_dir, "customer")
     n = _dimension(spark, sf_dir, "nation", "n_nationkey", "n_name")
     person = F.col("c_custkey") - F.when(F.col("c_custkey") % 10 == 1, 1).otherwise(0)
-    return (c.join(n, c.c_nationkey == n.n_nationkey)
+    return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
             .select(_key("c_custkey").alias("customer_id"),
                     F.concat(F.lit("u"), person.cast("string")).alias("customer_unique_id"),
                     (F.col("c_custkey") % ZIP_MODULUS).cast("string").alias("customer_zip_code_prefix"),
@@ -71,7 +71,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_driver_table(spark, sf_dir, "supplier")
     n = _dimension(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    return (s.join(n, s.s_nationkey == n.n_nationkey)
+    return (s.join(n, s.s_nationkey == n.n_nationkey, "left")
             .select(_key("s_suppkey").alias("seller_id"),
                     (F.col("s_suppkey") % ZIP_MODULUS).cast("string").alias("seller_zip_code_prefix"),
                     F.lower("s_name").alias("seller_city"),
@@ -82,7 +82,7 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_driver_table(spark, sf_dir, "customer")
     n = _dimension(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    return (c.join(n, c.c_nationkey == n.n_nationkey)
+    return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
             .select(F.col("c_nationkey").cast("string").alias("geolocation_zip_code_prefix"),
                     (F.col("c_acctbal") / 1000).alias("geolocation_lat"),
                     (F.col("c_acctbal") / -200).alias("geolocation_lng"),
@@ -128,7 +128,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str, lines: DataFrame | None =
     li = lines if lines is not None else _numbered_lines(spark, sf_dir)
     part = _dimension(spark, sf_dir, "part", "p_partkey", "p_type")
     freight = (F.col("l_extendedprice") * F.col("l_tax") * (F.length("p_type") - 4) * 2)
-    return (li.join(part, li.l_partkey == part.p_partkey)
+    return (li.join(part, li.l_partkey == part.p_partkey, "left")
             .select("order_id",
                     F.col("line_no").alias("order_item_id"),
                     _key("l_partkey").alias("product_id"),

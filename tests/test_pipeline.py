@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopscope.plans import job
+from shopscope.plans.publish import LOAD_ORDER
 from shopscope.plans.warehouse import open_warehouse
 from shopscope.schemas import RAW_CSV_SCHEMAS
 from shopscope.sources import csv_files
-from shopscope.sources.driver_tables import raw_tables
+from shopscope.sources.driver_tables import DRIVER_TABLES, raw_tables
 
 from conftest import SMALL
 
@@ -45,6 +46,27 @@ def test_csv_job_matches_typed_warehouse(spark, scratch):
     assert metrics["forecast_daily"] > 0 and metrics["forecast_monthly"] > 0
 
 
+def test_job_publishes_and_summarises(spark, scratch):
+    rep = job.run(spark, SMALL, os.path.join(scratch, "out"), "driver", database="published")
+    assert rep.forecast_error is None
+    names = [t.removeprefix("published.") for s, t, _, _ in rep.stages if s == "publish"]
+    assert names == list(LOAD_ORDER)
+    assert spark.table("published.fact_orders").count() == 6000
+    assert spark.read.parquet(os.path.join(scratch, "out", "forecast_summary")).count() == 1
+
+
+def test_rows_without_a_nation_or_part_stay(spark, scratch):
+    for name in DRIVER_TABLES:
+        df = spark.read.parquet(f"{SMALL}/{name}.parquet")
+        if name in ("nation", "part"):
+            df = df.where(f"{'n_nationkey' if name == 'nation' else 'p_partkey'} % 2 = 0")
+        df.write.parquet(f"{scratch}/{name}.parquet")
+    raw = raw_tables(spark, scratch)
+    for name, source in (("customers", "customer"), ("sellers", "supplier"), ("order_items", "lineitem")):
+        assert raw[name].count() == spark.read.parquet(f"{SMALL}/{source}.parquet").count()
+    assert raw["order_items"].where("freight_value IS NULL").count() > 0
+
+
 def test_job_without_forecast(spark, scratch):
     rep = job.run(spark, SMALL, os.path.join(scratch, "out"), "driver", with_forecast=False)
     assert [s for s in rep.stages if s[0] == "forecast"] == []
