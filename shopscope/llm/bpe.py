@@ -8,8 +8,9 @@ Encoding, in three steps that Spark partitions:
    distinct words packed into one row per word bucket (a hash of the word).
 2. Encode. Grouped by bucket, every distinct word of the corpus is encoded
    once; each chunk gets the ids of its words back. The number of buckets
-   grows with the rows, so a group stays small; a word is in a group at most
-   once per chunk, so frequent words make no hot group.
+   grows with the rows and with the bytes of text, so a group stays small
+   whether the texts are many or long; a word is in a group at most once per
+   chunk, so frequent words make no hot group.
 3. Join by position. Grouped by chunk, the number at each position is replaced
    by its word's ids.
 
@@ -54,6 +55,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 AGREED = "\u0000-\u0557\u2000-\u206f\u20a0-\u20bf\u2100-\u214f\u2190-\u23ff\u4e00-\u9fa5\uac00-\ud7a3"
 CHUNK_CHARS = 12_000_000
 ROWS_PER_BUCKET = 4096
+BYTES_PER_BUCKET = 16 << 20
 _ENCODE_BATCH = 8192
 _DECODE_ROWS = 512
 
@@ -292,6 +294,12 @@ def _join_ids(sequences, words):
     return pd.DataFrame({"doc_id": pd.Series(ids, dtype=object), "ids": pd.Series(out, dtype=object)})
 
 
+def _bucket_count(source: DataFrame) -> int:
+    """Word buckets: one per ``ROWS_PER_BUCKET`` rows or ``BYTES_PER_BUCKET`` of text, whichever are more."""
+    rows, size = source.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    return max(1, -(-rows // ROWS_PER_BUCKET), -(-(size or 0) // BYTES_PER_BUCKET))
+
+
 def encode(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text",
            chunk_chars: int = CHUNK_CHARS, decoded: bool = False) -> DataFrame:
     """(doc_id, ids) of every row; ids are little-endian unsigned 32-bit integers.
@@ -302,7 +310,7 @@ def encode(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: s
     ship(docs.sparkSession)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    buckets = max(1, -(-source.count() // ROWS_PER_BUCKET))
+    buckets = _bucket_count(source)
     from pyspark.sql.pandas.types import to_arrow_type
     rows = _staged_by_chunk(source.mapInArrow(
         _chunks(tokenizer_path, buckets, to_arrow_type(source.schema["doc_id"].dataType), chunk_chars),

@@ -283,6 +283,22 @@ def test_bpe_small_chunks_and_query(spark):
         == {r["doc_id"]: r["text"] for r in rows}
 
 
+def test_bpe_buckets_grow_with_the_bytes_of_few_long_texts(spark, monkeypatch):
+    """Few rows of long texts: no task gets the distinct words of all chunks."""
+    from pyspark.sql import functions as F
+    staged = []
+    kept = bpe._staged_by_chunk
+    monkeypatch.setattr(bpe, "_staged_by_chunk", lambda rows: staged.append(kept(rows)) or staged[-1])
+    texts = [" ".join(f"w{i * 7 + k}" for i in range(1_200_000)) for k in range(4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = sorted(tuple(r) for r in bpe_digests(df).collect())
+    assert got == [(i, *d) for i, d in enumerate(library_digests(texts))]
+    sizes = {r["bucket"]: r["size"] for r in staged[0].where("bucket >= 0").groupBy("bucket")
+             .agg(F.sum(F.length("blob")).alias("size")).collect()}
+    assert len(sizes) == -(-sum(map(len, texts)) // (16 << 20)) > 1
+    assert max(sizes.values()) < 0.75 * sum(sizes.values())
+
+
 def test_word_split_agrees_with_the_library_on_every_agreed_character():
     import regex
     pre = bpe._tokenizer(tokenizer_path()).pre_tokenizer.pre_tokenize_str
