@@ -11,8 +11,13 @@ plain shuffles of written tables, so adaptive execution splits a hot digest.
 Cases: a null text counts as empty, and all empty texts are equal. Among equal
 texts the smallest doc_id stays, a null id last; of fully repeated rows exactly
 one is kept. Other columns of the input are ignored. An empty batch leaves the
-index as it was and gives no rows. Running a batch again after a failure adds
-nothing twice, since the anti join finds what was appended.
+index as it was and gives no rows. Running a batch again adds nothing twice,
+since the anti join finds what was appended. What it keeps depends on the batch
+id: the texts are in the index before the caller has written the result, so a
+job that may be run again after a failure must give ``batch_id``. The rerun
+under the same id then finds its own entries, keeps the same texts again, and
+completes an append that broke off. Without an id each call is a batch of its
+own, and a repeat counts as copies of what was there: none of it is kept.
 """
 
 from __future__ import annotations
@@ -65,9 +70,13 @@ class DigestIndex:
         return self.spark.table(self.name)
 
     def ingest(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-               carry: Column | None = None) -> DataFrame:
+               carry: Column | None = None, batch_id: str | None = None) -> DataFrame:
         """Deduplicate a batch, append its new texts, return one row per row of it.
 
+        ``batch_id`` names these rows for good: give it, and give it again when
+        the same rows are run again after a failure. It must not be used for
+        other rows. Default: a new one per call.
+
         Returns doc_id, keep_id, group_size (rows of this batch with the
         text), kept, text_sha256, and ``carry`` if given. Rows whose text an
         earlier batch brought are not kept; their keep_id is the indexed one.
@@ -77,7 +86,7 @@ class DigestIndex:
         if carry is not None:
             columns.append(carry.alias("carry"))
         rows = stage(docs.select(*columns), "digests")
-        batch = uuid.uuid4().hex
+        batch = uuid.uuid4().hex if batch_id is None else batch_id
         groups = stage(
             rows.groupBy("digest").agg(
                 F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")).alias("first"),
@@ -107,13 +116,13 @@ class DigestIndex:
 
 
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, doc_id: str = "doc_id",
-                text: str = "text", carry: Column | None = None) -> DataFrame:
-    """Deduplicate against ``index``, or against a new, empty one."""
+                text: str = "text", carry: Column | None = None, batch_id: str | None = None) -> DataFrame:
+    """Deduplicate against ``index``, or against a new, empty one; ``batch_id`` as for ``DigestIndex.ingest``."""
     spark = docs.sparkSession
     if index is None:
         index = DigestIndex(spark, new_path(spark, "index"),
                             docs.schema[doc_id].dataType.simpleString())
-    return index.ingest(docs, doc_id, text, carry)
+    return index.ingest(docs, doc_id, text, carry, batch_id)
 
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -79,6 +79,24 @@ def test_digest_index_lasts_and_grows(spark, scratch):
     assert again.compact().table().count() == 3
 
 
+def test_rerun_of_a_named_batch_keeps_its_texts_again(spark, scratch):
+    """As after a job that ended between the append and the write of its result."""
+    index = exact_dedup.DigestIndex(spark, scratch + "/rerun", buckets=4)
+    schema = "doc_id bigint, text string"
+    index.ingest(spark.createDataFrame([(5, "x y")], schema), batch_id="monday").count()
+    rows = [(1, "x  y"), (2, "new"), (3, "new"), (2, "new"), (None, "no id"), (4, "late")]
+    batch = spark.createDataFrame(rows, schema).repartition(3)
+    # Of the broken-off run, all but one text had reached the index; its result is lost.
+    index.ingest(batch.where("text <> 'late'"), batch_id="tuesday")
+    again = index.ingest(batch.repartition(2), batch_id="tuesday").collect()
+    assert sorted((str(r["doc_id"]), r["keep_id"], r["kept"]) for r in again if r["doc_id"] != 2) \
+        == [("1", 5, False), ("3", 2, False), ("4", 4, True), ("None", None, True)]
+    assert sorted(r["kept"] for r in again if r["doc_id"] == 2) == [False, True]
+    assert index.table().count() == 4
+    assert not index.compact().ingest(batch, batch_id="wednesday").where("kept").count()
+    assert index.compact().ingest(batch, batch_id="tuesday").where("kept").count() == 3
+
+
 def test_index_anti_join_reads_buckets(spark, scratch):
     index = exact_dedup.DigestIndex(spark, scratch + "/plan", buckets=4)
     plan = spark.table(index.name).groupBy("digest").count()._jdf.queryExecution().executedPlan().toString()
