@@ -12,7 +12,9 @@ card, phone). They are the seeds of a bootstrap:
   seeds and few other instances. A candidate's belief is the noisy-or of its
   patterns' confidences, for the kinds that its shape allows. Seeds keep
   belief 1. Candidates that reach ``ACCEPT`` join the seeds' side for the next
-  round, which raises their patterns in turn; ``ROUNDS`` rounds.
+  round, which raises their patterns in turn, until a round changes nothing.
+  An accepted instance keeps its kind, so beliefs only rise, and they count in
+  thousandths, so the rounds end.
 * Mentions of accepted instances are added as spans of their kind.
 
 The graph holds distinct (pattern, instance) pairs, so copies of a document
@@ -33,13 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stage
+from .common import drop_staged, ship, stage
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 SHRINK = 2.0
 ACCEPT = 0.9
-MIN_INSTANCES = 5
 
 # Fixed patterns of the base spans.
 # (The look-behind saves retries within a run that has already failed: a match
@@ -117,7 +117,7 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
 
 
 def lexical_patterns(text: str, start: int, end: int) -> list[str]:
-    """The words around a span: two before; one before and one after; a label before."""
+    """The words around a span: two before; one before and one after; one before; one after."""
     left = _BEFORE.search(text[max(0, start - 80):start])
     first, second = left.groups() if left else (None, None)
     if second is None:
@@ -129,8 +129,10 @@ def lexical_patterns(text: str, start: int, end: int) -> list[str]:
         out.append(f"{first} {second} _")
     if second and after:
         out.append(f"{second} _ {after}")
-    if second and second[-1] in ":=#":
+    if second:
         out.append(f"{second} _")
+    if after:
+        out.append(f"_ {after}")
     return out
 
 
@@ -165,31 +167,38 @@ def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return source.mapInArrow(_mentions, f"doc_id {kind}, row_id bigint, mentions {MENTIONS}")
 
 
-def discover(found: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT, shrink: float = SHRINK,
-             min_instances: int = MIN_INSTANCES) -> DataFrame:
+def discover(found: DataFrame, accept: float = ACCEPT, shrink: float = SHRINK) -> DataFrame:
     """(instance, kind, belief) of the accepted candidates of staged ``mentions``."""
     m = found.select(F.explode("mentions").alias("m")).select("m.*")
     seeds = m.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct()
     allowed = m.where("seed is null").select("instance", F.explode("kinds").alias("kind")).distinct() \
         .join(seeds.select("instance").distinct(), "instance", "left_anti")
     edges = stage(m.select(F.explode("patterns").alias("pattern"), "instance").distinct(), "pii-edges")
-    size = edges.groupBy("pattern").agg(F.count("*").alias("size")).where(F.col("size") >= min_instances)
-    # Only patterns of enough instances can be trusted, so only their edges stay.
-    edges = stage(edges.join(size, "pattern"), "pii-graph")
+    size = stage(edges.groupBy("pattern").agg(F.count("*").alias("size")), "pii-sizes")
     certain = stage(seeds.withColumn("belief", F.lit(1.0)), "pii-seeds")
-    possible = stage(allowed.join(edges.select("instance").distinct(), "instance", "left_semi"), "pii-candidates")
-    accepted = None
-    for _ in range(rounds):
+    possible = stage(allowed.join(edges, "instance"), "pii-candidates")
+    accepted, state = None, None
+    while True:
         known = certain if accepted is None else certain.union(accepted)
-        confidence = edges.join(known, "instance").groupBy("pattern", "kind") \
-            .agg((F.sum("belief") / (F.first("size") + F.lit(shrink))).alias("confidence"))
-        belief = possible.join(edges, "instance").join(confidence, ["pattern", "kind"]) \
-            .groupBy("instance", "kind") \
-            .agg((1 - F.exp(F.sum(F.log1p(-F.least("confidence", F.lit(1 - 1e-9)))))).alias("belief"))
-        best = belief.groupBy("instance").agg(F.max(F.struct("belief", "kind")).alias("best"))
-        accepted = stage(best.where(F.col("best.belief") >= accept)
-                         .select("instance", "best.kind", "best.belief"), "pii-accepted")
-    return accepted
+        confidence = edges.join(known, "instance").groupBy("pattern", "kind").agg(F.sum("belief").alias("sum")) \
+            .join(size, "pattern") \
+            .select("pattern", "kind", (F.col("sum") / (F.col("size") + F.lit(shrink))).alias("confidence"))
+        belief = possible.join(confidence, ["pattern", "kind"]).groupBy("instance", "kind") \
+            .agg((1 - F.exp(F.sum(F.log1p(-F.least("confidence", F.lit(1 - 1e-9)))))).alias("belief")) \
+            .where(F.col("belief") >= accept) \
+            .select("instance", "kind", (F.floor(F.col("belief") * 1000) / 1000).alias("belief"), F.lit(False).alias("held"))
+        if accepted is not None:
+            belief = belief.union(accepted.withColumn("held", F.lit(True))).groupBy("instance", "kind") \
+                .agg(F.max("belief").alias("belief"), F.max("held").alias("held"))
+        # The kind under which an instance was accepted stays; else the most believed one.
+        best = belief.groupBy("instance").agg(F.max(F.struct("held", "belief", "kind")).alias("best"))
+        before, accepted = accepted, stage(best.select("instance", "best.kind", "best.belief"), "pii-accepted")
+        now = accepted.agg(F.count("*"), F.sum(F.round(F.col("belief") * 1000).cast("bigint"))).first()
+        if before is not None:
+            drop_staged(before)
+        if now == state or not now[0]:
+            return accepted
+        state = now
 
 
 def extract(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

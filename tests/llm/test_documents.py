@@ -477,6 +477,46 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert got[0] == "card:19:35" and got[100] == "card:19:35" and got[101] == ""
 
 
+def discovered(spark, instances):
+    """{instance: (kind, belief)} from (instance, seed, patterns) of cards."""
+    rows = [(i, i, [(0, 1, seed, ["card"], name, patterns)]) for i, (name, seed, patterns) in enumerate(instances)]
+    found = spark.createDataFrame(rows, f"doc_id bigint, row_id bigint, mentions {pii.MENTIONS}")
+    return {r["instance"]: (r["kind"], r["belief"]) for r in pii.discover(found).collect()}
+
+
+def test_discovery_follows_long_chains(spark):
+    """Level n shares patterns with level n - 1 only, so it takes n rounds."""
+    levels = [[f"{n}-{i}" for i in range(10)] for n in range(8)]
+    patterns = {name: [] for level in levels for name in level}
+    for n, (last, level) in enumerate(zip(levels, levels[1:])):
+        for i in range(0, 10, 2):
+            for name in last + level[i:i + 2]:
+                patterns[name] += [f"{n} {i} {k}" for k in range(4)]
+    got = discovered(spark, [(name, "card" if name in levels[0] else None, p) for name, p in patterns.items()])
+    assert set(got) == {name for level in levels[1:] for name in level}
+
+
+def test_rare_patterns_count(spark):
+    """13 seeds of 14 instances and 3 of 4: 1 - (1 - 13/16) (1 - 3/6) = 0.906."""
+    seeds = [(f"a{i}", "card", ["often"]) for i in range(13)] + [(f"b{i}", "card", ["rare"]) for i in range(3)]
+    assert "x" in discovered(spark, [*seeds, ("x", None, ["often", "rare"])])
+    assert discovered(spark, [*seeds, ("x", None, ["often"])]) == {}
+
+
+@pytest.mark.parametrize("steady", ["{v} card {n} {u}", "{v} {u} {n} charged"])
+def test_one_steady_word_among_varying_ones_is_a_pattern(spark, steady):
+    from pyspark.sql import functions as F
+    heads = [f"4{i:014d}" for i in range(61)]
+    cards = [h + next(str(d) for d in range(10) if pii.luhn(h + str(d))) for h in heads]
+    cards[60] = cards[60][:-1] + str((int(cards[60][-1]) + 1) % 10)  # no base span
+    word = lambda i: "".join(string.ascii_lowercase[int(d)] for d in str(i))
+    rows = [(i, steady.format(v="v" + word(i), u="u" + word(i), n=n)) for i, n in enumerate(cards)]
+    got = {r["doc_id"]: r["spans"] for r in pii.extract(spark.createDataFrame(rows, "doc_id bigint, text string"))
+           .select("doc_id", pii.joined(F.col("spans")).alias("spans")).collect()}
+    start = rows[60][1].index(cards[60])
+    assert got[60] == f"card:{start}:{start + 16}"
+
+
 def test_pii_query(spark):
     from conftest import SMALL
     got = {r["doc_id"]: r for r in QUERIES["op10_pii"](spark, SMALL).collect()}
