@@ -86,7 +86,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         out += [(a, 0, b) for a, b in _emails(text)]
     if _DIGIT.search(text):
         out += [(m.start(), 1, m.end()) for m in _IP.finditer(text)
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+                if all(len(p) <= 3 and int(p or 0) <= 255
+                       for p in (part.lstrip("0") for part in m.group().split(".")))]
         for m in _CARD.finditer(text):
             digits = _NOT_DIGIT.sub("", m.group())
             if 12 <= len(digits) <= 19 and luhn(digits):

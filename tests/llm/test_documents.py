@@ -443,6 +443,12 @@ def test_base_spans_match_brute_force(spark, edge, empty):
     assert pii.extract(edge).count() == len(EDGE) and pii.extract(empty).count() == 0
 
 
+def test_ip_part_of_more_zeros_than_int_reads():
+    for text in ("0" * 5000 + "1.1.1.1", "1.1." + "0" * 5000 + ".255"):
+        assert pii.base_spans(text) == [(0, 1, len(text))]
+    assert pii.base_spans("1.1.1." + "0" * 5000 + "256") == []
+
+
 def test_base_patterns_on_random_and_very_long_texts():
     """Equal to the plain patterns on random text, and linear on runs without a match."""
     import random
