@@ -1,6 +1,10 @@
 """Licence scans: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line that is not blank. The classifier is a multinomial
+A paragraph is a line that is not blank. Hard-wrapped licence texts are found
+too: lines that are no mention by themselves are joined to runs (never across a
+blank line), and the shortest run that holds a template is judged as one
+paragraph; its span goes from its first line's start to its last line's end.
+The classifier is a multinomial
 logistic regression over sparse word n-grams (1 to 3), with an unknown class
 for ordinary text. It is trained on the template paragraphs of each family and
 on variants of them (words dropped, swapped or put in from corpus text), and
@@ -8,8 +12,9 @@ on a bounded sample of corpus paragraphs as unknown. A temperature, fitted on
 held-back variants, calibrates its probabilities. A paragraph is a licence
 mention only if a family reaches ``ACCEPT`` and template comparison confirms:
 the paragraph's word overlap with a template of that family is at least
-``CONFIRM`` of the template's words (``CONFIRM_SHARE`` of the paragraph's too
-unless the template is whole in it).
+``CONFIRM`` of the template's words and ``CONFIRM_SHARE`` of its own, with the
+same version numbers and qualifiers (lesser, affero, sa, nc, 3-clause ...) as
+the template; or the template is whole in it.
 
 Most paragraphs share no word n-gram with a template that any family weighs;
 they are unknown without a score, which is exact, not a cap: the unknown class
@@ -59,6 +64,18 @@ TEMPLATES = [
     ("bsd-3-clause", "Redistribution and use in source and binary forms, with or without modification, are "
                      "permitted provided that the following conditions are met:"),
     ("bsd-3-clause", "Licensed under the BSD 3-Clause License."),
+    ("bsd-2-clause", "Licensed under the BSD 2-Clause License."),
+    ("gpl-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("gpl-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the "
+                "GNU General Public License as published by the Free Software Foundation; either version 2"),
+    ("lgpl-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("lgpl-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("agpl-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0."),
+    ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+            "is hereby granted"),
     ("proprietary", "All rights reserved."),
     ("proprietary", "This software is proprietary and confidential. Unauthorized copying is strictly prohibited."),
 ]
@@ -66,6 +83,23 @@ TEMPLATES = [
 _tokens = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*").findall
 
 
+_version = re.compile(r"v?([0-9](?:[.][0-9]+)?)").fullmatch
+QUALIFIERS = frozenset("lesser library affero sa sharealike nc noncommercial nd noderivatives noderivs "
+                       "2-clause 3-clause 4-clause".split())
+
+
+def marks(w) -> frozenset[str]:
+    """Version numbers (2 equals 2.0) and qualifiers among words."""
+    out = set()
+    for x in w:
+        number = _version(x)
+        if number:
+            out.add(number[1].removesuffix(".0"))
+        else:
+            out.update(QUALIFIERS.intersection([x, *x.split("-")]))
+    return frozenset(out)
+
+
 def words(paragraph: str) -> list[str]:
     return _tokens(paragraph.lower())
 
@@ -148,7 +182,7 @@ def fit(unknown: list[str], templates=TEMPLATES, seed: int = 5) -> dict:
     temperature = min(np.geomspace(0.25, 8, 41), key=loss)
     return {"classes": classes, "bias": bias, "temperature": float(temperature),
             "weights": {g: weights[i] for g, i in vocabulary.items()},
-            "templates": [(f, frozenset(words(t)), " ".join(words(t))) for f, t in templates]}
+            "templates": [(f, frozenset(words(t)), " ".join(words(t)), marks(words(t))) for f, t in templates]}
 
 
 def classify(paragraph: str, model: dict) -> tuple[str, float, float] | None:
@@ -167,18 +201,72 @@ def classify(paragraph: str, model: dict) -> tuple[str, float, float] | None:
     if best == 0 or p[best] < ACCEPT:
         return None
     family = model["classes"][best]
-    have, line = set(w), " ".join(w)
+    have, line, marked = set(w), f" {' '.join(w)} ", marks(w)
     overlap = 0.0
-    for f, t, phrase in model["templates"]:
+    for f, t, phrase, qualified in model["templates"]:
         if f != family:
             continue
         share = len(t & have) / len(t)
-        whole = phrase in line
-        if whole or share >= CONFIRM and len(t & have) / len(have) >= CONFIRM_SHARE:
+        whole = f" {phrase} " in line
+        if whole or share >= CONFIRM and len(t & have) / len(have) >= CONFIRM_SHARE and marked == qualified:
             overlap = max(overlap, 1.0 if whole else share)
     return (family, float(p[best]), overlap) if overlap else None
 
 
+def wrapped(lines: list[str], model: dict) -> Iterator[tuple[int, int, tuple[str, float, float]]]:
+    """(first, last, hit) of the runs of two or more of the consecutive
+    ``lines`` that are a licence mention as one paragraph, apart from each other."""
+    split = [frozenset(words(x)) for x in lines]
+    known = set().union(*split)
+    found = []
+    for _, t, _, _ in model["templates"]:
+        if len(t & known) < CONFIRM * len(t):
+            continue
+        for first, start in enumerate(split):
+            if not start & t:
+                continue
+            have = set(start)
+            # Beyond that many words no run can reach CONFIRM_SHARE.
+            for last in range(first + 1, len(split)):
+                have |= split[last]
+                held = len(have & t)
+                if split[last] & t and held >= CONFIRM * len(t) and held >= CONFIRM_SHARE * len(have):
+                    found.append((-held / len(t), last - first, first, last))
+                elif len(have) * CONFIRM_SHARE > len(t):
+                    break
+    taken: set[int] = set()
+    for _, _, first, last in sorted(set(found)):
+        if taken.isdisjoint(range(first, last + 1)):
+            hit = classify(" ".join(lines[first:last + 1]), model)
+            if hit:
+                taken.update(range(first, last + 1))
+                yield first, last, hit
+
+
+def mentions(text: str, model: dict) -> tuple[int, list[dict]]:
+    """Number of paragraphs of a text, and its licence mentions in order."""
+    at, n, out, run, runs = 0, 0, [], [], []
+    for line in text.split("\n"):
+        hit = None
+        if line.strip():
+            hit = classify(line, model)
+            if hit:
+                out.append((n, at, at + len(line), hit))
+            else:
+                run.append((n, at, line))
+            n += 1
+        if run and (hit or not line.strip()):
+            runs.append(run)
+            run = []
+        at += len(line) + 1
+    for run in [*runs, run]:
+        if len(run) > 1:
+            out += [(run[a][0], run[a][1], run[b][1] + len(run[b][2]), hit)
+                    for a, b, hit in wrapped([line for _, _, line in run], model)]
+    return n, [{"paragraph": k, "start": a, "end": b, "family": hit[0], "probability": hit[1], "overlap": hit[2]}
+               for k, a, b, hit in sorted(out)]
+
+
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
           sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -> dict:
     """Fit with the last lines, as corpus paragraphs, of at most ``sample`` texts (chosen
@@ -204,15 +292,7 @@ def scan(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text
         for batch in batches:
             counts, found = [], []
             for text in batch.column("text"):
-                at, n, out = 0, 0, []
-                for line in (text.as_py() or "").split("\n"):
-                    if line.strip():
-                        hit = classify(line, model)
-                        if hit:
-                            out.append({"paragraph": n, "start": at, "end": at + len(line), "family": hit[0],
-                                        "probability": hit[1], "overlap": hit[2]})
-                        n += 1
-                    at += len(line) + 1
+                n, out = mentions(text.as_py() or "", model)
                 counts.append(n)
                 found.append(out)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()),

@@ -550,3 +550,29 @@ def test_licences_found_and_plain_text_left_alone(spark, edge, empty):
     assert licenses.classify("This file is licensed under the Apache License Version 2.0", model)[0] == "apache-2.0"
     assert licenses.scan(edge, model).count() == len(EDGE) and licenses.scan(empty, model).count() == 0
     assert licenses.train(empty)["classes"][0] == "unknown"
+
+
+def test_wrapped_licences_and_their_qualifiers():
+    model = licenses.fit(["some ordinary words here", "the license of the driver was lost in the park"])
+    bsd = "# Redistribution and use in source and binary forms, with or without\n" \
+          "# modification, are permitted provided that the following conditions\n# are met:"
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU " \
+          "General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or"
+    text = f"Some plain words.\nCopyright by us\n{bsd}\nmore plain words\n\n{gpl}\n(at your option) any later."
+    n, found = licenses.mentions(text, model)
+    assert n == 11 - 1 and [(x["family"], text[x["start"]:x["end"]]) for x in found] \
+        == [("bsd-3-clause", bsd), ("gpl-3.0", gpl)]
+    assert licenses.mentions(bsd.replace("without\n", "without\n\n"), model)[1] == []
+    work = "This work is licensed under the GNU {} License, version {}."
+    for name, version, family in (("General Public", 3, "gpl-3.0"), ("General Public", 2, "gpl-2.0"),
+                                  ("Lesser General Public", 3, "lgpl-3.0"), ("Affero General Public", 3, "agpl-3.0"),
+                                  ("General Public", 7, None), ("Library General Public", 3, None)):
+        hit = licenses.classify(work.format(name, version), model)
+        assert (hit and hit[0]) == family, (name, version, hit)
+    work = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    for extra, family in (("", "cc-by-4.0"), ("-ShareAlike", "cc-by-sa-4.0"), ("-NonCommercial", "cc-by-nc-4.0"),
+                          ("-NoDerivatives", None), ("-NonCommercial-ShareAlike", None)):
+        hit = licenses.classify(work.format(extra), model)
+        assert (hit and hit[0]) == family, (extra, hit)
+    for family, template in licenses.TEMPLATES:
+        assert licenses.classify(template, model)[0] == family
