@@ -8,7 +8,10 @@ The classifier is a multinomial
 logistic regression over sparse word n-grams (1 to 3), with an unknown class
 for ordinary text. It is trained on the template paragraphs of each family and
 on variants of them (words dropped, swapped or put in from corpus text), and
-on a bounded sample of corpus paragraphs as unknown. A temperature, fitted on
+on a sample of corpus paragraphs as unknown: the ``SAMPLE_PARAGRAPHS`` of all
+paragraphs with the smallest hash of id, place and line, each read whole, less
+those that hold a template or overlap one by ``LEAVE_OUT`` of the words of both,
+since they may be licences in other wording. A temperature, fitted on
 held-back variants, calibrates its probabilities. A paragraph is a licence
 mention only if a family reaches ``ACCEPT`` and template comparison confirms:
 the paragraph's word overlap with a template of that family is at least
@@ -36,13 +39,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, ship
+from .common import hash_sample, ship, text_or_empty
 
 UNKNOWN = "unknown"
 SAMPLE_PARAGRAPHS = 4000
 ACCEPT = 0.9
 CONFIRM = 0.75
 CONFIRM_SHARE = 0.6
+LEAVE_OUT = 0.4
+FILLER_WORDS = 100
 EPOCHS = 150
 
 # Opening statements of the licence families (fixed values).
@@ -127,19 +132,41 @@ def _variants(template: list[str], filler: list[str], rng: random.Random, n: int
     return out
 
 
+def vocabulary_of(templates=TEMPLATES) -> dict[str, int]:
+    """Number of every n-gram of the templates: the features."""
+    vocabulary: dict[str, int] = {}
+    for _, t in templates:
+        for g in sorted(ngrams(words(t))):
+            vocabulary.setdefault(g, len(vocabulary))
+    return vocabulary
+
+
+def unknown_features(paragraph: str, templates=TEMPLATES) -> tuple[list[str], list[str]] | None:
+    """What the fit reads of a whole corpus paragraph: its n-grams that are
+    features, and its first words as filler for variants. None for what may be
+    a licence: a template is in it, or shares much of the words of both."""
+    w = words(paragraph)
+    have, line = set(w), f" {' '.join(w)} "
+    for _, t in templates:
+        own = words(t)
+        shared = len(have.intersection(own))
+        if f" {' '.join(own)} " in line or shared and shared >= LEAVE_OUT * max(len(set(own)), len(have)):
+            return None
+    return sorted(ngrams(w) & vocabulary_of(templates).keys()), w[:FILLER_WORDS]
+
+
 def fit(unknown: list[str], templates=TEMPLATES, seed: int = 5) -> dict:
     """{classes, bias, weights {ngram: vector}, temperature} from template
     variants and corpus paragraphs (the unknown class)."""
+    return learn([x for p in unknown if (x := unknown_features(p, templates))], templates, seed)
+
+
+def learn(unknown: list[tuple[list[str], list[str]]], templates=TEMPLATES, seed: int = 5) -> dict:
+    """As ``fit``, from the ``unknown_features`` of the paragraphs."""
     rng = random.Random(seed)
     classes = [UNKNOWN, *sorted({f for f, _ in templates})]
-    plain = [words(p) for p in unknown]
-    known = {" ".join(words(t)) for _, t in templates}
-    plain = [w for w in plain if not any(k in " ".join(w) for k in known)]
-    filler = [x for w in plain[:500] for x in w]
-    vocabulary: dict[str, int] = {}
-    for _, t in templates:
-        for g in sorted(ngrams(words(t))):
-            vocabulary.setdefault(g, len(vocabulary))
+    filler = [x for _, w in unknown[:500] for x in w]
+    vocabulary = vocabulary_of(templates)
     rows, labels = [], []
     for family, t in templates:
         for w in _variants(words(t), filler, rng, 60):
@@ -150,11 +177,11 @@ def fit(unknown: list[str], templates=TEMPLATES, seed: int = 5) -> dict:
             w = rng.sample(words(t), max(1, len(words(t)) // 3))
             rows.append(rng.choices(filler, k=8) + w if filler else w)
             labels.append(0)
-    rows += plain
-    labels += [0] * len(plain)
+    rows = [ngrams(w) for w in rows] + [grams for grams, _ in unknown]
+    labels += [0] * len(unknown)
     x = np.zeros((len(rows), len(vocabulary)), np.float32)
-    for i, w in enumerate(rows):
-        for g in ngrams(w):
+    for i, grams in enumerate(rows):
+        for g in grams:
             if g in vocabulary:
                 x[i, vocabulary[g]] = 1
     y = np.eye(len(classes))[labels]
@@ -269,12 +296,25 @@ def mentions(text: str, model: dict) -> tuple[int, list[dict]]:
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
           sample: int = SAMPLE_PARAGRAPHS, templates=TEMPLATES) -> dict:
-    """Fit with the last lines, as corpus paragraphs, of at most ``sample`` texts (chosen
-    by the hash of the id); the model learns from their first 2000 characters."""
-    line = F.substring(F.element_at(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), -1), 1, 2000)
-    lines = docs.select(F.col(doc_id).alias("doc_id"), line.alias("line"))
-    chosen = hash_sample(lines, "doc_id", sample).where("line <> ''")
-    return fit(sorted(r["line"] for r in chosen.collect()), templates)
+    """Fit with ``sample`` of the paragraphs of all texts (all, if fewer).
+
+    They are read whole in the tasks; the driver gets their features only."""
+    ship(docs.sparkSession)
+    lines = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(text_or_empty(text), "\n")).alias("n", "line")) \
+        .where(F.col("line").rlike(r"\S")).select(F.xxhash64("doc_id", "n", "line").alias("key"), "line")
+    chosen = hash_sample(lines.select("key"), "key", sample).distinct()
+    schema = pa.struct([("key", pa.int64()), ("grams", pa.list_(pa.string())), ("filler", pa.list_(pa.string()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            read = [(k.as_py(), unknown_features(x.as_py(), templates)) for k, x in zip(batch["key"], batch["line"])]
+            rows = [{"key": k, "grams": x[0], "filler": x[1]} for k, x in read if x]
+            yield pa.RecordBatch.from_struct_array(pa.array(rows, schema))
+
+    found = lines.join(F.broadcast(chosen), "key") \
+        .mapInArrow(run, "key bigint, grams array<string>, filler array<string>") \
+        .dropDuplicates(["key"]).collect()  # fully repeated rows count once
+    return learn([(r["grams"], r["filler"]) for r in sorted(found, key=lambda r: r["key"])], templates)
 
 
 def scan(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

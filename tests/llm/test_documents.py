@@ -576,3 +576,19 @@ def test_wrapped_licences_and_their_qualifiers():
         assert (hit and hit[0]) == family, (extra, hit)
     for family, template in licenses.TEMPLATES:
         assert licenses.classify(template, model)[0] == family
+
+
+def test_licence_sample_is_of_all_whole_paragraphs(spark, monkeypatch):
+    seen = []
+    learn = licenses.learn
+    monkeypatch.setattr(licenses, "learn", lambda unknown, *a: seen.append(unknown) or learn(unknown, *a))
+    long = "zz " * 3000 + "redistribute"
+    rows = [(i, f"plain{i} notice\n\n{long if i < 3 else 'inner words'}\nMIT licence, see LICENSE") for i in range(300)]
+    docs = spark.createDataFrame([*rows, rows[0]], "doc_id bigint, text string").repartition(3)
+    model = licenses.train(docs, sample=5000)
+    grams = [g for g, _ in seen[0]]
+    assert len(grams) == 600 and sum("redistribute" in g for g in grams) == 3  # no footer, no cut, a repeat once
+    assert licenses.classify("Released under the MIT License.", model)[0] == "mit"
+    licenses.train(docs, sample=100)
+    assert 40 <= len(seen[1]) <= 95  # about a third of the sample are footers
+    assert any(w[0].startswith("plain") for _, w in seen[1]) and any(w[0] == "inner" for _, w in seen[1])
