@@ -12,8 +12,9 @@ punctuation, and the first four letters of words of five or more. Only
 features of at least ``MIN_DOCS`` training documents count.
 
 The fit takes a bounded sample of the labelled rows: the ``TRAIN_DOCS`` with
-the smallest hash of the id. It runs in one task, whose input is bounded by
-that parameter; the model, at most ``MAX_FEATURES`` weights, goes to the tasks
+the smallest hash of the id, whole. It runs in one task; that parameter bounds its
+rows, not their bytes, so its memory grows with the length of the labelled
+texts. The model, at most ``MAX_FEATURES`` weights, goes to the tasks
 that score every whole text.
 
 Cases: a null text counts as empty; an empty text is one sentence without
@@ -38,7 +39,6 @@ from .common import free_name, hash_sample, ship, stage
 TRAIN_DOCS = 12_000
 MIN_DOCS = 4
 MAX_FEATURES = 50_000
-MAX_TRAIN_WORDS = 12_000_000
 EPOCHS = 80
 L1 = 1e-4
 THRESHOLD = 0.5
