@@ -47,7 +47,7 @@ STAGES = [
     ("bpe", encode_tokens),
 ]
 
-# A trained classifier and a tokenizer decide the rows; see tests/llm/test_pipeline.py.
+# A trained classifier and a tokenizer decide the rows; see tests/llm/test_corpus_pipeline.py.
 ORACLE_SQL = None
 
 
