@@ -3,25 +3,14 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from shopscope.plans import job
 from shopscope.plans.publish import LOAD_ORDER
 from shopscope.plans.warehouse import open_warehouse
-from shopscope.schemas import RAW_CSV_SCHEMAS
 from shopscope.sources import csv_files
 from shopscope.sources.driver_tables import DRIVER_TABLES, raw_tables
 
-from conftest import SMALL
-
-
-def stage_csv(raw, folder):
-    """Write small raw tables as one header CSV file each, in ingest order;
-    quotes inside a value are doubled, as in the shop's exports."""
-    for name, df in raw.items():
-        cols = [F.col(c).cast("string").alias(c) for c in RAW_CSV_SCHEMAS[name].fieldNames()]
-        df.orderBy("ingest_seq").select(*cols).coalesce(1).write.mode("overwrite") \
-            .option("header", True).option("escape", '"').csv(f"{folder}/{csv_files.RAW_FILES[name]}")
+from conftest import SMALL, stage_csv
 
 
 def test_missing_inputs_are_listed(spark, scratch):

@@ -18,8 +18,7 @@ from shopscope.session import bucket_count, partitions_for
 from shopscope.sources import csv_files
 from shopscope.sources.driver_tables import raw_tables
 
-from conftest import ROOT, SMALL
-from test_pipeline import stage_csv
+from conftest import ROOT, SMALL, stage_csv
 
 HEADER = ("review_id,order_id,review_score,review_comment_title,review_comment_message,"
           "review_creation_date,review_answer_timestamp\n")
