@@ -75,4 +75,79 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLE_SQL = {"op2_url_filter": OP2, "op4_exact_dedup": OP4, "op9_mixing": OP9}
+OP11 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL
+), sizes AS (
+  SELECT d, doc_id, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0
+), totals AS (
+  SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS nl FROM sizes
+), tf AS (
+  SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM docs) GROUP BY d, term
+), df AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, totals GROUP BY term, nd
+), items AS (
+  SELECT item_id, text, term, count(*) AS times FROM (
+    SELECT item_id, text, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)
+  ) GROUP BY item_id, text, term
+), scores AS (
+  SELECT i.item_id, i.text, s.d, s.doc_id,
+         CAST(sum(i.times * df.w * ((1000000000 * tf.tf)
+              // (1000 * tf.tf + 12 * (75 + (25 * s.n * nd) // nl)))) AS BIGINT) AS score
+  FROM items i JOIN df USING (term) JOIN tf USING (term) JOIN sizes s USING (d), totals
+  GROUP BY i.item_id, i.text, s.d, s.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), n AS (
+  SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM words GROUP BY lang
+), grams AS (
+  SELECT lang, k, w[i : i + k - 1] AS p FROM (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 6) AS t(k)
+  )
+), f AS (
+  SELECT lang, k, p, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY lang, k, p HAVING count(*) >= 100
+), cuts AS (
+  SELECT c.lang, c.p, c.f AS a, cut, l.f AS l, r.f AS r, n.n, (1000 * c.f * n.n) // (l.f * r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k >= 2) c
+  JOIN f l ON l.lang = c.lang AND l.p = c.p[1 : cut]
+  JOIN f r ON r.lang = c.lang AND r.p = c.p[cut + 1 : c.k]
+  JOIN n ON n.lang = c.lang
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1
+), inner_parts AS (
+  SELECT lang, p[b : b + s - 1] AS p, max(f) AS longer FROM (
+    SELECT lang, p, f, s, unnest(range(1, k - s + 2)) AS b FROM f, range(2, 5) AS t(s) WHERE s < k
+  ) GROUP BY ALL
+), kept AS (
+  SELECT b.*, array_to_string(b.p, ' ') AS phrase
+  FROM best b LEFT JOIN inner_parts i ON i.lang = b.lang AND i.p = b.p
+  WHERE i.longer IS NULL OR 100 * i.longer < 100 * b.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+ORACLE_SQL = {"op2_url_filter": OP2, "op4_exact_dedup": OP4, "op9_mixing": OP9, "op11_lexical": OP11,
+              "op13_phrases": OP13}

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, exact_dedup, licenses, mixing, pii, quality, simhash, toxicity, url_filter
+from . import ann, bpe, exact_dedup, licenses, lexical, lm_score, mixing, phrases, pii, quality, simhash, toxicity, url_filter
 from .common import free_name, stage, table
 
 
@@ -102,5 +102,25 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.joined(F.col("spans")).alias("spans"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.rank_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                   table(spark, sf_dir, "benchmark"), k=20)
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold("doc_id", 5) == 1, F.lit(False))
+    scored = lm_score.fit(docs, ~held_out).scores()
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return phrases.collocations(phrases.frequent_phrases(docs, min_count=100, max_words=5),
+                                top=2000, contained_percent=100)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_url_filter, op3_simhash, op4_exact_dedup, op5_ann, op6_licenses,
-                                    op7_bpe, op8_toxicity, op9_mixing, op10_pii)}
+                                    op7_bpe, op8_toxicity, op9_mixing, op10_pii, op11_lexical, op12_lm_score, op13_phrases)}
