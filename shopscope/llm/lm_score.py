@@ -25,7 +25,7 @@ Data flow, with no cap on words, n-grams or counts:
    for a two-way mixture needs. Orders are fitted from low to high.
 5. Every token is scored, and documents sum up.
 
-Words are identified by 128 bits of BLAKE2b, longer n-grams by 64 mixed bits,
+Words are identified by 96 bits of BLAKE2b, longer n-grams by 64 mixed bits,
 as in common hashed language models: the base score is exact, and two n-grams
 of order 2 or more share a count with a chance of 2^-64 a pair.
 
@@ -39,6 +39,7 @@ longest document if that is longer.
 
 from __future__ import annotations
 
+import uuid
 from hashlib import blake2b
 
 import numpy as np
@@ -47,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stage, text_or_empty
+from .common import drop_staged, new_path, ship, stage, text_or_empty
 from .ngrams import (
     LOWER, Numbers, bucket_bits, bucket_slices, from_deltas, from_planes, mix, to_deltas, to_planes,
 )
@@ -56,12 +57,13 @@ ORDER = 2
 CHUNK_TOKENS = 1 << 20
 HOLD_OUT = 10
 BINS = 8
+WORD_BYTES = 12
 BUCKETS = 48  # context-frequency buckets: powers of two
 
 # Scored only; counted; counted, but left out while the weights are learned. NO_ID is added for a null id.
 HELD, RETAINED, DELETED, NO_ID = 0, 1, 2, 4
 
-CHUNK_SCHEMA = ("chunk bigint, doc_ids binary, flags binary, lengths binary, ids binary, words binary")
+CHUNK_SCHEMA = "chunk bigint, tokens bigint, doc_ids binary, flags binary, lengths binary, ids binary, words binary"
 MESSAGE_SCHEMA = "chunk bigint, n int, bucket bigint, high binary, low binary, full binary, less binary"
 TALLY_SCHEMA = "chunk bigint, n int, bucket bigint, full binary, less binary, stats array<bigint>"
 PLACED_SCHEMA = ("chunk bigint, doc_ids binary, flags binary, lengths binary, counts array<binary>, "
@@ -85,9 +87,9 @@ def _chunks(chunk_tokens: int):
         number = TaskContext.get().partitionId() << 32
 
         def flush():
-            words = b"".join(blake2b(w, digest_size=16).digest() if w else bytes(16) for w in seen.names)
+            words = b"".join(blake2b(w, digest_size=WORD_BYTES).digest() if w else bytes(WORD_BYTES) for w in seen.names)
             return pa.RecordBatch.from_pydict({
-                "chunk": [number], "doc_ids": [to_planes(np.array(ids, np.int64))],
+                "chunk": [number], "tokens": [held], "doc_ids": [to_planes(np.array(ids, np.int64))],
                 "flags": [bytes(flags)], "lengths": [to_planes(np.array(lengths, np.int64))],
                 "ids": [to_planes(np.concatenate(tokens))], "words": [words]})
 
@@ -123,14 +125,15 @@ def _chunk_ngrams(ids: bytes, words: bytes, lengths: np.ndarray, order: int):
     """For each n: key parts of the distinct n-grams in key order, the distinct
     number of every token whose n-gram lies in its document, and those places."""
     ids = from_planes(ids)
-    hashes = np.frombuffer(words, ">u8").astype(np.uint64).reshape(-1, 2)
-    rank = np.lexsort((hashes[:, 1], hashes[:, 0]))
+    parts = np.frombuffer(words, np.dtype([("high", ">u8"), ("low", ">u4")]))
+    high, low = (parts[c].astype(np.uint64) for c in ("high", "low"))
+    rank = np.lexsort((low, high))
     where = np.empty(len(rank), np.int64)
     where[rank] = np.arange(len(rank))
-    yield hashes[rank, 0], hashes[rank, 1], where[ids], np.arange(len(ids))
+    yield high[rank], low[rank], where[ids], np.arange(len(ids))
     starts = np.cumsum(lengths) - lengths
     place = np.arange(len(ids)) - np.repeat(starts, lengths)  # place of a token in its document
-    single = hashes[ids, 0]
+    single = high[ids]
     keys = single
     for n in range(2, order + 1):
         keys = mix(keys[:-1], single[n - 1:])  # the n-gram that ends at token i is keys[i - n + 1]
@@ -350,12 +353,20 @@ def fit(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
     flag = flag + F.when(ident.isNull(), NO_ID).otherwise(0)
     rows = docs.select(F.coalesce(ident, F.lit(0)).alias("doc_id"), flag.cast("int").alias("flag"),
                        text_or_empty(text).cast("binary").alias("text"))
-    chunks = stage(rows.mapInArrow(_chunks(chunk_tokens), CHUNK_SCHEMA), "lm-chunks")
+    # Bucketed by chunk, so that the answers come to the chunks and these stay where they are.
+    name, path = f"lm_chunks_{uuid.uuid4().hex}", new_path(spark, "lm-chunks")
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                  int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    rows.mapInArrow(_chunks(chunk_tokens), CHUNK_SCHEMA).write.option("compression", "zstd").option("path", path) \
+        .bucketBy(buckets, "chunk").saveAsTable(name)
+    chunks = spark.table(name)
     # Buckets hold about as many n-grams as two chunks have.
-    n_tokens = chunks.agg(F.sum(F.octet_length("ids") / 8)).first()[0] or 0
+    n_tokens = chunks.agg(F.sum("tokens")).first()[0] or 0
     bits = bucket_bits(n_tokens, 2 * chunk_tokens)
     answers = chunks.mapInArrow(_messages(order, bits), MESSAGE_SCHEMA) \
         .groupBy("n", "bucket").applyInPandas(_tally, TALLY_SCHEMA)
     placed = stage(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk"))
                    .applyInPandas(_place(order), PLACED_SCHEMA), "lm-placed")
+    drop_staged(chunks)
+    spark.sql(f"DROP TABLE {name}")
     return Model(placed, learn_weights(placed, order))

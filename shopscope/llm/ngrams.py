@@ -4,6 +4,7 @@ order, and compact bytes for them. Used by LM scoring and phrase mining."""
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -32,13 +33,23 @@ def mix(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def packed(raw: bytes) -> bytes:
+    """Zstandard, with the size in front."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+
+
 def to_planes(a: np.ndarray) -> bytes:
-    """64-bit numbers as eight byte planes; the high ones compress to nothing."""
-    return np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """64-bit numbers as packed byte planes; the high ones compress to nothing."""
+    return packed(np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def from_planes(raw: bytes, dtype=np.int64) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).reshape(-1).view(dtype)
+    planes = np.frombuffer(unpacked(raw), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
 
 
 def to_deltas(ordered: np.ndarray) -> bytes:

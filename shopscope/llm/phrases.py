@@ -42,7 +42,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import drop_staged, new_path, ship, stage, text_or_empty
-from .ngrams import LOWER, Numbers, bucket_bits, bucket_slices, from_deltas, from_planes, mix, to_deltas, to_planes
+from .ngrams import (
+    LOWER, Numbers, bucket_bits, bucket_slices, from_deltas, from_planes, mix, packed, to_deltas, to_planes, unpacked,
+)
 
 MIN_COUNT = 100
 MAX_WORDS = 5
@@ -55,7 +57,8 @@ UNKNOWN_LANG = "und"
 _PIECES = bytes(0x0A if b in b".,;:!?\x0A\x0B\x0C\x0D" else 0x20 if b == 0x09 else b for b in LOWER)
 _BREAK = b"\n"
 
-CHUNK_SCHEMA = "shard int, langs array<string>, lang_words array<bigint>, words binary, word_langs binary, ids binary"
+CHUNK_SCHEMA = ("shard int, langs array<string>, lang_words array<bigint>, words binary, word_langs binary, "
+                "ids binary, tokens bigint")
 COUNT_SCHEMA = "bucket bigint, keys binary, counts binary, starts binary, old boolean, fresh binary"
 
 
@@ -85,7 +88,8 @@ def _chunks(shards: int, chunk_tokens: int):
             total = np.bincount(owner[flat[flat >= 0]], minlength=len(langs))
             return pa.RecordBatch.from_pydict({
                 "shard": pa.array([number % shards], pa.int32()), "langs": [langs], "lang_words": [total],
-                "words": [b" ".join(names)], "word_langs": [to_planes(owner)], "ids": [to_planes(flat)]})
+                "words": [b" ".join(names)], "word_langs": [to_planes(owner)], "ids": [to_planes(flat)],
+                "tokens": [len(flat)]})
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -137,7 +141,7 @@ def _phrases(ids: np.ndarray, keys: np.ndarray, marks: np.ndarray, max_words: in
 
 def _count(marks_table, step: int, shards: int, max_words: int, bits: int):
     def run(batches):
-        marks = np.frombuffer(marks_table.value, np.uint8)
+        marks = np.frombuffer(unpacked(marks_table.value), np.uint8)
         for batch in batches:
             for row in batch.to_pylist():
                 _, word_keys = _word_keys(row)
@@ -192,7 +196,7 @@ def _merge(step: int, shards: int, min_count: int, slots: int):
 def _named(marks_table, max_words: int):
     """Texts and counts of a chunk's phrases that were reached themselves."""
     def run(batches):
-        marks = np.frombuffer(marks_table.value, np.uint8)
+        marks = np.frombuffer(unpacked(marks_table.value), np.uint8)
         shift = np.uint64(64 - (len(marks) - 1).bit_length())
         for batch in batches:
             for row in batch.to_pylist():
@@ -237,13 +241,13 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", mi
         .mapInArrow(_chunks(shards, chunk_tokens), CHUNK_SCHEMA) \
         .write.partitionBy("shard").option("compression", "zstd").parquet(path)
     chunks = spark.read.schema(CHUNK_SCHEMA).parquet(path)
-    tokens = chunks.agg(F.sum(F.octet_length("ids") / 8)).first()[0] or 0
+    tokens = chunks.agg(F.sum("tokens")).first()[0] or 0
     bits = bucket_bits(tokens, 2 * chunk_tokens)
 
     marks = np.zeros(slots, np.uint8)
     state, step, last = None, 0, 0
     while step < last + shards:
-        sent = spark.sparkContext.broadcast(marks.tobytes())
+        sent = spark.sparkContext.broadcast(packed(marks.tobytes()))
         counted = chunks.where(F.col("shard") == step % shards) \
             .mapInArrow(_count(sent, step, shards, max_words, bits), COUNT_SCHEMA)
         both = counted if state is None else counted.unionByName(state)
@@ -258,13 +262,14 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", mi
             slot = slot[marks[slot] == 0]
             if len(slot):
                 marks[slot] = last = step + 1
-        sent.unpersist()
+        sent.destroy()
         step += 1
 
-    sent = spark.sparkContext.broadcast(marks.tobytes())
+    sent = spark.sparkContext.broadcast(packed(marks.tobytes()))
     named = chunks.mapInArrow(_named(sent, max_words), "lang string, k int, phrase binary, n bigint") \
         .groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
     phrases = stage(named.withColumn("phrase", F.col("phrase").cast("string")), "phrases")
+    sent.destroy()
     drop_staged(state)
     sizes = chunks.select(F.explode(F.arrays_zip("langs", "lang_words")).alias("x")) \
         .groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.lang_words").alias("n"))
