@@ -54,7 +54,7 @@ from .ngrams import (
 )
 
 ORDER = 2
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 21
 HOLD_OUT = 10
 BINS = 8
 WORD_BYTES = 12
@@ -360,9 +360,9 @@ def fit(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
     rows.mapInArrow(_chunks(chunk_tokens), CHUNK_SCHEMA).write.option("compression", "zstd").option("path", path) \
         .bucketBy(buckets, "chunk").saveAsTable(name)
     chunks = spark.table(name)
-    # Buckets hold about as many n-grams as two chunks have.
+    # Buckets hold about as many n-grams as a chunk has.
     n_tokens = chunks.agg(F.sum("tokens")).first()[0] or 0
-    bits = bucket_bits(n_tokens, 2 * chunk_tokens)
+    bits = bucket_bits(n_tokens, chunk_tokens)
     answers = chunks.mapInArrow(_messages(order, bits), MESSAGE_SCHEMA) \
         .groupBy("n", "bucket").applyInPandas(_tally, TALLY_SCHEMA)
     placed = stage(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk"))
