@@ -51,6 +51,7 @@ MAX_WORDS = 5
 SHARDS = 3
 SLOTS = 1 << 24
 CHUNK_TOKENS = 1 << 20
+RANK_SLICES = 16
 UNKNOWN_LANG = "und"
 
 # Piece marks become line feeds, tabs spaces, A-Z lower case.
@@ -58,7 +59,8 @@ _PIECES = bytes(0x0A if b in b".,;:!?\x0A\x0B\x0C\x0D" else 0x20 if b == 0x09 el
 _BREAK = b"\n"
 
 CHUNK_SCHEMA = ("shard int, langs array<string>, lang_words array<bigint>, words binary, word_langs binary, "
-                "ids binary, tokens bigint")
+                "keys binary, ids binary, tokens bigint")
+NAMED_SCHEMA = "bucket bigint, langs array<string>, owners binary, texts binary, counts binary"
 COUNT_SCHEMA = "bucket bigint, keys binary, counts binary, starts binary, old boolean, fresh binary"
 
 
@@ -85,10 +87,12 @@ def _chunks(shards: int, chunk_tokens: int):
                 own = np.fromiter(by_lang[lang].values(), np.int64, len(by_lang[lang]))
                 owner[own[own >= 0]] = i
             flat = np.concatenate(ids)
+            prefix = [lang.encode() + b" " for lang in langs]
+            keys = b"".join(blake2b(prefix[i] + w, digest_size=8).digest() for i, w in zip(owner.tolist(), names))
             total = np.bincount(owner[flat[flat >= 0]], minlength=len(langs))
             return pa.RecordBatch.from_pydict({
                 "shard": pa.array([number % shards], pa.int32()), "langs": [langs], "lang_words": [total],
-                "words": [b" ".join(names)], "word_langs": [to_planes(owner)], "ids": [to_planes(flat)],
+                "words": [b" ".join(names)], "word_langs": [to_planes(owner)], "keys": [keys], "ids": [to_planes(flat)],
                 "tokens": [len(flat)]})
 
         for batch in batches:
@@ -110,33 +114,23 @@ def _chunks(shards: int, chunk_tokens: int):
 
 # ---- active phrases of a chunk ----------------------------------------------------
 
-def _word_keys(row) -> tuple[list[bytes], np.ndarray]:
-    names = row["words"].split(b" ")
-    owners = [lang.encode() + b" " for lang in row["langs"]]
-    raw = b"".join(blake2b(owners[i] + w, digest_size=8).digest()
-                   for i, w in zip(from_planes(row["word_langs"]).tolist(), names))
-    return names, np.frombuffer(raw, np.uint64)
-
-
-def _phrases(ids: np.ndarray, keys: np.ndarray, marks: np.ndarray, max_words: int):
+def _phrases(row, marks: np.ndarray, max_words: int):
     """For k = 1, 2, ..: places of the phrases whose subphrases were reached,
-    their keys, exact numbers within the chunk, and first active steps."""
+    their keys and first active steps."""
     shift = np.uint64(64 - (len(marks) - 1).bit_length())
+    ids, keys = from_planes(row["ids"]), np.frombuffer(row["keys"], np.uint64)
     at = np.flatnonzero(ids >= 0)
-    key, number = keys[ids[at]], ids[at]
+    key = keys[ids[at]]
     start = np.zeros(len(at), np.int64)
     for k in range(1, max_words + 1):
-        yield k, at, key, number, start
+        yield k, at, key, start
         mark = marks[key >> shift].astype(np.int64)
         use = np.flatnonzero(mark)
         reached = np.maximum(mark[use], start[use] + (k > 1))
-        at, key, number = at[use], key[use], number[use]
+        at, key = at[use], key[use]
         both = np.flatnonzero(at[1:] == at[:-1] + 1)  # the next place has been reached too
         start = np.maximum(reached[both], reached[both + 1])
-        last = ids[at[both] + k]
-        at, key = at[both], mix(key[both], keys[last])
-        pairs = number[both] * np.int64(len(keys)) + last
-        number = np.unique(pairs, return_inverse=True)[1]
+        at, key = at[both], mix(key[both], keys[ids[at[both] + k]])
 
 
 def _count(marks_table, step: int, shards: int, max_words: int, bits: int):
@@ -144,12 +138,11 @@ def _count(marks_table, step: int, shards: int, max_words: int, bits: int):
         marks = np.frombuffer(unpacked(marks_table.value), np.uint8)
         for batch in batches:
             for row in batch.to_pylist():
-                _, word_keys = _word_keys(row)
                 keys, counts, starts = [], [], []
-                for _, _, key, number, start in _phrases(from_planes(row["ids"]), word_keys, marks, max_words):
+                for _, _, key, start in _phrases(row, marks, max_words):
                     now = np.flatnonzero((start <= step) & (step < start + shards))
-                    _, first, many = np.unique(number[now], return_index=True, return_counts=True)
-                    keys.append(key[now[first]])
+                    found, first, many = np.unique(key[now], return_index=True, return_counts=True)
+                    keys.append(found)
                     counts.append(many)
                     starts.append(start[now[first]])
                 key = np.concatenate(keys)
@@ -193,25 +186,54 @@ def _merge(step: int, shards: int, min_count: int, slots: int):
     return run
 
 
-def _named(marks_table, max_words: int):
-    """Texts and counts of a chunk's phrases that were reached themselves."""
+def _named(marks_table, max_words: int, bits: int):
+    """Texts and counts of a chunk's phrases that were reached, for their buckets."""
     def run(batches):
         marks = np.frombuffer(unpacked(marks_table.value), np.uint8)
         shift = np.uint64(64 - (len(marks) - 1).bit_length())
         for batch in batches:
             for row in batch.to_pylist():
-                names, word_keys = _word_keys(row)
+                names = row["words"].split(b" ")
                 ids, owner = from_planes(row["ids"]), from_planes(row["word_langs"])
-                for k, at, key, number, _ in _phrases(ids, word_keys, marks, max_words):
+                keys, owners, texts, counts = [], [], [], []
+                for k, at, key, _ in _phrases(row, marks, max_words):
                     seen = np.flatnonzero(marks[key >> shift])
-                    _, first, many = np.unique(number[seen], return_index=True, return_counts=True)
+                    # Equal texts have equal words: exact whatever the keys are.
+                    number = ids[at[seen]]
+                    for j in range(1, k):
+                        number = np.unique(number * len(names) + ids[at[seen] + j], return_inverse=True)[1]
+                    _, first, many = np.unique(number, return_index=True, return_counts=True)
                     where = at[seen[first]]
                     parts = [[names[i] for i in ids[where + j].tolist()] for j in range(k)]
-                    yield pa.RecordBatch.from_pydict({
-                        "lang": pa.array([row["langs"][i] for i in owner[ids[where]].tolist()], pa.string()),
-                        "k": pa.array(np.full(len(where), k), pa.int32()),
-                        "phrase": pa.array([b" ".join(p) for p in zip(*parts)], pa.binary()),
-                        "n": pa.array(many, pa.int64())})
+                    keys.append(key[seen[first]])
+                    owners.append(owner[ids[where]])
+                    texts += map(b" ".join, zip(*parts))
+                    counts.append(many)
+                key = np.concatenate(keys)
+                rank = np.argsort(key)
+                owner, many = np.concatenate(owners)[rank], np.concatenate(counts)[rank]
+                cut = bucket_slices(key[rank], bits)
+                full = [b for b in range(1 << bits) if cut[b + 1] > cut[b]]
+                parts = [slice(cut[b], cut[b + 1]) for b in full]
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": full, "langs": [row["langs"]] * len(full), "owners": [to_planes(owner[p]) for p in parts],
+                    "texts": [packed(_BREAK.join([texts[i] for i in rank[p].tolist()])) for p in parts],
+                    "counts": [to_planes(many[p]) for p in parts]},
+                    schema=pa.schema([("bucket", pa.int64()), ("langs", pa.list_(pa.string())),
+                                      *((c, pa.binary()) for c in ("owners", "texts", "counts"))]))
+    return run
+
+
+def _exact(min_count: int):
+    """Counts by text of a bucket's phrases: those that reach the threshold."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        total: dict[tuple[str, bytes], int] = {}
+        for langs, owners, texts, counts in zip(pdf["langs"], pdf["owners"], pdf["texts"], pdf["counts"]):
+            for i, text, n in zip(from_planes(owners).tolist(), unpacked(texts).split(_BREAK),
+                                  from_planes(counts).tolist()):
+                total[langs[i], text] = total.get((langs[i], text), 0) + n
+        rows = [(lang, text.count(b" ") + 1, text, n) for (lang, text), n in total.items() if n >= min_count]
+        return pd.DataFrame(rows, columns=["lang", "k", "phrase", "n"])
     return run
 
 
@@ -248,7 +270,7 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", mi
     state, step, last = None, 0, 0
     while step < last + shards:
         sent = spark.sparkContext.broadcast(packed(marks.tobytes()))
-        counted = chunks.where(F.col("shard") == step % shards) \
+        counted = chunks.where(F.col("shard") == step % shards).select("ids", "keys") \
             .mapInArrow(_count(sent, step, shards, max_words, bits), COUNT_SCHEMA)
         both = counted if state is None else counted.unionByName(state)
         merged = stage(both.groupBy("bucket").applyInPandas(_merge(step, shards, min_count, slots), COUNT_SCHEMA),
@@ -266,8 +288,8 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", mi
         step += 1
 
     sent = spark.sparkContext.broadcast(packed(marks.tobytes()))
-    named = chunks.mapInArrow(_named(sent, max_words), "lang string, k int, phrase binary, n bigint") \
-        .groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    named = chunks.mapInArrow(_named(sent, max_words, bits), NAMED_SCHEMA).groupBy("bucket") \
+        .applyInPandas(_exact(min_count), "lang string, k int, phrase binary, n bigint")
     phrases = stage(named.withColumn("phrase", F.col("phrase").cast("string")), "phrases")
     sent.destroy()
     drop_staged(state)
@@ -311,8 +333,11 @@ def collocations(counts: Counts, top: int | None = None,
         .groupBy("lang", _part(F.col("begin"), F.col("size")).alias("phrase")).agg(F.max("n").alias("_longer"))
     kept = best.join(inner, ["lang", "phrase"], "left").where(
         F.col("_longer").isNull() | (100 * F.col("_longer") < contained_percent * F.col("a")))
-    order = W.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order))
+    order = (F.col("score").desc(), F.col("a").desc(), "phrase")
+    if top is not None:  # the best of each slice of a language first, so the last window gets few rows
+        some = W.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SLICES))).orderBy(*order)
+        kept = kept.withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= top)
+    ranked = kept.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order)))
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
