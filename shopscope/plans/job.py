@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shopscope.operators.quality import number_rejects
 from shopscope.plans import forecast as FC
-from shopscope.plans.publish import LOAD_ORDER, publish_all
+from shopscope.plans.publish import LOAD_ORDER, append_all, publish_all
 from shopscope.plans.warehouse import ALL_TABLES, Warehouse
 from shopscope.sources import csv_files
 from shopscope.sources.driver_tables import raw_tables
@@ -51,9 +51,13 @@ class RunReport:
 
 def run(spark: SparkSession, input_dir: str, output_dir: str, input_format: str = "csv",
         with_forecast: bool = True, series_col: str | None = None,
-        files: dict[str, str] | None = None, database: str | None = None) -> RunReport:
+        files: dict[str, str] | None = None, database: str | None = None,
+        batch_id: str | None = None) -> RunReport:
     """Clean, load and forecast; with ``database`` the tables are also published
-    there, dimensions first, the fact in folders per month."""
+    there, dimensions first: refreshed whole, the fact in folders per month, or
+    with ``batch_id`` appended as that batch, which a rerun replaces."""
+    if batch_id and not database:
+        raise ValueError("a batch is appended to a database: give its name")
     report = RunReport()
     t0 = time.time()
     output_dir = output_dir.rstrip("/")
@@ -75,8 +79,12 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, input_format: str
         t1 = time.time()
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         loaded = {n: wh.table(n) for n in LOAD_ORDER if n not in OPTIONAL or n in raw}
-        for name in publish_all(spark, loaded, database):
-            report.add("publish", name, spark.table(name).count(), time.time() - t1)
+        if batch_id:
+            for name, rows in append_all(spark, loaded, batch_id, database).items():
+                report.add("append", name, rows, time.time() - t1)
+        else:
+            for name in publish_all(spark, loaded, database):
+                report.add("publish", name, spark.table(name).count(), time.time() - t1)
     log.info("load done in %.1fs", time.time() - t0)
 
     if with_forecast:
@@ -114,9 +122,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--series", default=None, help="column to forecast per value (e.g. customer_state)")
     ap.add_argument("--files", default="", metavar="TABLE=FILE,...", help="file names of raw tables in the input folder")
     ap.add_argument("--database", default=None, help="publish the cleaned tables and the fact to this database too")
+    ap.add_argument("--batch", default=None, metavar="ID",
+                    help="append to the database as this batch, in place of a refresh; a rerun replaces the batch")
     ap.add_argument("--master", default=None)
     ap.add_argument("--input-bytes", type=int, default=None,
-                    help="size of the raw input; sets shuffle partitions to about 128 MB each")
+                    help="size of the raw input; sets shuffle partitions to about 256 MB each")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     if args.input_bytes:
@@ -124,7 +134,7 @@ def main(argv: list[str] | None = None) -> None:
         size_shuffles(spark, args.input_bytes)
     try:
         rep = run(spark, args.input, args.output, args.format, not args.no_forecast, args.series,
-                  dict(pair.split("=", 1) for pair in args.files.split(",") if pair), args.database)
+                  dict(pair.split("=", 1) for pair in args.files.split(",") if pair), args.database, args.batch)
     except csv_files.MissingInputs as exc:
         raise SystemExit(f"FATAL: {exc}")
     for stage in rep.stages:

@@ -40,6 +40,43 @@ def test_create_if_absent_and_append(spark):
     assert spark.table("pay_log").schema.simpleString() == f"struct<{schema.replace(' ', ':').replace(',:', ',')}>"
 
 
+def test_a_batch_that_comes_twice_leaves_one_copy(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS batches")
+    pay = spark.createDataFrame([("o1", 1), ("o2", 2)], "order_id string, cents int")
+    assert publish.append_batch(pay, "batches.pay", "2024-01") == 2
+    assert publish.append_batch(pay.limit(1), "batches.pay", "2024_02") == 1
+    assert publish.append_batch(pay.union(pay), "batches.pay", "2024-01") == 4  # the rerun replaces its batch
+    got = spark.table("batches.pay")
+    assert got.schema.simpleString() == "struct<order_id:string,cents:int,load_batch:string>"
+    assert {r["load_batch"]: r["count"] for r in got.groupBy("load_batch").count().collect()} == {
+        "2024-01": 4, "2024_02": 1}
+    assert publish.append_batch(pay.where("false"), "batches.pay", "2024_02") == 0  # an empty rerun leaves none
+    assert spark.table("batches.pay").count() == 4
+    ledger = spark.table("batches.load_ledger").collect()
+    assert {(r["table_name"], r["load_batch"], r["row_count"]) for r in ledger} == {
+        ("pay", "2024-01", 4), ("pay", "2024_02", 0)}
+    publish.replace_table(pay, "batches.whole")
+    with pytest.raises(ValueError, match="not a table of batches"):
+        publish.append_batch(pay, "batches.whole", "x")
+    for odd in ("", "a b", "it's", "a\\b", "x/y"):
+        with pytest.raises(ValueError):
+            publish.append_batch(pay, "batches.pay", odd)
+
+
+def test_job_appends_batches(spark, scratch):
+    runs = [job.run(spark, SMALL, os.path.join(scratch, f"out{i}"), "driver", with_forecast=False, database="delivered",
+                    batch_id=batch) for i, batch in enumerate(("a", "b", "a"))]
+    names = [t.removeprefix("delivered.") for s, t, _, _ in runs[0].stages if s == "append"]
+    assert names == list(publish.LOAD_ORDER)
+    for name in names:
+        per = {r["load_batch"]: r["count"] for r in spark.table(f"delivered.{name}").groupBy("load_batch").count().collect()}
+        want = [n for s, t, n, _ in runs[0].stages if t == f"delivered.{name}"]
+        assert per == ({"a": want[0], "b": want[0]} if want[0] else {})
+    assert spark.table("delivered.load_ledger").count() == 2 * len(names)
+    with pytest.raises(ValueError):
+        job.run(spark, SMALL, os.path.join(scratch, "x"), "driver", batch_id="a")
+
+
 def test_forecast_failure_only_warns(spark, scratch, monkeypatch):
     def boom(*a, **k):
         raise RuntimeError("model failed")
