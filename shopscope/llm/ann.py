@@ -12,9 +12,10 @@ Reverse edges are added and pruned alike. Two passes, alpha 1 and ``ALPHA``.
 A query runs a beam search in every shard, then the shards' best are merged.
 The queries of a shard come in blocks of ``QUERY_BLOCK``: a group is one
 shard's graph and one block, both bounded, and it returns ``k + 1`` points a
-query. Distances are found in single precision; the best ``SPARE * k`` of a
-shard get their exact distance in double precision on the original values. The
-best ``k + 1`` points of all shards are then replaced by their rows, of which
+query. A shard's vectors are scaled by a power of two and centred, so that very
+large, very small and far-off ones keep their order; the best ``SPARE * k`` of
+a shard get their distance on the original values. All is in double precision.
+The best ``k + 1`` points of all shards are then replaced by their rows, of which
 the ``k + 1`` smallest ids of each point can matter, before ranks are given.
 
 Cases: vectors that are null, empty, zero or hold a null or non-finite
@@ -201,10 +202,29 @@ def _matrix(column) -> np.ndarray:
     return np.array(column.tolist(), np.float64).reshape(len(column), -1)
 
 
+def _normal(points: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both with components scaled into -1 .. 1, and the points' centre as origin."""
+    largest = max(np.abs(points).max(initial=0), np.abs(queries).max(initial=0))
+    exponent = int(np.frexp(largest)[1])
+    points = np.ldexp(points, -exponent)
+    centre = points.mean(axis=0)
+    return points - centre, np.ldexp(queries, -exponent) - centre
+
+
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows; where squares could leave the range of
+    doubles, on values scaled by a power of two."""
+    largest = max(np.abs(a).max(initial=0), np.abs(b).max(initial=0))
+    exponent = 0 if 1e-140 < largest < 1e140 else int(np.frexp(largest)[1])
+    apart = np.ldexp(a, -exponent) - np.ldexp(b, -exponent)
+    return np.ldexp(np.sqrt((apart ** 2).sum(axis=1)), exponent)
+
+
 def _build(degree: int, beam: int, alpha: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep", ignore_index=True)
-        vectors = _matrix(pdf["vec"]).astype(np.float32)
+        vectors = _matrix(pdf["vec"])
+        vectors, _ = _normal(vectors, vectors[:0])
         graph, entries = build_graph(vectors, degree, beam, alpha)
         pdf["neighbours"] = list(graph.astype(np.int32))
         pdf["place"] = np.arange(len(pdf))
@@ -219,20 +239,21 @@ def _search(k: int, beam: int):
         if len(points) and len(queries):
             points = points.sort_values("place", ignore_index=True)
             exact = _matrix(points["vec"])
-            vectors = exact.astype(np.float32)
+            asked = _matrix(queries["vec"])
+            vectors, near = _normal(exact, asked)
             squares = (vectors ** 2).sum(axis=1)
             graph = np.array(points["neighbours"].tolist(), np.int64)
             entries = np.flatnonzero(points["entry"].to_numpy())
             ids = points["rep"].to_numpy()
             parts = []
             for part in np.array_split(np.arange(len(queries)), max(1, -(-len(queries) // _BATCH))):
-                q = _matrix(queries["vec"].iloc[part])
+                q = asked[part]
                 query_ids = queries["vec_id"].to_numpy()[part]
-                found, _ = beam_search(vectors, squares, graph, entries, q.astype(np.float32), beam)
+                found, _ = beam_search(vectors, squares, graph, entries, near[part], beam)
                 found = found[:, :SPARE * k + 1]
                 row, at = np.nonzero(found >= 0)
                 hit = found[row, at]
-                score = np.sqrt(((exact[hit] - q[row]) ** 2).sum(axis=1))
+                score = _distance(exact[hit], q[row])
                 parts.append(pd.DataFrame({"query_id": query_ids[row], "rep": ids[hit], "score": score})
                              .sort_values(["query_id", "score", "rep"]).groupby("query_id").head(k + 1))
             return pd.concat(parts, ignore_index=True)

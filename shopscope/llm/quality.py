@@ -45,7 +45,8 @@ LASSO = 0.0008
 SEED = 7
 
 _words = re.compile(WORD).findall
-_bad_ends = re.compile(r"[#%&$*|!]{2,}(?:[\x20\x09-\x0D]|$)").findall
+# Possessive and not begun within a run, so that a run of symbols is read once.
+_bad_ends = re.compile(r"(?<![#%&$*|!])[#%&$*|!]{2,}+(?:[\x20\x09-\x0D]|$)").findall
 
 
 def _bytes(chars: str) -> np.ndarray:
@@ -85,7 +86,7 @@ def statistics(text: str | None) -> tuple[float, ...]:
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the text, plus ``stats`` (array of STATISTICS)."""
     ship(docs.sparkSession)
-    rest = [c for c in docs.columns if c not in (text, "stats")]
+    rest = [c for c in docs.columns if c.lower() not in (text.lower(), "stats")]
     source = docs.select(*rest, F.col(text).alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,6 +164,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train_on: Column, label:
     rows = stage(with_statistics(docs, text), "statistics")
     known = labels.where(train_on & F.col(label).isNotNull() & F.col(doc_id).isNotNull()) \
         .groupBy(F.col(doc_id).alias("_id")).agg((F.max(label) > 0).cast("int").alias("label"))
-    training = stage(rows.join(known, rows[doc_id] == known["_id"]).select("stats", "label"), "quality-train")
+    training = stage(rows.select(F.col(doc_id).alias("_id"), "stats").join(known, "_id").select("stats", "label"),
+                     "quality-train")
     model = fit(training)
     return rows.withColumn("score", score_column(model, F.col("stats")))

@@ -592,3 +592,22 @@ def test_licence_sample_is_of_all_whole_paragraphs(spark, monkeypatch):
     licenses.train(docs, sample=100)
     assert 40 <= len(seen[1]) <= 95  # about a third of the sample are footers
     assert any(w[0].startswith("plain") for _, w in seen[1]) and any(w[0] == "inner" for _, w in seen[1])
+
+
+# -- quality: runs of symbols, column names ------------------------------------
+
+def test_quality_statistics_are_linear_in_the_text():
+    import time
+    begun = time.time()
+    got = dict(zip(quality.STATISTICS, quality.statistics("*" * 10_000_000 + " a** **b !| x")))
+    assert time.time() - begun < 10 and got["bad_word_ends"] == 3 / 5
+
+
+def test_quality_with_clashing_columns(spark):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(i, "good words here. " * 3 if i % 2 else "##|| !! **", "a", "b", "c")
+                                  for i in range(40)], "doc_id long, text string, label string, Stats string, _id string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    got = quality.quality_scores(docs, labels, F.lit(True))
+    assert {c for c in got.columns} == {"doc_id", "label", "_id", "stats", "score"} and got.count() == 40
+    assert got.where("(doc_id % 2 = 1) = (score > 0.5)").count() == 40

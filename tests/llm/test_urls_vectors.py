@@ -117,6 +117,40 @@ def test_recall_over_shards(spark, cluster):
     assert len({(q, i) for q, _, i, _ in got} & {(q, i) for q, _, i, _ in want}) > 0.97 * len(want)
 
 
+@pytest.mark.parametrize("factor,offset", [(1e25, 0), (1e-25, 0), (1e-3, 100)])
+def test_recall_of_large_small_and_far_vectors(spark, factor, offset):
+    from pyspark.sql import functions as F
+    x = np.random.default_rng(9).normal(size=(800, 16)) * factor + offset
+    rows = [(i, v.tolist(), "", "", 0) for i, v in enumerate(x.astype(np.float32))]
+    got = {tuple(r) for r in ann.nearest_neighbours(vectors(spark, rows), F.col("vec_id") % 10 == 0, k=10).collect()}
+    want = brute(rows, 10)
+    assert len(got) == len(want)
+    assert len({(q, i) for q, _, i, _ in got} & {(q, i) for q, _, i, _ in want}) > 0.97 * len(want)
+
+
+def test_distances_beyond_the_range_of_squares():
+    a, b = np.array([[3e200, 0.0], [1e-200, 0.0]]), np.array([[0.0, 4e200], [0.0, 0.0]])
+    assert ann._distance(a[:1], b[:1]) == pytest.approx([5e200]) and ann._distance(a[1:], b[1:]) == [1e-200]
+
+
+def test_registered_query_finds_the_nearest(spark):
+    from conftest import MEDIUM
+    from shopscope.llm.queries import QUERIES
+    rows = [r for r in spark.read.parquet(f"{MEDIUM}/embeddings.parquet").collect()]
+    good = {r["vec_id"]: np.array(r["embedding"], float) for r in rows if r["embedding"] is not None}
+    ids, x = np.array(list(good)), np.stack(list(good.values()))
+    got = {}
+    for r in QUERIES["op5_ann"](spark, MEDIUM).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert set(got) == {i for i in good if i % 100 == 0}
+    hits = 0
+    for q, found in got.items():
+        d = ((x - good[q]) ** 2).sum(axis=1)
+        order = [i for i in ids[np.lexsort((ids, d))].tolist() if i != q][:10]
+        hits += len(found & set(order))
+    assert hits >= 0.9 * 10 * len(got)
+
+
 def test_many_equal_vectors(spark):
     """A third of all rows hold one vector, more hold a few others: ties go to the smaller ids."""
     from pyspark.sql import functions as F
