@@ -2,11 +2,11 @@
 
 The series is delivered revenue per purchase day (days without sales are
 absent), optionally split by a column (state, category, seller) into many
-series that are fitted in parallel, one task per series. All data handling
-(daily and monthly sums, spreading months over days, horizon rows, rollups,
-flags, summary) is Spark; only the per-series numeric fits of the
-exponential-smoothing and seasonal models run in pandas via
-``applyInPandas``, on series already reduced to one row per day or month.
+series that are fitted in parallel. All data handling (daily and monthly sums,
+spreading months over days, horizon rows, rollups, flags, summary) is Spark.
+Fits are grouped sums and a small solve per series (seasonal, linear), or a
+parameter grid tried in rows that are spread over all tasks (Holt-Winters). No
+group gathers the days of a series.
 
 Models, in the order the cascade tries them:
 
