@@ -508,7 +508,7 @@ def forecast(daily: DataFrame, horizon: int = HORIZON_DAYS) -> DataFrame:
     rows; ``fallback_reason`` says why a series fell back. Results of a stage
     are checkpointed so the later stages do not fit the earlier model again.
     """
-    daily = with_min_history(daily)
+    daily = with_min_history(daily).checkpoint(eager=True)  # one row per series and day, read by every pass
     fits = _seasonal_fits(daily, horizon).checkpoint(eager=True)
     failed = fits.where("ds is null").select("series_id", F.concat(F.lit("seasonal: "), "model").alias("why"))
     rest = daily.join(failed.select("series_id"), "series_id", "left_semi")
