@@ -2,9 +2,12 @@
 
 ``NTILE(k) OVER (ORDER BY ...)`` with no ``PARTITION BY`` makes Spark move
 every row into one task. That is fine for a few hundred months or categories
-and impossible for every customer or seller of a large shop. The functions here
-compute the same tiles with range partitioning: each task ranks its own slice,
-and slice offsets come from a table with one row per task.
+and impossible for every customer or seller of a large shop.
+
+``exact_tiles`` finds the last row of each tile from counts per key range, for
+several orders at once, and then compares every row with these borders: lazy,
+without a sort of the whole frame. ``global_row_number`` gives every row its
+position by range partitioning and per-task offsets.
 """
 
 from __future__ import annotations
@@ -73,6 +76,100 @@ def distributed_ntile(df: DataFrame, k: int, order: Sequence[Column], name: str
         .drop("_rk_rn", "_rk_total")
 
 
+# ---- tiles from border rows -------------------------------------------------
+
+TILE_SPLITS = 1024  # key ranges a level counts, a power of two
+TILE_LEVELS = 2     # after them about rows / TILE_SPLITS ** TILE_LEVELS are left beside a border
+
+
+def ascending(value: Column) -> list[Column]:
+    """Key columns for ``value ASC NULLS LAST``."""
+    return [value.isNull(), value]
+
+
+def descending(value: Column) -> list[Column]:
+    """Key columns for ``value DESC NULLS FIRST`` of a number."""
+    return [-value]
+
+
+def _key_ranges(rows: DataFrame, splits: int) -> DataFrame:
+    """Add ``bin``, the number of cuts below the row's key. The cuts are a random
+    sample of each group's keys: of every residue of the key's hash the row with
+    the least hash. They depend on the rows alone, so a rerun task agrees."""
+    h = F.xxhash64("key")
+    cuts = rows.groupBy("g", h.bitwiseAND(splits - 1).alias("residue")).agg(F.min_by("key", h).alias("key")) \
+        .groupBy("g").agg(F.sort_array(F.collect_list("key")).alias("cuts"))
+    steps = ", ".join(str(splits >> i) for i in range(splits.bit_length()))
+    below = F.expr(f"aggregate(array({steps}), 0, (p, step) -> IF(get(cuts, p + step - 1) < key, p + step, p))")
+    # One row of at most ``splits`` keys per group: a proven bound.
+    return rows.join(F.broadcast(cuts), "g").select("g", "key", below.cast("bigint").alias("bin"))
+
+
+def _tile_borders(rows: DataFrame, tiles: Sequence[int], splits: int, levels: int) -> DataFrame:
+    """(o, key): the last key of every tile but the last, of each order ``o``.
+
+    ``rows`` holds (g, key) with g = o. Each level counts the rows per key range
+    and goes on with the ranges that hold a border, so what is sorted in the end
+    is a vanishing share of the rows.
+    """
+    want = None
+    upto = Window.partitionBy("g").orderBy("bin")  # at most splits + 1 rows a group
+    for _ in range(levels):
+        binned = _key_ranges(rows, splits)
+        hist = binned.groupBy("g", "bin").agg(F.count(F.lit(1)).alias("cnt")) \
+            .withColumn("before", F.sum("cnt").over(upto) - F.col("cnt"))
+        if want is None:
+            n, k = F.col("n"), F.col("k")
+            asked = hist.withColumn("n", F.sum("cnt").over(Window.partitionBy("g"))) \
+                .withColumn("k", F.element_at(F.array(*map(F.lit, tiles)), F.col("g").cast("int") + 1)) \
+                .withColumn("i", F.explode(F.sequence(F.lit(1), k - 1))) \
+                .withColumn("r", F.col("i") * F.floor(n / k) + F.least(F.col("i").cast("bigint"), n % k)) \
+                .withColumn("o", F.col("g"))
+        else:
+            asked = hist.join(F.broadcast(want), "g")  # one row per border
+        inside = (F.col("g") * (splits + 1) + F.col("bin")).alias("g")
+        want = asked.where((F.col("before") < F.col("r")) & (F.col("r") <= F.col("before") + F.col("cnt"))) \
+            .select(inside, "o", (F.col("r") - F.col("before")).alias("r"))
+        rows = binned.select(inside, "key").join(F.broadcast(want.select("g").distinct()), "g", "left_semi")
+    place = F.row_number().over(Window.partitionBy("g").orderBy("key")).cast("bigint")
+    return rows.withColumn("r", place).join(F.broadcast(want), ["g", "r"]).select("o", "key")
+
+
+def exact_tiles(df: DataFrame, orders: dict[str, tuple[int, Sequence[Column]]], splits: int = TILE_SPLITS,
+                levels: int = TILE_LEVELS) -> DataFrame:
+    """Add ``NTILE(k) OVER (ORDER BY ...)`` for every ``{name: (k, key columns)}``.
+
+    Key columns compare ascending with nulls first (see ``ascending`` and
+    ``descending``) and must be unique together: end them with an id. k is 2 or
+    more. Nothing runs before an action and nothing is checkpointed: the passes
+    share one shuffled input where the planner can reuse it, their shuffles hold
+    counts only, and the borders (a few keys) reach the rows as a subquery value.
+    An empty frame gives none.
+    """
+    wide = {name: [c.alias(f"k{j}_{m}") for m, c in enumerate(cols)] for j, (name, (_, cols)) in
+            enumerate(orders.items())}
+    types = {name: df.select(*cols).schema.fields for name, cols in wide.items()}
+
+    def key(name: str) -> Column:
+        # Each order has its own fields; those of the others are null.
+        return F.struct(*[c if other == name else F.lit(None).cast(f.dataType).alias(f.name)
+                          for other, cols in wide.items() for c, f in zip(cols, types[other])])
+
+    rows = df.select(F.explode(F.array(*[F.struct(F.lit(j).cast("bigint").alias("g"), key(name).alias("key"))
+                                         for j, name in enumerate(orders)])).alias("x")).select("x.g", "x.key")
+    borders = _tile_borders(rows, [k for k, _ in orders.values()], splits, levels)
+    found = borders.agg(F.struct(*[F.collect_list(F.when(F.col("o") == j, F.col("key"))).alias(f"b{j}")
+                                   for j in range(len(orders))]).alias("b")).scalar()
+
+    def tile(j: int, name: str, k: int) -> Column:
+        own = key(name)
+        passed = [F.coalesce((F.get(found.getField(f"b{j}"), F.lit(i)) < own).cast("int"), F.lit(0))
+                  for i in range(k - 1)]
+        return sum(passed, F.lit(1))
+
+    return df.withColumns({name: tile(j, name, k) for j, (name, (k, _)) in enumerate(orders.items())})
+
+
 def share_of_total(value: Column) -> Column:
     """``100 * value / SUM(value) OVER ()`` for a frame already reduced to a few
     rows (categories, states, tiers); the empty window is one small task."""

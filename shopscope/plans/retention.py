@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shopscope.functions.scalar import even_round, mean, month_start, percent, sql_round, whole_days
-from shopscope.operators.ranking import distributed_ntile, share_of_total
+from shopscope.operators.ranking import ascending, descending, exact_tiles, share_of_total
 from shopscope.plans.revenue import _label, _orders, delivered_lines, with_reviews
 
 CUSTOMER = "customer_unique_id"
@@ -59,7 +59,7 @@ def customer_base(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame
 
 
 def _clv_order() -> list[Column]:
-    return [F.col("lifetime_revenue").desc_nulls_first(), F.col(CUSTOMER).asc_nulls_last()]
+    return [*descending(F.col("lifetime_revenue")), *ascending(F.col(CUSTOMER))]
 
 
 def retention_rate(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
@@ -79,7 +79,7 @@ def customer_clv(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Lifetime value per customer with its quintile and tier."""
     base = customer_base(fact, orders).withColumn(
         "customer_lifespan_days", whole_days("first_order", "last_order", "trunc"))
-    tiled = distributed_ntile(base, 5, _clv_order(), name="clv_quintile")
+    tiled = exact_tiles(base, {"clv_quintile": (5, _clv_order())})
     return tiled.select(
         CUSTOMER, "order_count",
         F.col("lifetime_revenue").cast("double").alias("lifetime_revenue"),
@@ -91,7 +91,7 @@ def customer_clv(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
 def clv_tiers(fact: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Customers, revenue and orders per lifetime-value quintile."""
     base = customer_base(fact, orders).select(CUSTOMER, "lifetime_revenue", "order_count")
-    tiled = distributed_ntile(base, 5, _clv_order(), name="quintile")
+    tiled = exact_tiles(base, {"quintile": (5, _clv_order())})
     g = tiled.groupBy("quintile").agg(
         F.count(F.lit(1)).alias("customers"),
         F.sum("lifetime_revenue").alias("rev"),
@@ -205,10 +205,10 @@ def _rfm_scored(fact: DataFrame, as_of=None, orders: DataFrame | None = None,
         F.count("order_id").alias("frequency"),
         F.round(F.sum("rev"), 2).alias("monetary"))
     c = c.withColumn("recency_days", whole_days("last_ts", as_of_column(as_of), "trunc")).drop("last_ts")
-    tie = F.col(CUSTOMER).asc_nulls_last()
-    c = distributed_ntile(c, 5, [F.col("recency_days").asc_nulls_last(), tie], name="r_score")
-    c = distributed_ntile(c, 5, [F.col("frequency").desc_nulls_first(), tie], name="f_score")
-    c = distributed_ntile(c, 5, [F.col("monetary").desc_nulls_first(), tie], name="m_score")
+    tie = ascending(F.col(CUSTOMER))
+    c = exact_tiles(c, {"r_score": (5, [*ascending(F.col("recency_days")), *tie]),
+                        "f_score": (5, [*descending(F.col("frequency")), *tie]),
+                        "m_score": (5, [*descending(F.col("monetary")), *tie])})
     if score_direction == "high_is_best":
         # 5 = most recent / most frequent / highest spend, so the segment
         # names match their meaning.

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopscope.functions.scalar import day_start, mean, month_start, percent, sql_round
-from shopscope.operators.ranking import distributed_ntile, share_of_total
+from shopscope.operators.ranking import ascending, descending, exact_tiles, share_of_total
 from shopscope.operators.sizing import bounded_broadcast
 
 DELIVERED = "delivered"
@@ -250,7 +250,7 @@ def freight_leakage(fact: DataFrame) -> DataFrame:
 def seller_tiers(fact: DataFrame, reviews: DataFrame) -> DataFrame:
     """Per seller revenue, orders, review score and delivery time, in revenue quartiles.
 
-    Sellers grow with the shop, so the quartile is the distributed NTILE.
+    Sellers grow with the shop, so the quartile comes from border rows, not from a global window.
     """
     lines = delivered_lines(fact).select("seller_id", "seller_state", "order_id", "revenue",
                                          "delivery_days") \
@@ -261,9 +261,8 @@ def seller_tiers(fact: DataFrame, reviews: DataFrame) -> DataFrame:
         sql_round(mean(F.sum("review_score"), F.count("review_score")), 2).alias("avg_review_score"),
         sql_round(mean(F.sum("delivery_days"), F.count("delivery_days")), 1).alias("avg_delivery_days"),
     )
-    tiled = distributed_ntile(
-        s, 4, [F.col("rev").desc_nulls_first(), F.col("seller_id").asc_nulls_last(),
-               F.col("seller_state").asc_nulls_last()], name="revenue_quartile")
+    order = [*descending(F.col("rev")), *ascending(F.col("seller_id")), *ascending(F.col("seller_state"))]
+    tiled = exact_tiles(s, {"revenue_quartile": (4, order)})
     return tiled.select(
         "seller_id", "seller_state",
         F.col("rev").cast("double").alias("total_revenue"),
