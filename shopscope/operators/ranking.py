@@ -78,8 +78,7 @@ def distributed_ntile(df: DataFrame, k: int, order: Sequence[Column], name: str
 
 # ---- tiles from border rows -------------------------------------------------
 
-TILE_SPLITS = 1024  # key ranges a level counts, a power of two
-TILE_LEVELS = 2     # after them about rows / TILE_SPLITS ** TILE_LEVELS are left beside a border
+TILE_WIDTH = 128  # a power of two; its square is the number of key ranges that are counted
 
 
 def ascending(value: Column) -> list[Column]:
@@ -92,51 +91,53 @@ def descending(value: Column) -> list[Column]:
     return [-value]
 
 
-def _key_ranges(rows: DataFrame, splits: int) -> DataFrame:
+def _key_ranges(rows: DataFrame, width: int) -> DataFrame:
     """Add ``bin``, the number of cuts below the row's key. The cuts are a random
     sample of each group's keys: of every residue of the key's hash the row with
-    the least hash. They depend on the rows alone, so a rerun task agrees."""
+    the least hash. They depend on the rows alone, so a rerun task agrees. A row
+    meets the first cut of each run of ``width`` cuts, then one run: the joins
+    copy their arrays to every row, which the whole list would make dear."""
     h = F.xxhash64("key")
-    cuts = rows.groupBy("g", h.bitwiseAND(splits - 1).alias("residue")).agg(F.min_by("key", h).alias("key")) \
+    cuts = rows.groupBy("g", h.bitwiseAND(width * width - 1).alias("residue")).agg(F.min_by("key", h).alias("key")) \
         .groupBy("g").agg(F.sort_array(F.collect_list("key")).alias("cuts"))
-    steps = ", ".join(str(splits >> i) for i in range(splits.bit_length()))
-    below = F.expr(f"aggregate(array({steps}), 0, (p, step) -> IF(get(cuts, p + step - 1) < key, p + step, p))")
-    # One row of at most ``splits`` keys per group: a proven bound.
-    return rows.join(F.broadcast(cuts), "g").select("g", "key", below.cast("bigint").alias("bin"))
+    runs = cuts.select("g", F.expr(f"""transform(sequence(0, int(ceil(size(cuts) / {width})) - 1),
+                                                 c -> slice(cuts, c * {width} + 1, {width}))""").alias("runs"))
+    steps = ", ".join(str(width >> i) for i in range(width.bit_length()))
 
+    def below(cuts: str) -> Column:
+        return F.expr(f"aggregate(array({steps}), 0, (p, step) -> IF(get({cuts}, p + step - 1) < key, p + step, p))")
 
-def _tile_borders(rows: DataFrame, tiles: Sequence[int], splits: int, levels: int) -> DataFrame:
-    """(o, key): the last key of every tile but the last, of each order ``o``.
+    # width ** 2 keys per group in all: a proven bound for both broadcasts.
+    firsts = F.broadcast(runs.select("g", F.expr("transform(runs, x -> x[0])").alias("firsts")))
+    inner = F.broadcast(runs.select("g", F.posexplode("runs").alias("c", "cuts")))
+    return rows.join(firsts, "g").select("g", "key", F.greatest(below("firsts") - 1, F.lit(0)).alias("c")) \
+        .join(inner, ["g", "c"]).select("g", "key", (F.col("c") * width + below("cuts")).alias("bin"))
 
-    ``rows`` holds (g, key) with g = o. Each level counts the rows per key range
-    and goes on with the ranges that hold a border, so what is sorted in the end
-    is a vanishing share of the rows.
+
+def _tile_borders(rows: DataFrame, tiles: Sequence[int], width: int) -> DataFrame:
+    """(g, key): the last key of every tile but the last, of each order ``g``.
+
+    The counts per key range say which range holds a border and at which place;
+    only the rows of those ranges, about one in ``width ** 2``, are sorted.
     """
-    want = None
-    upto = Window.partitionBy("g").orderBy("bin")  # at most splits + 1 rows a group
-    for _ in range(levels):
-        binned = _key_ranges(rows, splits)
-        hist = binned.groupBy("g", "bin").agg(F.count(F.lit(1)).alias("cnt")) \
-            .withColumn("before", F.sum("cnt").over(upto) - F.col("cnt"))
-        if want is None:
-            n, k = F.col("n"), F.col("k")
-            asked = hist.withColumn("n", F.sum("cnt").over(Window.partitionBy("g"))) \
-                .withColumn("k", F.element_at(F.array(*map(F.lit, tiles)), F.col("g").cast("int") + 1)) \
-                .withColumn("i", F.explode(F.sequence(F.lit(1), k - 1))) \
-                .withColumn("r", F.col("i") * F.floor(n / k) + F.least(F.col("i").cast("bigint"), n % k)) \
-                .withColumn("o", F.col("g"))
-        else:
-            asked = hist.join(F.broadcast(want), "g")  # one row per border
-        inside = (F.col("g") * (splits + 1) + F.col("bin")).alias("g")
-        want = asked.where((F.col("before") < F.col("r")) & (F.col("r") <= F.col("before") + F.col("cnt"))) \
-            .select(inside, "o", (F.col("r") - F.col("before")).alias("r"))
-        rows = binned.select(inside, "key").join(F.broadcast(want.select("g").distinct()), "g", "left_semi")
-    place = F.row_number().over(Window.partitionBy("g").orderBy("key")).cast("bigint")
-    return rows.withColumn("r", place).join(F.broadcast(want), ["g", "r"]).select("o", "key")
-
-
-def exact_tiles(df: DataFrame, orders: dict[str, tuple[int, Sequence[Column]]], splits: int = TILE_SPLITS,
-                levels: int = TILE_LEVELS) -> DataFrame:
+    binned = _key_ranges(rows, width)
+    whole = Window.partitionBy("g")  # at most width ** 2 + 1 rows a group
+    n, k, i = F.col("n"), F.col("k"), F.col("i")
+    borders = binned.groupBy("g", "bin").agg(F.count(F.lit(1)).alias("cnt")) \
+        .withColumn("before", F.sum("cnt").over(whole.orderBy("bin")) - F.col("cnt")) \
+        .withColumn("n", F.sum("cnt").over(whole)) \
+        .withColumn("k", F.element_at(F.array(*map(F.lit, tiles)), F.col("g") + 1)) \
+        .withColumn("i", F.explode(F.sequence(F.lit(1), k - 1))) \
+        .withColumn("r", i * F.floor(n / k) + F.least(i.cast("bigint"), n % k) - F.col("before")) \
+        .where((F.col("r") > 0) & (F.col("r") <= F.col("cnt"))).select("g", "bin", "i", "r")
+    place = F.row_number().over(Window.partitionBy("g", "i").orderBy("key"))
+    # One row per border: a proven bound.
+    return binned.join(F.broadcast(borders), ["g", "bin"]).withColumn("place", place) \
+        .where(F.col("place") == F.col("r")).select("g", "key")
+
+
+def exact_tiles(df: DataFrame, orders: dict[str, tuple[int, Sequence[Column]]],
+                width: int = TILE_WIDTH) -> DataFrame:
     """Add ``NTILE(k) OVER (ORDER BY ...)`` for every ``{name: (k, key columns)}``.
 
     Key columns compare ascending with nulls first (see ``ascending`` and
@@ -146,8 +147,8 @@ def exact_tiles(df: DataFrame, orders: dict[str, tuple[int, Sequence[Column]]],
     counts only, and the borders (a few keys) reach the rows as a subquery value.
     An empty frame gives none.
     """
-    wide = {name: [c.alias(f"k{j}_{m}") for m, c in enumerate(cols)] for j, (name, (_, cols)) in
-            enumerate(orders.items())}
+    wide = {name: [c.alias(f"k{j}_{m}") for m, c in enumerate(cols)]
+            for j, (name, (_, cols)) in enumerate(orders.items())}
     types = {name: df.select(*cols).schema.fields for name, cols in wide.items()}
 
     def key(name: str) -> Column:
@@ -155,19 +156,21 @@ def exact_tiles(df: DataFrame, orders: dict[str, tuple[int, Sequence[Column]]],
         return F.struct(*[c if other == name else F.lit(None).cast(f.dataType).alias(f.name)
                           for other, cols in wide.items() for c, f in zip(cols, types[other])])
 
-    rows = df.select(F.explode(F.array(*[F.struct(F.lit(j).cast("bigint").alias("g"), key(name).alias("key"))
+    rows = df.select(F.explode(F.array(*[F.struct(F.lit(j).alias("g"), key(name).alias("key"))
                                          for j, name in enumerate(orders)])).alias("x")).select("x.g", "x.key")
-    borders = _tile_borders(rows, [k for k, _ in orders.values()], splits, levels)
-    found = borders.agg(F.struct(*[F.collect_list(F.when(F.col("o") == j, F.col("key"))).alias(f"b{j}")
-                                   for j in range(len(orders))]).alias("b")).scalar()
+    borders = _tile_borders(rows, [k for k, _ in orders.values()], width)
+    found = borders.agg(F.struct(*[F.collect_list(F.when(F.col("g") == j, F.col("key"))).alias(f"b{j}")
+                                   for j in range(len(orders))])).scalar()
 
     def tile(j: int, name: str, k: int) -> Column:
         own = key(name)
-        passed = [F.coalesce((F.get(found.getField(f"b{j}"), F.lit(i)) < own).cast("int"), F.lit(0))
+        passed = [F.coalesce((F.get(F.col(f"_tile_borders.b{j}"), F.lit(i)) < own).cast("int"), F.lit(0))
                   for i in range(k - 1)]
         return sum(passed, F.lit(1))
 
-    return df.withColumns({name: tile(j, name, k) for j, (name, (k, _)) in enumerate(orders.items())})
+    return df.withColumn("_tile_borders", found) \
+        .withColumns({name: tile(j, name, k) for j, (name, (k, _)) in enumerate(orders.items())}) \
+        .drop("_tile_borders")
 
 
 def share_of_total(value: Column) -> Column:

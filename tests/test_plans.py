@@ -73,3 +73,21 @@ def test_orphans_count_child_keys_before_the_join(spark):
     assert [(r["key_value"], r["row_count"]) for r in df.collect()] == [("1", 2)]
     text = plan_text(df)
     assert text.index("Join") < text.index("partial_count")  # the join stands above the count
+
+
+def test_tiles_share_one_customer_shuffle_and_run_nothing_early(spark):
+    wh = open_warehouse(spark, SMALL)
+    fact, orders = wh.table("fact_orders"), wh.table("order_summary")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("tiles-built", "tiles-built")
+    df = T.rfm_segments(fact, "2001-08-02", orders)
+    text = plan_text(df)
+    assert len(tracker.getJobIdsForGroup("tiles-built")) == 0
+    assert "ntile(" not in text.lower() and "ExistingRDD" not in text  # as a checkpoint shows
+    df.collect()
+    # After the run the stages show which shuffles were made and which reused.
+    lines = plan_text(df).splitlines()
+    stages = [b for a, b in zip(lines, lines[1:]) if "ShuffleQueryStage" in a
+              and "Exchange hashpartitioning(customer_unique_id" in b or "ReusedExchange [customer_unique_id" in b]
+    made = [x for x in stages if "ReusedExchange" not in x]
+    assert 1 <= len(made) <= 2 and len(stages) > len(made)

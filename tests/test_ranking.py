@@ -66,13 +66,13 @@ def test_exact_tiles_match_window(spark, n, k, distinct):
     rnd = random.Random(n * 31 + k)
     data = [(i, rnd.randrange(distinct) if rnd.random() > 0.05 else None,
              Decimal(rnd.randrange(distinct * 7)) / 100 if rnd.random() > 0.3 else None) for i in range(n)]
-    _check_tiles(spark, data, k, splits=4)  # so that ranges of ranges are searched
+    _check_tiles(spark, data, k, width=2)  # so that ranges hold many rows
     _check_tiles(spark, data, k)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.one_of(st.none(), st.integers(-3, 3)), max_size=80), k=st.integers(2, 6),
-       splits=st.sampled_from([1, 2, 8]), levels=st.integers(1, 3))
-def test_exact_tiles_property(spark, values, k, splits, levels):
+       width=st.sampled_from([1, 2, 8]))
+def test_exact_tiles_property(spark, values, k, width):
     data = [(i, v, None if v is None else Decimal(v * v)) for i, v in enumerate(values)]
-    _check_tiles(spark, data, k, splits=splits, levels=levels)
+    _check_tiles(spark, data, k, width=width)
