@@ -21,7 +21,9 @@ The graph holds distinct (pattern, instance) pairs, so copies of a document
 add nothing to it; all rounds are grouped sums and joins of staged tables,
 and frequent patterns are combined before they are shuffled.
 
-Cases: a null text counts as empty. Repeated rows and null ids are rows of
+Cases: a candidate that overlaps a base span is none; candidates may overlap
+each other (an address and a number inside it), and each accepted one gives its
+own span. A null text counts as empty. Repeated rows and null ids are rows of
 their own. Spans are in code points, the end exclusive. Other columns are
 ignored. An empty table gives no rows.
 """
@@ -29,7 +31,9 @@ ignored. An empty table gives no rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +44,7 @@ from .common import drop_staged, ship, stage
 KINDS = ("email", "ip", "card", "phone")
 SHRINK = 2.0
 ACCEPT = 0.9
+CONTEXT_WORD = 64  # longest run of characters that counts as a word of a context
 
 # Fixed patterns of the base spans.
 # (The look-behind saves retries within a run that has already failed: a match
@@ -55,8 +60,7 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 # Shapes of candidates, far looser than the base.
 _LOOSE_MAIL = re.compile(r"(?<![^\s@])[^\s@]+(?:@|\(at\)|\[at\])[^\s@]+")
 _LOOSE_NUMBER = re.compile(r"(?<![\w.])\+?\(?[0-9](?:[ ().:/-]{0,2}[0-9A-Fa-f](?![G-Zg-z])){6,}(?!\w)")
-_BEFORE = re.compile(r"(\S+)?[ \t]*(\S+)?[ \t]*\Z")
-_AFTER = re.compile(r"[ \t]*(\S+)?")
+_AFTER = re.compile(r"[ \t]*(\S{1,%d}(?!\S))" % CONTEXT_WORD)
 
 
 def luhn(digits: str) -> bool:
@@ -114,16 +118,32 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
                 ("phone", 7 <= digits <= 15 and not letters and s.count(".") != 3)) if fits]
             if kinds:
                 found.append((m.start(), m.end(), kinds))
-    return [(a, b, k) for a, b, k in found if all(b <= s or a >= e for s, _, e in taken)]
+    starts, reach = [s for s, _, _ in taken], list(accumulate((e for _, _, e in taken), max))
+
+    def free(a: int, b: int) -> bool:  # no taken span that starts before b ends after a
+        i = bisect_left(starts, b)
+        return i == 0 or reach[i - 1] <= a
+    return [(a, b, k) for a, b, k in found if free(a, b)]
+
+
+def _word_before(text: str, end: int) -> tuple[str | None, int]:
+    """The word that ends, but for blanks, at ``end``, and its start."""
+    while end and text[end - 1] in " \t":
+        end -= 1
+    start = end
+    while start and end - start <= CONTEXT_WORD and not text[start - 1].isspace():
+        start -= 1
+    return (text[start:end] if 0 < end - start <= CONTEXT_WORD else None), start
 
 
 def lexical_patterns(text: str, start: int, end: int) -> list[str]:
-    """The words around a span: two before; one before and one after; one before; one after."""
-    left = _BEFORE.search(text[max(0, start - 80):start])
-    first, second = left.groups() if left else (None, None)
-    if second is None:
-        first, second = None, first
-    after = _AFTER.match(text[end:end + 40])[1]
+    """The words around a span: two before; one before and one after; one before; one after.
+    Blanks of any number may lie between; a run of over ``CONTEXT_WORD`` characters is no word,
+    so it gives no pattern (else each address of an unbroken list would carry the list)."""
+    second, begin = _word_before(text, start)
+    first = _word_before(text, begin)[0] if second else None
+    after = _AFTER.match(text, end)
+    after = after[1] if after else None
     first, second, after = (_DIGIT.sub("0", w.lower()) if w else None for w in (first, second, after))
     out = []
     if first and second:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 import numpy as np
 import pytest
@@ -523,6 +524,39 @@ def test_one_steady_word_among_varying_ones_is_a_pattern(spark, steady):
     assert got[60] == f"card:{start}:{start + 16}"
 
 
+def test_contexts_are_whole_words():
+    for gap in (" ", " " * 500):
+        text = f"Call{gap}line2{gap}[555{gap}please"
+        at = text.index("[")
+        assert pii.lexical_patterns(text, at, at + 4) == [
+            "call line0 _", "line0 _ please", "line0 _", "_ please"]
+    word, long = "w" * pii.CONTEXT_WORD, "w" * (pii.CONTEXT_WORD + 1)
+    assert pii.lexical_patterns(f"{word} 555 {word}", len(word) + 1, len(word) + 4) == [
+        f"{word} _ {word}", f"{word} _", f"_ {word}"]
+    assert pii.lexical_patterns(f"a {long} 555 {long}", len(long) + 3, len(long) + 6) == []
+    assert pii.lexical_patterns("up\n555\ndown", 3, 6) == []  # words of other lines are none
+
+
+def test_candidates_avoid_every_base_span():
+    rnd = random.Random(5)
+    for _ in range(300):
+        text = "".join(rnd.choice(["a@b ", "x(at)y.z ", "1.2.3.4", "+49 30 123 456 78", " ", "555-1234 567 ", "a@b.cd"])
+                       for _ in range(8))
+        taken = pii.base_spans(text)
+        apart = [c for c in pii.candidates(text, []) if all(c[1] <= s or c[0] >= e for s, _, e in taken)]
+        assert pii.candidates(text, taken) == apart
+
+
+@pytest.mark.parametrize("unit", ["user12@mail.example.com ", "10.20.30.40,", "a(at)b.cd 555-123-4567 ", "1 "])
+def test_identifiers_of_long_texts_in_linear_time(unit):
+    text = unit * (5_000_000 // len(unit))
+    began = time.monotonic()
+    base = pii.base_spans(text)
+    for a, b in [(a, b) for a, _, b in base] + [(a, b) for a, b, _ in pii.candidates(text, base)]:
+        pii.lexical_patterns(text, a, b)
+    assert time.monotonic() - began < 20
+
+
 def test_pii_query(spark):
     from conftest import SMALL
     got = {r["doc_id"]: r for r in QUERIES["op10_pii"](spark, SMALL).collect()}
