@@ -5,8 +5,8 @@ value constraints, and summarised into revenue, retention, forecast and
 finding marts. Every operator is a lazy ``DataFrame -> DataFrame`` function.
 Actions happen only where they are part of the design: the table writes of
 the warehouse build and of publishing, the bounded size probes behind
-broadcasts (``operators.sizing``), and the reliable checkpoints that pin the
-range partitions of the distributed NTILE and the forecast cascade stages.
+broadcasts (``operators.sizing``), and the reliable checkpoints of the forecast
+cascade stages and of ``ranking.global_row_number``.
 """
 
 __version__ = "0.1.0"
