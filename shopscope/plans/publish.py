@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from shopscope.plans.lookup import LAYOUTS, write_layout
 from shopscope.plans.warehouse import CLEAN_TABLES
 
 # Dimensions before facts.
@@ -24,8 +25,6 @@ assert set(LOAD_ORDER) == set(CLEAN_TABLES) | {"fact_orders"}
 
 # JDBC inserts go in batches of this many rows.
 JDBC_BATCH_ROWS = 5000
-# Tasks, and so files, per folder of a partitioned table.
-FOLDER_TASKS = 4
 
 
 def create_if_absent(spark: SparkSession, name: str, schema: StructType, path: str | None = None) -> None:
@@ -88,31 +87,9 @@ def append_batch(df: DataFrame, name: str, batch_id: str) -> int:
     return n
 
 
-def replace_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                  sort_by: list[str] | None = None) -> None:
-    """Replace a catalog table, schema included (a full refresh).
-
-    ``partition_by`` and ``sort_by`` set the physical layout (W6): folders per
-    partition value, and sorted row groups whose min/max statistics let scans
-    skip data, in place of secondary indexes.
-    """
-    if partition_by:
-        # A task writes few folders, and a large folder is written by several tasks.
-        df = df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns[:1]), F.lit(FOLDER_TASKS)))
-    if sort_by:
-        df = df.sortWithinPartitions(*partition_by or [], *sort_by)
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-
-
-def write_fact_layout(fact: DataFrame, name: str) -> None:
-    """The fact partitioned by purchase year and month, rows sorted by status
-    and time, so period filters prune folders and the status filter skips row
-    groups."""
-    replace_table(fact, name, partition_by=["order_year", "order_month"],
-                  sort_by=["order_status", "order_purchase_timestamp"])
+def replace_table(df: DataFrame, name: str) -> None:
+    """Replace a catalog table, schema included (a full refresh)."""
+    df.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
@@ -130,14 +107,15 @@ def append_all(spark: SparkSession, tables: dict[str, DataFrame], batch_id: str,
 
 
 def publish_all(spark: SparkSession, tables: dict[str, DataFrame], database: str | None = None) -> list[str]:
-    """Replace every table in load order; returns the table names written."""
+    """Replace every table in load order, with the layout of its lookups (W6);
+    returns the table names written."""
     written = []
     for name in LOAD_ORDER:
         if name not in tables:
             continue
         full = f"{database}.{name}" if database else name
-        if name == "fact_orders":
-            write_fact_layout(tables[name], full)
+        if name in LAYOUTS:
+            write_layout(tables[name], full, LAYOUTS[name])
         else:
             replace_table(tables[name], full)
         written.append(full)
