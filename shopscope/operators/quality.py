@@ -8,10 +8,10 @@ Each check reads a table in one pass (one aggregate per table).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shopscope.functions.scalar import lenient_number
@@ -94,21 +94,25 @@ def number_rejects(raw: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> Da
     return _union(parts)
 
 
+def scale_checks(columns: Mapping[str, tuple[int, int]]) -> dict[str, tuple[str, Column, Column]]:
+    """Per column: declared type, overflow, largest magnitude."""
+    return {c: (f"numeric({p},{s})",
+                F.col(c).isNotNull() & F.col(c).try_cast(f"decimal({p},{s})").isNull(), F.max(F.abs(F.col(c))))
+            for c, (p, s) in columns.items()}
+
+
+def length_checks(columns: Mapping[str, int]) -> dict[str, tuple[str, Column, Column]]:
+    """Per column: declared type, text too long, greatest length."""
+    return {c: (f"varchar({n})", F.length(c) > n, F.max(F.length(c))) for c, n in columns.items()}
+
+
 def scale_violations(tables: Mapping[str, tuple[DataFrame, Mapping[str, tuple[int, int]]]]) -> DataFrame:
     """K3: numbers that overflow their ``NUMERIC(precision, scale)``.
 
     Rows: table_name, column_name, declared, violations, worst_value (largest
     magnitude seen).
     """
-    parts = []
-    for name, (df, cols) in tables.items():
-        checks = {}
-        for col, (p, s) in cols.items():
-            c = F.col(col)
-            bad = c.isNotNull() & c.try_cast(f"decimal({p},{s})").isNull()
-            checks[col] = (f"numeric({p},{s})", bad, F.max(F.abs(c)))
-        parts.append(_stacked(df, name, checks))
-    return _union(parts)
+    return _union([_stacked(df, name, scale_checks(cols)) for name, (df, cols) in tables.items()])
 
 
 def length_violations(tables: Mapping[str, tuple[DataFrame, Mapping[str, int]]]) -> DataFrame:
@@ -117,9 +121,42 @@ def length_violations(tables: Mapping[str, tuple[DataFrame, Mapping[str, int]]])
     Rows: table_name, column_name, declared, violations, worst_value (longest
     length seen).
     """
-    parts = []
-    for name, (df, cols) in tables.items():
-        checks = {col: (f"varchar({n})", F.length(col) > n, F.max(F.length(col)))
-                  for col, n in cols.items()}
-        parts.append(_stacked(df, name, checks))
-    return _union(parts)
+    return _union([_stacked(df, name, length_checks(cols)) for name, (df, cols) in tables.items()])
+
+
+# ---- the same checks, measured while a table is written ------------------------
+
+MEASURED = ("table_name string, check_name string, column_name string, declared string, "
+            "violations bigint, worst_value string, row_count bigint")
+
+
+def measured(df: DataFrame, table: str, keys: Sequence[str] = (), sizes: Mapping[str, tuple[int, int]] | None = None,
+             lengths: Mapping[str, int] | None = None) -> tuple[DataFrame, Callable[[], list[tuple]]]:
+    """``df`` observed for rows, null keys (K1), overflows (K3) and lengths (K4).
+
+    Returns the frame to write, and a function that, after the write, gives rows
+    of ``MEASURED``: one per check, also where nothing is violated. Observe the
+    frame of the write's last stage: a task of it counts once, even if it ran
+    again after a lost executor.
+    """
+    checks = [("null key", c, "not null", F.col(c).isNull(), F.max(F.lit(None).cast("string"))) for c in keys]
+    checks += [("scale", c, *check) for c, check in scale_checks(sizes or {}).items()]
+    checks += [("length", c, *check) for c, check in length_checks(lengths or {}).items()]
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, (_, _, _, bad, worst) in enumerate(checks):
+        aggs += [F.count(F.when(bad, 1)).alias(f"v{i}"), worst.cast("string").alias(f"x{i}")]
+    seen = Observation()
+
+    def rows() -> list[tuple]:
+        got = seen.get
+        return [(table, "rows", None, None, 0, None, got["n"])] + [
+            (table, kind, column, declared, got[f"v{i}"], got[f"x{i}"], got["n"])
+            for i, (kind, column, declared, _, _) in enumerate(checks)]
+
+    return df.observe(seen, *aggs), rows
+
+
+def violations_of(measured_rows: DataFrame, check: str) -> DataFrame:
+    """The violations that were measured, in the form of the reports above."""
+    return measured_rows.where((F.col("check_name") == check) & (F.col("violations") > 0)) \
+        .select("table_name", "column_name", "declared", "violations", "worst_value")

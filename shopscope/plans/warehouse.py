@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope.operators import clean as C
+from shopscope.operators import quality as K
 from shopscope.operators.fact import build_fact
 from shopscope.plans.revenue import order_summary
+from shopscope.schemas import NUMERIC_SIZES, PRIMARY_KEYS, VARCHAR_LENGTHS
 from shopscope.session import bucket_count, shared_dir
 from shopscope.sources.driver_tables import raw_tables
 
@@ -30,6 +32,8 @@ CLEAN_TABLES = (
     "order_payments", "order_payments_aggregated", "order_reviews",
 )
 ALL_TABLES = CLEAN_TABLES + ("fact_orders", "order_summary")
+# What was measured while the tables were written (``quality.MEASURED``).
+CHECKS = "load_checks"
 
 
 def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -78,7 +82,6 @@ class Warehouse:
 
     spark: SparkSession
     root: str
-    row_counts: dict[str, int] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
     buckets: int | None = None
 
@@ -114,16 +117,22 @@ class Warehouse:
         self.spark.createDataFrame([(str(self.buckets),)], "value string").coalesce(1) \
             .write.mode("overwrite").text(self.path("_buckets"))
 
-    def write_table(self, name: str, df: DataFrame) -> None:
+    def write_table(self, name: str, df: DataFrame) -> list[tuple]:
         """Replace a table; bucketed tables are hash-partitioned on their key
-        first (the same hash as the buckets), so each bucket is one file."""
-        if name not in BUCKETED:
+        first (the same hash as the buckets), so each bucket is one file.
+        Returns what was measured in the same pass: rows, null keys, overflows
+        and text lengths."""
+        bucketed = BUCKETED.get(name)
+        if bucketed:
+            df = df.repartition(self.buckets, bucketed[0])
+        df, seen = K.measured(df, name, PRIMARY_KEYS.get(name, ()), NUMERIC_SIZES.get(name), VARCHAR_LENGTHS.get(name))
+        if not bucketed:
             write_table(df, self.path(name))
-            return
-        key, sort = BUCKETED[name]
-        df.repartition(self.buckets, key).write.mode("overwrite") \
-            .bucketBy(self.buckets, key).sortBy(*sort) \
+            return seen()
+        key, sort = bucketed
+        df.write.mode("overwrite").bucketBy(self.buckets, key).sortBy(*sort) \
             .option("path", self.path(name)).saveAsTable(self._catalog_name(name))
+        return seen()
 
     def build(self, raw: dict[str, DataFrame], parallel_writes: int = len(CLEAN_TABLES)) -> "Warehouse":
         """Clean and write the nine tables, then build and write the fact.
@@ -135,8 +144,8 @@ class Warehouse:
         self._set_buckets()
         cleaned = clean_all(raw)
         with ThreadPoolExecutor(max_workers=parallel_writes) as pool:
-            for done in [pool.submit(self.write_table, name, df) for name, df in cleaned.items()]:
-                done.result()
+            checks = [row for done in [pool.submit(self.write_table, name, df) for name, df in cleaned.items()]
+                      for row in done.result()]
         t1 = time.time()
         fact = build_fact(self.table("orders"), self.table("order_items"),
                           self.table("order_payments_aggregated"), self.table("customers"),
@@ -144,18 +153,22 @@ class Warehouse:
         # Bucketed on order_id; inside a bucket, rows of one status and time
         # range sit together, so Parquet min/max statistics skip row groups for
         # the status filter every mart uses.
-        self.write_table("fact_orders", fact)
+        checks += self.write_table("fact_orders", fact)
         t2 = time.time()
         # The delivered orders, one row each with their review: the shared
         # first step of the order- and customer-level marts, computed once.
-        self.write_table("order_summary", order_summary(self.table("fact_orders"), self.table("order_reviews")))
+        checks += self.write_table("order_summary", order_summary(self.table("fact_orders"), self.table("order_reviews")))
+        self.spark.createDataFrame(checks, K.MEASURED).coalesce(1).write.mode("overwrite").parquet(self.path(CHECKS))
         self.seconds = {"clean": t1 - t0, "fact": t2 - t1, "order_summary": time.time() - t2}
         return self
 
+    def checks(self) -> DataFrame:
+        """What the build measured while it wrote the tables."""
+        return self.table(CHECKS)
+
     def counts(self) -> dict[str, int]:
-        """Row count per table (Parquet footers only)."""
-        self.row_counts = {n: self.table(n).count() for n in ALL_TABLES}
-        return self.row_counts
+        """Row count per table, as written."""
+        return {r["table_name"]: r["row_count"] for r in self.checks().where("check_name = 'rows'").collect()}
 
 
 _lock = threading.Lock()
