@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope.operators.quality import number_rejects
+from shopscope.plans import daily_batches
 from shopscope.plans import forecast as FC
 from shopscope.plans.publish import LOAD_ORDER, append_all, publish_all
 from shopscope.plans.warehouse import ALL_TABLES, Warehouse
@@ -55,7 +56,8 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, input_format: str
         batch_id: str | None = None) -> RunReport:
     """Clean, load and forecast; with ``database`` the tables are also published
     there, dimensions first: refreshed whole, the fact in folders per month, or
-    with ``batch_id`` appended as that batch, which a rerun replaces."""
+    with ``batch_id`` appended as that batch, which a rerun replaces. The forecast
+    of a batch run starts from the daily sums of all batches so far."""
     if batch_id and not database:
         raise ValueError("a batch is appended to a database: give its name")
     report = RunReport()
@@ -81,6 +83,9 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, input_format: str
         if batch_id:
             for name, rows in append_all(spark, loaded, batch_id, database).items():
                 report.add("append", name, rows, time.time() - t1)
+            sums = daily_batches.table_name(database, series_col)
+            rows = daily_batches.add_batch(wh.table("fact_orders"), sums, batch_id, series_col, wh.table("order_summary"))
+            report.add("daily", sums, rows, time.time() - t1)
         else:
             for name in publish_all(spark, loaded, database):
                 report.add("publish", name, spark.table(name).count(), time.time() - t1)
@@ -89,7 +94,9 @@ def run(spark: SparkSession, input_dir: str, output_dir: str, input_format: str
     if with_forecast:
         t1 = time.time()
         try:
-            daily = FC.with_min_history(FC.daily_revenue(wh.table("fact_orders"), series_col))
+            daily = daily_batches.merged_daily(spark, sums) if database and batch_id else \
+                FC.daily_revenue(wh.table("fact_orders"), series_col)
+            daily = FC.with_min_history(daily)
             raw_fc = FC.forecast(daily).checkpoint(eager=True)
             # Published as exact cents (the source's NUMERIC(12,2), widened to
             # 18 digits so large shops cannot overflow).

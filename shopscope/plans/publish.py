@@ -58,29 +58,38 @@ def _overwrite_partition(df: DataFrame, name: str, partition: dict[str, str]) ->
     spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({keys}) SELECT {columns} FROM {{rows}}", rows=df)
 
 
-def append_batch(df: DataFrame, name: str, batch_id: str) -> int:
-    """Append ``df`` to the table as batch ``batch_id``; returns its rows.
+def write_batch(df: DataFrame, name: str, batch_id: str) -> int:
+    """The rows of ``df`` as partition ``batch_id`` of a table, in place of what
+    that batch held; returns their number, counted while they are written.
 
-    The table is created, typed, if it is absent. Its rows carry ``load_batch``,
-    which partitions it; a batch that comes again replaces its own partition,
-    so a rerun leaves one copy, and an empty one leaves none. Rows are counted
-    while they are written, and the ledger of the table's database keeps one
-    row per table and batch. A table without ``load_batch`` is refused.
+    The table is created, typed, if it is absent. A table without
+    ``load_batch`` is refused.
     """
     spark = df.sparkSession
     if any(c.lower() == BATCH for c in df.columns):
         raise ValueError(f"the rows already have a column {BATCH}")
     if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", batch_id):
         raise ValueError(f"batch id {batch_id!r}: letters, digits, '.', '_' and '-' only, as it names a folder")
-    database = name.rpartition(".")[0]
-    ledger = f"{database}.{LEDGER}" if database else LEDGER
     create_partitioned(spark, name, df.withColumn(BATCH, F.lit(batch_id)).schema, [BATCH])
     if BATCH not in spark.table(name).columns:
         raise ValueError(f"{name} is not a table of batches: refresh it, or append under another name")
     seen = Observation()
     _overwrite_partition(df.observe(seen, F.count(F.lit(1)).alias("n")), name, {BATCH: batch_id})
-    n = int(seen.get["n"])
-    table = name.rpartition(".")[2]
+    return int(seen.get["n"])
+
+
+def append_batch(df: DataFrame, name: str, batch_id: str) -> int:
+    """Append ``df`` to the table as batch ``batch_id``; returns its rows.
+
+    Its rows carry ``load_batch``, which partitions the table; a batch that
+    comes again replaces its own partition, so a rerun leaves one copy, and an
+    empty one leaves none. The ledger of the table's database keeps one row per
+    table and batch.
+    """
+    spark = df.sparkSession
+    n = write_batch(df, name, batch_id)
+    database, _, table = name.rpartition(".")
+    ledger = f"{database}.{LEDGER}" if database else LEDGER
     entry = spark.createDataFrame([(n, dt.datetime.now(dt.timezone.utc), table, batch_id)], LEDGER_COLUMNS).coalesce(1)
     create_partitioned(spark, ledger, entry.schema, ["table_name", BATCH])
     _overwrite_partition(entry, ledger, {"table_name": table, BATCH: batch_id})
