@@ -18,6 +18,11 @@ job that may be run again after a failure must give ``batch_id``. The rerun
 under the same id then finds its own entries, keeps the same texts again, and
 completes an append that broke off. Without an id each call is a batch of its
 own, and a repeat counts as copies of what was there: none of it is kept.
+
+One job at a time should write an index. Two that ingest at once may both
+append a text; the index then holds its digest twice, and readers see the entry
+of the smaller batch id: rows are never multiplied, and later batches agree on
+one keeper. ``compact`` leaves that entry alone.
 """
 
 from __future__ import annotations
@@ -66,8 +71,12 @@ class DigestIndex:
                   f"LOCATION '{self.path}/data'")
 
     def table(self) -> DataFrame:
+        """The entries, one per digest. Buckets hold all entries of a digest, so
+        this needs no shuffle."""
         self.spark.catalog.refreshTable(self.name)
-        return self.spark.table(self.name)
+        first = F.min(F.struct("batch", F.col("keep_id").isNull().alias("no_id"), "keep_id")).alias("first")
+        return self.spark.table(self.name).groupBy("digest").agg(first) \
+            .select("digest", "first.keep_id", "first.batch")
 
     def ingest(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                carry: Column | None = None, batch_id: str | None = None) -> DataFrame:
@@ -93,7 +102,9 @@ class DigestIndex:
                 F.count("*").alias("group_size"))
             .select("digest", F.col("first.doc_id").alias("first_id"),
                     F.col("first.row_id").alias("first_row"), "group_size"), "digest-groups")
-        fresh = groups.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
+        self.spark.catalog.refreshTable(self.name)
+        entries = self.spark.table(self.name)  # an anti join needs no distinct digests
+        fresh = groups.join(entries.select("digest").hint("merge"), "digest", "left_anti")
         (fresh.select("digest", F.col("first_id").alias("keep_id"), F.lit(batch).alias("batch"))
          .repartition(self.buckets, "digest").write.insertInto(self.name))
         known = stage(

@@ -8,10 +8,12 @@ pass over the sources in the order in which their caps bind).
 Within a source each document's expected copies are target / source size. The
 documents are put in an order, the expected copies are summed up to each one,
 one random offset per source is added, and a document is emitted once per
-integer boundary its step crosses. The order is: cell, size, doc_id, where a
-cell is a hash slice of the ids with about ``rows_per_cell`` documents. So the
-prefix sum is a window within a bounded cell plus the cell's offset; a source
-that holds a third of all rows is many cells. Sorting by size within a cell
+integer boundary its step crosses. The order is: cell, size, doc_id, the other
+columns, where a cell is a hash slice of the ids with about ``rows_per_cell``
+documents. So the prefix sum is a window within a bounded cell plus the cell's
+offset; a source that holds a third of all rows is many cells. Rows without an
+id are dealt to cells by their other columns. Rows that share one id, or are
+equal in every column, share a cell. Sorting by size within a cell
 makes the sample stratified by size, so taken words come near the target.
 
 Cases: a null text has size 0; a source of size 0 gets target 0 and is left
@@ -79,12 +81,15 @@ def mix(sized: DataFrame, doc_id: str = "doc_id", source: str = "source", size:
         rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
     """``sized`` plus source_size, target, copies and taken, one row per row."""
     slices = max(1, -(-sized.count() // rows_per_cell))
-    key, cell, place = (free_name(sized, n) for n in ("_mix_key", "_mix_cell", "_mix_place"))
+    key, cell, place, rest = (free_name(sized, n) for n in ("_mix_key", "_mix_cell", "_mix_place", "_mix_rest"))
     own = ("source_size", "target", "copies", "taken", "_before", "_rate", "_offset")
+    content = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sized.columns
+                                    if c != doc_id and c.lower() not in own])
     rows = (sized.select(*[c for c in sized.columns if c.lower() not in own])
             .withColumn(key, F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")))
-            .withColumn(cell, F.pmod(_hash32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))),
-                                     F.lit(slices))))
+            .withColumn(cell, F.pmod(_hash32(F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("n:"), content))),
+                                     F.lit(slices)))
+            .withColumn(rest, F.xxhash64(content)))
     cells = stage(rows.groupBy(key, cell).agg(F.count("*").alias("n"), F.sum(size).alias("words"),
                                               F.first(source).alias("source")), "mix-cells")
     sources = cells.groupBy(key).agg(F.sum("words").alias("source_size"), F.first("source").alias("source"))
@@ -97,7 +102,7 @@ def mix(sized: DataFrame, doc_id: str = "doc_id", source: str = "source", size:
               .select(key, cell, "_before", "source_size", "target",
                       F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
                       .otherwise(F.lit(0.0)).alias("_rate"), offset.alias("_offset")))
-    order = W.partitionBy(key, cell).orderBy(size, F.col(doc_id).asc_nulls_last())
+    order = W.partitionBy(key, cell).orderBy(size, F.col(doc_id).asc_nulls_last(), rest)
     step = F.col("_before") + F.col(place)
     copies = (F.floor(step * F.col("_rate") + F.col("_offset"))
               - F.floor((step - 1) * F.col("_rate") + F.col("_offset")))
@@ -105,7 +110,7 @@ def mix(sized: DataFrame, doc_id: str = "doc_id", source: str = "source", size:
             .join(placed, [key, cell])
             .withColumn("copies", copies.cast("bigint"))
             .withColumn("taken", (F.col("copies") * F.col(size)).cast("bigint"))
-            .drop(key, cell, place, "_before", "_rate", "_offset"))
+            .drop(key, cell, place, rest, "_before", "_rate", "_offset"))
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",

@@ -37,7 +37,8 @@ FROM t JOIN g USING (h)
 OP9 = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR),
+                'n:' || coalesce(source, '') || chr(31) || CAST(size AS VARCHAR))), 1, 8) AS BIGINT)
            % greatest(1, CAST(ceil((SELECT count(*) FROM documents) / 16384.0) AS BIGINT)) AS cell
   FROM documents
 ), per_source AS (

@@ -9,6 +9,7 @@ import time
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from shopscope.llm import bpe, exact_dedup, licenses, mixing, pii, quality, simhash, toxicity
 from shopscope.llm.queries import QUERIES, bpe_digests, tokenizer_path
@@ -151,6 +152,41 @@ def test_mixing_is_systematic(spark, edge, empty):
     assert mixing.mixed_documents(empty).count() == 0
 
 
+def test_mixing_without_ids_and_with_shared_ids(spark):
+    rows = [(None if i % 2 else i // 40, "a", 7, f"text {i}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint, text string")
+    both = df.union(spark.createDataFrame([(i, "b", 7, "x") for i in range(1000)], df.schema))
+    first = mixing.mix(both.repartition(3), rows_per_cell=100)
+    again = mixing.mix(both.repartition(7), rows_per_cell=100)
+    # Rows differ in their text alone: a full order takes the same ones.
+    taken = sorted((r["text"], r["copies"]) for r in first.where("source = 'a'").collect())
+    assert taken == sorted((r["text"], r["copies"]) for r in again.where("source = 'a'").collect())
+    assert len({c for _, c in taken}) > 1
+    # Rows without an id are in many cells.
+    plan_cells = F.pmod(mixing._hash32(F.concat(F.lit("n:"), F.concat_ws("\x1f", "source", "size", "text"))), F.lit(50))
+    per = [r["count"] for r in both.where("doc_id is null").groupBy(plan_cells).count().collect()]
+    assert len(per) == 50 and max(per) < 150
+    mixed = mixing.mixed_documents(both.drop("size"), rows_per_cell=100)
+    assert sorted(r["text"] for r in mixed.collect()) == \
+        sorted(r["text"] for r in mixing.mixed_documents(both.drop("size").repartition(5), rows_per_cell=100).collect())
+
+
+def test_repeated_digests_in_an_index_multiply_no_rows(spark, scratch):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c"), (3, "a  b")], "doc_id bigint, text string")
+    index = exact_dedup.DigestIndex(spark, scratch + "/twice", buckets=4)
+    index.ingest(docs, batch_id="m").count()
+    # What a second writer at the same time would have appended.
+    spark.table(index.name).selectExpr("digest", "keep_id + 100 as keep_id", "'z' as batch").write.insertInto(index.name)
+    spark.table(index.name).selectExpr("digest", "keep_id + 200 as keep_id", "'b' as batch").write.insertInto(index.name)
+    got = index.ingest(spark.createDataFrame([(7, "a b"), (8, "d"), (9, "a b")], docs.schema), batch_id="n").collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["kept"], r["group_size"]) for r in got) == [
+        (7, 201, False, 2), (8, 8, True, 1), (9, 201, False, 2)]
+    assert index.table().count() == 3 and spark.table(index.name).count() > 3
+    assert "Exchange" not in index.table()._jdf.queryExecution().executedPlan().toString()
+    small = index.compact()
+    assert spark.table(small.name).count() == 3
+
+
 def test_word_count(spark):
     texts = [None, "", " a\u00a0b \x0b c\x0cd ", "x", " ", "\u2003"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
