@@ -7,7 +7,6 @@ import sys
 from decimal import Decimal
 
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from shopscope.functions.scalar import lenient_number
@@ -67,11 +66,10 @@ def days(spark, dates, series="s"):
                                  "series_id string, ds date, y decimal(18,2)")
 
 
-@pytest.mark.parametrize("engine", ["pandas", "spark"])
-def test_holt_winters_keeps_every_day_over_a_gap(spark, engine):
+def test_holt_winters_keeps_every_day_over_a_gap(spark):
     start = dt.date(2018, 1, 1)
     dates = [start + dt.timedelta(days=i) for i in range(150)] + [dt.date(2019, 3, 5)]
-    fc = FC.holt_winters(days(spark, dates), engine=engine)
+    fc = FC.holt_winters(days(spark, dates))
     assert fc.count() == 151 + FC.HORIZON_DAYS and fc.where("yhat is null").count() == 0
     assert fc.where(F.col("ds") > dates[-1]).count() == FC.HORIZON_DAYS
 
