@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.operators.sizing import BROADCAST_BYTES, bounded_broadcast
+from shopscope.operators.sizing import BROADCAST_BYTES, looked_up
 from shopscope.schemas import FACT_COLUMNS
 
 
@@ -16,19 +16,16 @@ def build_fact(orders: DataFrame, items: DataFrame, payments: DataFrame, custome
     """Left joins from the order lines; every line is kept exactly once.
 
     Join order is chosen for the shuffle cost, not copied from the table list:
-    customers are joined to orders (narrow, one row per order) before the
-    orders meet the lines, so the wide line table is shuffled once, on
-    ``order_id``; the payment aggregate is keyed on ``order_id`` too and needs
-    no second exchange. Products and sellers are broadcast when their row count
-    is within ``broadcast_bytes``; larger ones fall back to a shuffled join and
-    adaptive execution handles skewed keys.
+    customers are joined to the orders and products and sellers to the narrow
+    items, and then all of them meet on ``order_id``. Customers, products and
+    sellers are broadcast when their bytes are within ``broadcast_bytes``; of a
+    larger one only (order, id) pairs are shuffled (``looked_up``), never the
+    lines. Where the tables are bucketed on ``order_id``, nothing else is.
     """
-    orders_c = orders.join(bounded_broadcast(customers, broadcast_bytes), "customer_id", "left")
-    fact = (items
-            .join(orders_c, "order_id", "left")
-            .join(payments, "order_id", "left")
-            .join(bounded_broadcast(products, broadcast_bytes), "product_id", "left")
-            .join(bounded_broadcast(sellers, broadcast_bytes), "seller_id", "left"))
+    orders_c = looked_up(orders, customers, "customer_id", "order_id", broadcast_bytes)
+    lines = looked_up(items, sellers, "seller_id", "order_id", broadcast_bytes)
+    lines = looked_up(lines, products, "product_id", "order_id", broadcast_bytes)
+    fact = lines.join(orders_c, "order_id", "left").join(payments, "order_id", "left")
     fact = fact.withColumns({
         "revenue": F.col("price"),
         "total_order_value": F.coalesce(F.col("total_payment"), F.col("total_item_revenue")),

@@ -21,6 +21,27 @@ def side_bytes(df: DataFrame) -> int:
     return int(df.agg(F.sum(width.cast("bigint"))).first()[0] or 0)
 
 
+def looked_up(rows: DataFrame, side: DataFrame, key: str, home: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``rows`` left-joined with ``side`` on ``key``, left where they lie by ``home``.
+
+    A large ``side`` does not move the rows: their distinct (home, key) pairs
+    are shuffled to it, and what they find goes back to ``home``. Rows without
+    a home, for which that finds nothing, are joined by their key.
+    """
+    if side_bytes(side) <= max_bytes:
+        return rows.join(F.broadcast(side), key, "left")
+    pairs = rows.select(home, key).where(F.col(home).isNotNull() & F.col(key).isNotNull()).distinct()
+    found = pairs.join(side, key).withColumnsRenamed({home: "_home", key: "_key"})
+    # An equality on both columns would move the rows by both, so the key is
+    # compared among the few rows of a home.
+    out = rows.join(found, (F.col(home) == F.col("_home")) & (F.col(key) >= F.col("_key")) & (F.col(key) <= F.col("_key")),
+                    "left").drop("_home", "_key")
+    homeless = rows.where(F.col(home).isNull())
+    if homeless.isEmpty():
+        return out
+    return out.where(F.col(home).isNotNull()).unionByName(homeless.join(side, key, "left"))
+
+
 def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES,
                       probe: DataFrame | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only when its size is proven small.

@@ -24,7 +24,7 @@ from shopscope.operators import quality as K
 from shopscope.operators.fact import build_fact
 from shopscope.plans.revenue import order_summary
 from shopscope.schemas import NUMERIC_SIZES, PRIMARY_KEYS, VARCHAR_LENGTHS
-from shopscope.session import bucket_count, shared_dir
+from shopscope.session import bucket_count, catalog_name, read_bucketed, shared_dir, shuffle_partitions, write_bucketed
 from shopscope.sources.driver_tables import raw_tables
 
 CLEAN_TABLES = (
@@ -58,15 +58,20 @@ def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None) -> N
     """Overwrite a Parquet table (a full refresh, safe to re-run)."""
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
-# Tables written bucketed (key, sort columns within a bucket): the fact and
-# the reviews on the order id they are joined on, and the order summary on it
-# too: an order is never a hot key, while one customer (or the rows without one)
-# may hold any share of the orders. All use the same bucket count, so joins on
-# the order read co-located data; a customer step combines before its shuffle.
+# Tables written bucketed (key, sort columns within a bucket), all that are
+# keyed on an order: the orders, items, payments, reviews, the fact and the
+# order summary. An order is never a hot key, while one customer (or the rows
+# without one) may hold any share of the orders. All use the same bucket count,
+# so the fact is joined, and keys with an order are counted, without a shuffle;
+# a customer step combines before its shuffle.
 BUCKETED = {
+    "orders": ("order_id", ("order_id",)),
+    "order_items": ("order_id", ("order_id",)),
+    "order_payments": ("order_id", ("order_id",)),
+    "order_payments_aggregated": ("order_id", ("order_id",)),
     "fact_orders": ("order_id", ("order_status", "order_purchase_timestamp")),
     "order_reviews": ("order_id", ("order_id",)),
     "order_summary": ("order_id", ("order_id",)),
@@ -89,7 +94,7 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def _catalog_name(self, name: str) -> str:
-        return f"shopscope_{name}_{hashlib.sha256(self.root.encode()).hexdigest()[:12]}"
+        return catalog_name(self.root, name)
 
     def _bucket_count(self) -> int:
         if self.buckets is None:
@@ -99,21 +104,13 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         if name not in BUCKETED:
             return self.spark.read.parquet(self.path(name))
-        tname = self._catalog_name(name)
         with _register_lock:
-            if not self.spark.catalog.tableExists(tname):
-                # A build from an earlier run: register its files with their layout.
-                key, sort = BUCKETED[name]
-                schema = self.spark.read.parquet(self.path(name)).schema
-                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {tname} ({cols}) USING parquet "
-                               f"CLUSTERED BY ({key}) SORTED BY ({', '.join(sort)}) "
-                               f"INTO {self._bucket_count()} BUCKETS LOCATION '{self.path(name)}'")
-        return self.spark.table(tname)
-
-    def _set_buckets(self) -> None:
-        """Fix the bucket count of this build."""
-        self.buckets = self.buckets or bucket_count(self.spark)
+            return read_bucketed(self.spark, self._catalog_name(name), self.path(name), self._bucket_count(),
+                                 *BUCKETED[name])
+
+    def _set_buckets(self, rows: int) -> None:
+        """Fix the bucket count of this build, for ``rows`` order lines."""
+        self.buckets = self.buckets or bucket_count(self.spark, rows)
         self.spark.createDataFrame([(str(self.buckets),)], "value string").coalesce(1) \
             .write.mode("overwrite").text(self.path("_buckets"))
 
@@ -130,8 +127,7 @@ class Warehouse:
             write_table(df, self.path(name))
             return seen()
         key, sort = bucketed
-        df.write.mode("overwrite").bucketBy(self.buckets, key).sortBy(*sort) \
-            .option("path", self.path(name)).saveAsTable(self._catalog_name(name))
+        write_bucketed(df, self._catalog_name(name), self.path(name), self.buckets, key, sort)
         return seen()
 
     def build(self, raw: dict[str, DataFrame], parallel_writes: int = len(CLEAN_TABLES)) -> "Warehouse":
@@ -140,8 +136,13 @@ class Warehouse:
         The cleaned tables are independent jobs; submitting them from a few
         threads lets the scheduler fill idle cores while one job shuffles.
         """
+        # Payments come about as often as lines, and counting them joins nothing.
+        self._set_buckets(raw["order_payments"].count())
+        with shuffle_partitions(self.spark, self.buckets):
+            return self._build(raw, parallel_writes)
+
+    def _build(self, raw: dict[str, DataFrame], parallel_writes: int) -> "Warehouse":
         t0 = time.time()
-        self._set_buckets()
         cleaned = clean_all(raw)
         with ThreadPoolExecutor(max_workers=parallel_writes) as pool:
             checks = [row for done in [pool.submit(self.write_table, name, df) for name, df in cleaned.items()]

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shopscope.operators.sizing import bounded_broadcast
+from shopscope.operators.sizing import bounded_broadcast, looked_up
+from shopscope.session import bucket_count, catalog_name, read_bucketed, shuffle_partitions, write_bucketed
 
 DRIVER_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -113,11 +114,13 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with a per-order line number (the source key repeats).
 
-    The window is partitioned by the order id the fact joins on, so the join
-    can reuse this partitioning. A TPC-H order has at most seven lines, so no
-    window partition grows with the data.
+    The window is partitioned by the order id the fact joins on, so the tables
+    made from it can reuse this partitioning. A TPC-H order has at most seven
+    lines, so no window partition grows with the data.
     """
-    li = read_driver_table(spark, sf_dir, "lineitem").withColumn("order_id", _key("l_orderkey"))
+    # Dealt by the order id before it is a column, so the shuffle carries the number only.
+    li = read_driver_table(spark, sf_dir, "lineitem").repartition(_key("l_orderkey")) \
+        .withColumn("order_id", _key("l_orderkey"))
     w = Window.partitionBy("order_id").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
         "l_quantity", "l_tax", "l_discount")
@@ -126,9 +129,9 @@ def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_order_items(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     li = lines if lines is not None else _numbered_lines(spark, sf_dir)
-    part = _dimension(spark, sf_dir, "part", "p_partkey", "p_type")
+    part = read_driver_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     freight = (F.col("l_extendedprice") * F.col("l_tax") * (F.length("p_type") - 4) * 2)
-    return (li.join(part, li.l_partkey == part.p_partkey, "left")
+    return (looked_up(li, part, "l_partkey", "order_id")
             .select("order_id",
                     F.col("line_no").alias("order_item_id"),
                     _key("l_partkey").alias("product_id"),
@@ -209,23 +212,34 @@ RAW_BUILDERS = {
 }
 
 
+def _staged_lines(spark: SparkSession, sf_dir: str, folder: str, staged: bool) -> DataFrame:
+    path, table = f"{folder}/numbered_lines", catalog_name(folder, "numbered_lines")
+    if staged:
+        buckets = int(spark.read.text(f"{folder}/_buckets").first()[0])
+    else:
+        buckets = bucket_count(spark, read_driver_table(spark, sf_dir, "lineitem").count())
+        spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/_buckets")
+        with shuffle_partitions(spark, buckets):
+            write_bucketed(_numbered_lines(spark, sf_dir).drop("l_linenumber", "l_discount"), table, path, buckets,
+                           "order_id", ["order_id"])
+    return read_bucketed(spark, table, path, buckets, "order_id", ["order_id"])
+
+
 def raw_tables(spark: SparkSession, sf_dir: str, stage_dir: str | None = None,
                staged: bool = False) -> dict[str, DataFrame]:
     """All nine raw tables as lazy frames.
 
     With ``stage_dir``, the numbered line items (shared by items and
-    payments) are written there once and read back, instead of sorting the
-    line table once per derived table; ``staged=True`` reads an earlier
-    staging from ``stage_dir`` without writing it again.
+    payments) are written there once, bucketed on the order, and read back,
+    instead of shuffling and sorting the line table once per derived table;
+    ``staged=True`` reads an earlier staging from ``stage_dir`` without writing
+    it again.
     """
     out = {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()
            if name not in ("order_items", "order_payments")}
     lines = None
     if stage_dir:
-        path = f"{stage_dir.rstrip('/')}/numbered_lines"
-        if not staged:
-            _numbered_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
-        lines = spark.read.parquet(path)
+        lines = _staged_lines(spark, sf_dir, stage_dir.rstrip("/"), staged)
     out["order_items"] = raw_order_items(spark, sf_dir, lines)
     out["order_payments"] = raw_order_payments(spark, sf_dir, lines)
     return out
