@@ -3,7 +3,7 @@
 from shopscope.operators.fact import build_fact
 from shopscope.operators.sizing import looked_up
 from shopscope.plans.warehouse import open_warehouse
-from shopscope.session import bucket_count
+from shopscope.session import apply_required_conf, bucket_count
 
 from conftest import SMALL
 from test_plans import plan_text
@@ -30,6 +30,23 @@ def test_fact_of_large_dimensions_shuffles_no_line(spark):
     assert fact.exceptAll(wh.table("fact_orders")).count() == 0 and fact.count() == wh.table("fact_orders").count()
 
 
-def test_buckets_are_bounded(spark):
+def test_order_keys_are_counted_without_a_shuffle(spark):
+    wh = open_warehouse(spark, SMALL)
+    for name, keys in (("order_items", ("order_id", "order_item_id")), ("order_payments", ("order_id", "payment_sequential")),
+                       ("orders", ("order_id",))):
+        assert "Exchange" not in plan_text(wh.table(name).groupBy(*keys).count())
+
+
+def test_buckets_and_task_reads_are_bounded(spark):
     assert bucket_count(spark, 100) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert bucket_count(spark, 216_000_000) == 824
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        spark.conf.set(keys[0], "128MB")
+        spark.conf.set(keys[1], "8m")
+        apply_required_conf(spark)
+        assert [spark.conf.get(k) for k in keys] == [str(32 << 20), "8m"]
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
