@@ -24,7 +24,8 @@ from shopscope.operators import quality as K
 from shopscope.operators.fact import build_fact
 from shopscope.plans.revenue import order_summary
 from shopscope.schemas import NUMERIC_SIZES, PRIMARY_KEYS, VARCHAR_LENGTHS
-from shopscope.session import bucket_count, catalog_name, read_bucketed, shared_dir, shuffle_partitions, write_bucketed
+from shopscope.session import bucket_count, catalog_name, raise_shuffle_partitions, read_bucketed, shared_dir, \
+    shuffle_partitions, write_bucketed
 from shopscope.sources.driver_tables import raw_tables
 
 CLEAN_TABLES = (
@@ -216,6 +217,8 @@ def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     names, sizes and times, and the code version. A build writes into its own sub-folder and records it in a
     marker only when every table is written, so a half-written build is never
     read, concurrent builders do not collide, and later runs reuse the result.
+    The session then shuffles into as many partitions as the build has buckets,
+    unless it was set to more.
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _lock:
@@ -227,17 +230,21 @@ def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             if done:
                 wh = Warehouse(spark, done)
             else:
+                raise_shuffle_partitions(spark, 0)  # a build takes the session's own number
                 wh = Warehouse(spark, f"{base}/build-{uuid.uuid4().hex[:12]}")
                 wh.build(raw_tables(spark, sf_dir, stage_dir=wh.path("_staging")))
                 spark.createDataFrame([(wh.root,)], "value string").coalesce(1) \
                     .write.mode("overwrite").text(f"{base}/{_MARKER}")
             _open[key] = wh
+        # Queries deal out their keys as finely as the order lines lie in buckets.
+        raise_shuffle_partitions(spark, wh._bucket_count())
         return wh
 
 
 def fresh_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Build the warehouse of ``sf_dir`` anew (never reused) and serve it to the
     registered queries of this application."""
+    raise_shuffle_partitions(spark, 0)
     root = f"{shared_dir(spark).rstrip('/')}/shopscope-warehouse/fresh-{uuid.uuid4().hex[:12]}"
     wh = Warehouse(spark, root)
     wh.build(raw_tables(spark, sf_dir, stage_dir=wh.path("_staging")))

@@ -1,9 +1,12 @@
 """Lookups in a side that is too large to broadcast, and the bounds of a task's reading."""
 
+import re
+
 from shopscope.operators.fact import build_fact
 from shopscope.operators.sizing import looked_up
+from shopscope.plans.registry import raw_key_duplicates
 from shopscope.plans.warehouse import open_warehouse
-from shopscope.session import apply_required_conf, bucket_count
+from shopscope.session import apply_required_conf, bucket_count, raise_shuffle_partitions
 
 from conftest import SMALL
 from test_plans import plan_text
@@ -50,3 +53,22 @@ def test_buckets_and_task_reads_are_bounded(spark):
     finally:
         for k, v in zip(keys, before):
             spark.conf.set(k, v)
+
+
+def test_raw_keys_are_dealt_out_as_finely_as_the_buckets(spark):
+    buckets, key = open_warehouse(spark, SMALL)._bucket_count(), "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        for own in (2, buckets + 3):
+            spark.conf.set(key, str(own))
+            df = raw_key_duplicates(spark, SMALL)
+            dealt = {int(n) for n in re.findall(r"Exchange hashpartitioning\(\w+#\d+, (\d+)\)", plan_text(df))}
+            assert dealt == {max(own, buckets)}
+            got = sorted(map(tuple, df.collect()))
+            assert got and got == sorted(map(tuple, raw_key_duplicates(spark, SMALL).collect()))
+        spark.conf.set(key, "2")
+        for least, made in ((5, "5"), (3, "3"), (0, "2")):
+            raise_shuffle_partitions(spark, least)
+            assert spark.conf.get(key) == made
+    finally:
+        spark.conf.set(key, before)
